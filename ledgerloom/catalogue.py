@@ -83,14 +83,14 @@ def doc_attr_max(t):
 @_query
 def site_map(t):
     return t.dochead.groupBy("cmpcode").agg(F.count("*").alias("documents")).withColumn(
-        "SiteID", invoice.site_id(F.col("cmpcode"))
+        "SiteID", invoice.site_id()
     )
 
 
 @_query
 def doc_type(t):
     return t.dochead.groupBy("doccode").agg(F.count("*").alias("documents")).withColumn(
-        "DocType", invoice.document_type(F.col("doccode"))
+        "DocType", invoice.document_type()
     )
 
 
@@ -164,12 +164,12 @@ def lookup_inner_level(t):
 def ar_mart_core(t):
     documents = ar.documents(t, CFG, drop_cdc_deletes=True)
     core = documents.select(
-        invoice.site_id(F.col("cmpcode")).alias("SiteID"),
+        invoice.site_id().alias("SiteID"),
         "cmpcode",
         "doccode",
         F.col("docdate").alias("InvoiceDate"),
         invoice.receivable_invoice_number(CFG).alias("InvoiceNumber"),
-        invoice.document_type(F.col("doccode")).alias("DocType"),
+        invoice.document_type().alias("DocType"),
         "statpay",
         "valuehome",
         "valuedoc",

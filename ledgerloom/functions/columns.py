@@ -31,11 +31,6 @@ def blank_to_null(text: Column) -> Column:
     return F.when(text != "", text)
 
 
-def tail(text: Column, start: int) -> Column:
-    """``text`` from the 1-based position ``start`` to its end."""
-    return text if start == 1 else F.substring(text, F.lit(start), F.length(text))
-
-
 def currency_text(amount: Column, null_text: str | None = "$nu") -> Column:
     """Dollar text with thousands separators.
 

@@ -1,7 +1,8 @@
 """Derived invoice fields.
 
 Receivables fields expect the flat columns ``cmpcode doccode docnum docdate el3
-el4 ref1 .. ref5`` of a document; ``docnum`` is already free of leading spaces.
+el4 ref1 .. ref5`` of a document.  Revenue fields expect a line with ``docdate``,
+``head_company`` and ``head_number`` of its header.
 """
 
 from __future__ import annotations
@@ -9,71 +10,70 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ledgerloom import config as C
-from ledgerloom.functions.columns import blank_to_null, joined_text, tail
-from ledgerloom.functions.rules import any_of, by_carrier, by_source, code_map, first_match
+from ledgerloom.functions.columns import blank_to_null, joined_text
+from ledgerloom.functions.rules import (
+    any_of, by_carrier, by_source, code_map, first_match, literal, starts, tail,
+)
 
+_UNKNOWN = literal(C.UNKNOWN)
 
-def site_id(company: Column, site_ids: dict[str, str] = C.SITE_IDS) -> Column:
-    return code_map(company, site_ids, F.lit(C.UNKNOWN))
 
+def site_id(company: str = "cmpcode", site_ids: dict[str, str] = C.SITE_IDS) -> Column:
+    return F.expr(code_map(company, site_ids, _UNKNOWN))
 
-def document_type(code: Column) -> Column:
-    return F.when(code.contains(C.CREDIT_NOTE_MARK), F.lit("Credit Note")).otherwise(F.lit("Invoice"))
+
+def document_type(code: str = "doccode") -> Column:
+    credit = f"contains({code}, {literal(C.CREDIT_NOTE_MARK)})"
+    return F.expr(first_match([(credit, "'Credit Note'")], "'Invoice'"))
 
 
 def receivable_invoice_number(cfg: C.ReceivablesConfig) -> Column:
-    return by_source(cfg.invoice_number, F.col("cmpcode"), F.ltrim("docnum"))
+    return F.expr(by_source(cfg.invoice_number, "cmpcode", "ltrim(docnum)"))
 
 
 def delivery_site(cfg: C.ReceivablesConfig) -> Column:
-    def carried(rule):
-        marker = F.col(rule.marker)
-        return marker if rule.site_length is None else F.substring(marker, 1, rule.site_length)
+    def carried(rule: C.CarrierRule) -> str:
+        return rule.marker if rule.site_length is None else f"left({rule.marker}, {rule.site_length})"
 
-    company = F.col("cmpcode")
-    return F.upper(by_carrier(cfg.carriers, company, carried, lambda _: company, F.lit(C.UNKNOWN)))
+    site = by_carrier(cfg.carriers, "cmpcode", carried, lambda _: "cmpcode", _UNKNOWN)
+    return F.expr(f"upper({site})")
 
 
 def delivery_site_invoice_number(cfg: C.ReceivablesConfig) -> Column:
-    def own(rule):
-        return F.ltrim(rule.own_source) if rule.own_source == "docnum" else F.col(rule.own_source)
-
-    return by_carrier(
+    return F.expr(by_carrier(
         cfg.carriers,
-        F.col("cmpcode"),
-        lambda rule: tail(F.col(rule.carried_source), rule.carried_start),
-        own,
-        F.lit(C.UNKNOWN),
-    )
+        "cmpcode",
+        lambda rule: tail(rule.carried_source, rule.carried_start),
+        lambda rule: "ltrim(docnum)" if rule.own_source == "docnum" else rule.own_source,
+        _UNKNOWN,
+    ))
 
 
 def invoice_type(cfg: C.ReceivablesConfig) -> Column:
     branches = []
     for rule in cfg.carriers:
-        member = any_of(F.col("cmpcode"), rule.companies)
-        branches.append((member & F.col("el3").startswith(rule.intercompany_prefix), F.lit("IC")))
-        branches.append((member & F.col(rule.marker).startswith(rule.prefix), F.lit("3PD-PT")))
-    return first_match(branches, F.lit("3PD-OWN"))
+        member = any_of("cmpcode", rule.companies)
+        branches.append((f"{member} AND {starts('el3', rule.intercompany_prefix)}", "'IC'"))
+        branches.append((f"{member} AND {starts(rule.marker, rule.prefix)}", "'3PD-PT'"))
+    return F.expr(first_match(branches, "'3PD-OWN'"))
 
 
 def purchase_order(cfg: C.ReceivablesConfig) -> Column:
-    return by_source(cfg.purchase_order, F.col("cmpcode"), F.col("ref4"))
+    return F.expr(by_source(cfg.purchase_order, "cmpcode", "ref4"))
 
 
 def protocol(cfg: C.ReceivablesConfig) -> Column:
-    return by_source(cfg.protocol, F.col("cmpcode"), F.col("ref2"))
+    return F.expr(by_source(cfg.protocol, "cmpcode", "ref2"))
 
 
 def job_number(cfg: C.ReceivablesConfig) -> Column:
-    company = F.col("cmpcode")
+    company = cfg.job_from_ref3
     carried = [
-        (company == cfg.job_from_ref3) & F.col(rule.marker).startswith(rule.prefix)
+        (f"{any_of('cmpcode', (company,))} AND {starts(rule.marker, rule.prefix)}", "ref3")
         for rule in cfg.carriers
-        if cfg.job_from_ref3 in rule.companies
+        if company in rule.companies
     ]
-    return first_match(
-        [(test, F.col("ref3")) for test in carried], F.coalesce(F.col("el4"), F.lit(""))
-    )
+    return F.expr(first_match(carried, "coalesce(el4, '')"))
 
 
 def client_id_key(site: Column, customer: Column) -> Column:
@@ -83,53 +83,52 @@ def client_id_key(site: Column, customer: Column) -> Column:
 # revenue ------------------------------------------------------------------
 
 def revenue_global_identifier(cfg: C.RevenueConfig) -> Column:
-    number = by_source(cfg.global_identifier, F.col("cmpcode"), F.ltrim("docnum"))
-    return F.concat(F.upper("cmpcode"), F.lit("-"), number)
+    number = by_source(cfg.global_identifier, "cmpcode", "ltrim(docnum)")
+    return F.expr(f"concat(upper(cmpcode), '-', {number})")
 
 
 def revenue_invoice_number(cfg: C.RevenueConfig) -> Column:
-    return by_source(cfg.invoice_number, F.col("head_company"), F.lit(C.UNKNOWN))
+    return F.expr(by_source(cfg.invoice_number, "head_company", _UNKNOWN))
 
 
 def revenue_purchase_order(cfg: C.RevenueConfig) -> Column:
-    return by_source(cfg.purchase_order, F.col("head_company"), F.col("ref4"), F.col("docdate"))
+    return F.expr(by_source(cfg.purchase_order, "head_company", "ref4"))
 
 
 def revenue_protocol(cfg: C.RevenueConfig) -> Column:
-    return by_source(cfg.protocol, F.col("head_company"), F.col("ref2"), F.col("docdate"))
+    return F.expr(by_source(cfg.protocol, "head_company", "ref2"))
 
 
 def job_or_default(job: Column, default: Column) -> Column:
     return F.coalesce(blank_to_null(job), default)
 
 
-def pass_through_flag(company: Column, customer: Column) -> Column:
-    return first_match(
+def pass_through_flag(company: str = "cmpcode", customer: str = "el3") -> Column:
+    return F.expr(first_match(
         [
-            (customer.isNull(), F.lit("Other")),
-            (company == C.PASS_THROUGH_BY_INITIAL, F.left(customer, F.lit(1))),
-            (any_of(company, C.PASS_THROUGH_BY_CUSTOMER), F.concat(company, customer)),
+            (f"{customer} IS NULL", "'Other'"),
+            (any_of(company, (C.PASS_THROUGH_BY_INITIAL,)), f"left({customer}, 1)"),
+            (any_of(company, C.PASS_THROUGH_BY_CUSTOMER), f"concat({company}, {customer})"),
         ],
-        F.lit("Other"),
-    )
+        "'Other'",
+    ))
 
 
-def pass_through_class(flag: Column) -> Column:
-    marked = (
-        flag.contains(C.PASS_THROUGH_MARKS[0])
-        | flag.contains(C.PASS_THROUGH_MARKS[1])
-        | flag.startswith(C.PASS_THROUGH_COMPANY)
-        | flag.isin(*C.PASS_THROUGH_KEYS)
-    )
-    return F.when(marked, F.lit("PT")).otherwise(F.lit("Not classified as PT"))
+def pass_through_class(flag: str = "Pass_Through_Flag") -> Column:
+    tests = [f"contains({flag}, {literal(mark)})" for mark in C.PASS_THROUGH_MARKS]
+    tests += [starts(flag, C.PASS_THROUGH_COMPANY), any_of(flag, C.PASS_THROUGH_KEYS)]
+    return F.expr(first_match([(" OR ".join(tests), "'PT'")], "'Not classified as PT'"))
 
 
 # reconciliation keys -------------------------------------------------------
 
+def company_display(company: str = "cmpcode") -> Column:
+    return F.expr(code_map(company, C.COMPANY_DISPLAY, company))
+
+
 def cancellation_key(code: Column, prefix: Column, number: Column) -> Column:
-    return F.when(
-        F.lower(code).contains(C.CANCEL_MARK), F.concat(code, F.lit("c"))
-    ).otherwise(joined_text(prefix, number))
+    cancelled = F.lower(code).contains(C.CANCEL_MARK)
+    return F.when(cancelled, F.concat(code, F.lit("c"))).otherwise(joined_text(prefix, number))
 
 
 def global_invoice_key(
@@ -137,13 +136,13 @@ def global_invoice_key(
     partner: Column, delivery_number: Column,
 ) -> Column:
     own = joined_text(company, F.lit("-"), number)
-    return first_match(
-        [
-            (delivery_number.endswith(C.CORRECTED_SUFFIX) | (delivery_number == C.UNKNOWN), own),
-            (entity_key == C.OWN_WAREHOUSE_KEY, joined_text(F.lit(C.OWN_WAREHOUSE_PREFIX), delivery_number)),
-            (kind == "IC", own),
-        ],
-        joined_text(F.upper(partner), F.lit("-"), delivery_number),
+    unsited = delivery_number.endswith(C.CORRECTED_SUFFIX) | (delivery_number == C.UNKNOWN)
+    warehouse = joined_text(F.lit(C.OWN_WAREHOUSE_PREFIX), delivery_number)
+    return (
+        F.when(unsited, own)
+        .when(entity_key == C.OWN_WAREHOUSE_KEY, warehouse)
+        .when(kind == "IC", own)
+        .otherwise(joined_text(F.upper(partner), F.lit("-"), delivery_number))
     )
 
 

@@ -1,76 +1,79 @@
-"""Compile rule tables to one conditional expression; the first match wins.
+"""Compile rule tables to one SQL conditional; the first match wins.
 
-Conditions use SQL logic: a comparison with NULL is neither true nor false, so
-such a row falls through to the next rule and in the end to the default.
+Rules become SQL text, parsed once per field by Spark.  Conditions use SQL
+logic: a comparison with NULL is neither true nor false, so such a row falls
+through to the next rule and in the end to the default.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import Column, functions as F
+from collections.abc import Callable, Iterable
 
 from ledgerloom.config import CarrierRule, SourceRule
-from ledgerloom.functions.columns import tail
 
 
-def first_match(branches: Iterable[tuple[Column, Column]], default: Column) -> Column:
-    chain = None
-    for condition, value in branches:
-        chain = F.when(condition, value) if chain is None else chain.when(condition, value)
-    return default if chain is None else chain.otherwise(default)
+def literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def any_of(column: str, values: Iterable[str]) -> str:
+    return f"{column} IN ({', '.join(literal(v) for v in values)})"
+
+
+def starts(column: str, prefix: str) -> str:
+    return f"startswith({column}, {literal(prefix)})"
 
 
-def code_map(code: Column, mapping: dict[str, str], default: Column) -> Column:
-    return first_match(((code == F.lit(k), F.lit(v)) for k, v in mapping.items()), default)
+def tail(column: str, start: int) -> str:
+    """The text from the 1-based position ``start`` to its end."""
+    return column if start == 1 else f"substring({column}, {start})"
 
 
-def any_of(code: Column, values: tuple[str, ...]) -> Column:
-    return code == values[0] if len(values) == 1 else code.isin(*values)
+def first_match(branches: Iterable[tuple[str, str]], default: str) -> str:
+    cases = " ".join(f"WHEN {condition} THEN {value}" for condition, value in branches)
+    return f"CASE {cases} ELSE {default} END" if cases else default
+
+
+def code_map(column: str, mapping: dict[str, str], default: str) -> str:
+    return first_match(
+        ((f"{column} = {literal(k)}", literal(v)) for k, v in mapping.items()), default
+    )
 
 
-def _condition(rule: SourceRule, company: Column, day: Column | None) -> Column:
-    test = any_of(company, rule.companies)
+def _condition(rule: SourceRule, company: str, day: str) -> str:
+    tests = [any_of(company, rule.companies)]
     if rule.since is not None:
-        test = test & (day >= F.lit(rule.since))
+        tests.append(f"{day} >= DATE '{rule.since}'")
     if rule.until is not None:
-        test = test & (day <= F.lit(rule.until))
+        tests.append(f"{day} <= DATE '{rule.until}'")
     if rule.on is not None:
-        test = test & (day == F.lit(rule.on))
+        tests.append(f"{day} = DATE '{rule.on}'")
     if rule.prefix is not None:
-        test = test & F.col(rule.source).startswith(rule.prefix)
-    return test
+        tests.append(starts(rule.source, rule.prefix))
+    return " AND ".join(tests)
 
 
 def by_source(
-    rules: tuple[SourceRule, ...],
-    company: Column,
-    default: Column,
-    day: Column | None = None,
-    sources: dict[str, Column] | None = None,
-) -> Column:
-    """Pick the column a rule names.  ``sources`` overrides what a name stands for."""
-    named = sources or {}
+    rules: tuple[SourceRule, ...], company: str, default: str, day: str = "docdate"
+) -> str:
+    """The column that the first fitting rule names."""
     return first_match(
-        (
-            (_condition(rule, company, day), tail(named.get(rule.source, F.col(rule.source)), rule.start))
-            for rule in rules
-        ),
-        default,
+        ((_condition(rule, company, day), tail(rule.source, rule.start)) for rule in rules), default
     )
 
 
 def by_carrier(
     rules: tuple[CarrierRule, ...],
-    company: Column,
-    carried,
-    own,
-    default: Column,
-) -> Column:
+    company: str,
+    carried: Callable[[CarrierRule], str],
+    own: Callable[[CarrierRule], str],
+    default: str,
+) -> str:
     """``carried(rule)`` where the marker has its prefix, ``own(rule)`` where it has not."""
     branches = []
     for rule in rules:
-        member, marked = any_of(company, rule.companies), F.col(rule.marker).startswith(rule.prefix)
-        branches.append((member & marked, carried(rule)))
-        branches.append((member & ~marked, own(rule)))
+        member, marked = any_of(company, rule.companies), starts(rule.marker, rule.prefix)
+        branches.append((f"{member} AND {marked}", carried(rule)))
+        branches.append((f"{member} AND NOT {marked}", own(rule)))
     return first_match(branches, default)

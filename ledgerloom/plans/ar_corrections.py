@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.config import INVOICE_FIELD, SITE_FIELD, ReceivablesConfig
 from ledgerloom.functions.columns import none_contained
-from ledgerloom.functions.rules import first_match
 from ledgerloom.plans.ar_mart import REIMBURSED, ar_mart
 from ledgerloom.sources.tables import DocumentTables
 
@@ -29,6 +28,10 @@ def correction_lookup(ref_correction: DataFrame) -> DataFrame:
     )
 
 
+def _without_end(text: Column, end: str) -> Column:
+    return F.left(text, F.length(text) - F.lit(len(end)))
+
+
 def with_corrections(keyed: DataFrame, corrections: DataFrame) -> DataFrame:
     """Left join to the corrections that match either key of a row.
 
@@ -39,14 +42,9 @@ def with_corrections(keyed: DataFrame, corrections: DataFrame) -> DataFrame:
     """
     endings = [f"-{field}" for field in (SITE_FIELD, INVOICE_FIELD)]
     key = F.col("InterimKey")
-    stem = first_match(
-        [(key.endswith(end), F.left(key, F.length(key) - F.lit(len(end)))) for end in endings],
-        F.lit(None),
-    )
+    stem = F.coalesce(*[F.when(key.endswith(end), _without_end(key, end)) for end in endings])
     lookup = corrections.distinct().withColumn("__stem", stem).filter("__stem is not null")
-    site_key = F.col(SITE_KEY)
-    own_stem = F.left(site_key, F.length(site_key) - F.lit(len(endings[0])))
-    joined = keyed.withColumn("__own_stem", own_stem)
+    joined = keyed.withColumn("__own_stem", _without_end(F.col(SITE_KEY), endings[0]))
     return joined.join(lookup, F.col("__own_stem") == F.col("__stem"), "left").drop(
         "__own_stem", "__stem"
     )

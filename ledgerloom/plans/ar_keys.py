@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.config import COMPANY_DISPLAY, UNKNOWN, ReceivablesConfig
+from ledgerloom.config import UNKNOWN, ReceivablesConfig
 from ledgerloom.functions import invoice
 from ledgerloom.functions.columns import joined_text
-from ledgerloom.functions.rules import code_map
 from ledgerloom.operators.lookups import lookup_join
 from ledgerloom.plans.ar_corrections import ar_corrections
 from ledgerloom.sources.tables import DocumentTables
@@ -39,9 +38,8 @@ def with_partners(
 
 def reconciliation_keys(matched: DataFrame) -> DataFrame:
     """Derive the keys and give the columns their reporting names."""
-    company = F.col("cmpcode")
     ready = matched.withColumns({
-        "company_display": code_map(company, COMPANY_DISPLAY, company),
+        "company_display": invoice.company_display(),
         "partner": F.coalesce("IC_Partner_CODA", F.lit(UNKNOWN)),
     })
     number = F.col("InvoiceNumber")

@@ -103,7 +103,7 @@ def ar_mart(
         unique=unique_lookups,
     )
     sited = named.withColumns({
-        "SiteID": invoice.site_id(F.col("cmpcode"), cfg.site_ids),
+        "SiteID": invoice.site_id(site_ids=cfg.site_ids),
         "ServiceDeliverySite": invoice.delivery_site(cfg),
         "ServiceDeliverySiteInvoiceNumber": invoice.delivery_site_invoice_number(cfg),
     })
@@ -115,7 +115,7 @@ def ar_mart(
         "doccode",
         F.col("docdate").alias("InvoiceDate"),
         invoice.receivable_invoice_number(cfg).alias("InvoiceNumber"),
-        invoice.document_type(F.col("doccode")).alias("DocType"),
+        invoice.document_type().alias("DocType"),
         "ServiceDeliverySite",
         "ServiceDeliverySiteInvoiceNumber",
         invoice.invoice_type(cfg).alias("InvoiceType"),

@@ -28,9 +28,9 @@ def revenue_classify(
         "valuedoc_formatted": currency_text(F.col("valuedoc"), null_currency),
         "valuehome_formatted": currency_text(F.col("valuehome"), null_currency),
         "Key_global_identifier": F.concat("SiteID", "InvoiceNumber", "el3"),
-        "Pass_Through_Flag": invoice.pass_through_flag(company, customer),
+        "Pass_Through_Flag": invoice.pass_through_flag(),
         "Site_GL_CODE": F.upper(F.concat(company, customer)),
-    }).withColumn("Pass_Through_Flag2", invoice.pass_through_class(F.col("Pass_Through_Flag")))
+    }).withColumn("Pass_Through_Flag2", invoice.pass_through_class())
     spread_by = ("Global_Identifier", "docnum", "el2", "CustomerNumber")
     entities = tables.map_entity.select("CODA", F.col("CODA").alias("MAP_Entity_CODA"))
     mapped = lookup_join(

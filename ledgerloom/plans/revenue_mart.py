@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom.config import CDC_DELETE, RevenueConfig
 from ledgerloom.functions import invoice
 from ledgerloom.functions.columns import scaled_amount
-from ledgerloom.functions.rules import any_of
 from ledgerloom.operators.aggregates import earliest_value, with_copies
 from ledgerloom.operators.keys import KEY, RAW_KEY, document_join, with_document_key
 from ledgerloom.operators.lookups import is_small, lookup_join
@@ -46,7 +45,7 @@ def customer_lines(
     it would add nothing else.
     """
     account = F.col("el2")
-    extra = any_of(F.col("cmpcode"), cfg.customer_extra_companies) & (
+    extra = F.col("cmpcode").isin(*cfg.customer_extra_companies) & (
         account == cfg.customer_extra_account
     )
     lines = tables.docline.filter(account.startswith(cfg.customer_prefix) | extra).filter(
@@ -73,10 +72,10 @@ def revenue_lines(docline: DataFrame, cfg: RevenueConfig = RevenueConfig()) -> D
     on_account = (
         account.startswith(cfg.account_prefix)
         | account.between(*cfg.account_range)
-        | (any_of(company, cfg.extra_companies) & (account == cfg.extra_account))
+        | (company.isin(*cfg.extra_companies) & (account == cfg.extra_account))
     )
     recharge = (company == cfg.recharge_company) & F.col("ref2").contains(cfg.recharge_text)
-    foreign_job = any_of(company, cfg.foreign_job_companies) & F.col("el4").startswith(
+    foreign_job = company.isin(*cfg.foreign_job_companies) & F.col("el4").startswith(
         cfg.foreign_job_prefix
     )
     excluded = F.col("doccode").isin(*cfg.excluded_codes)
@@ -216,7 +215,7 @@ def revenue_mart(
         [F.col(c) for c in ("ar_copies", "el3_copies", "el2_copies", "company_copies")],
     )
     return complete.select(
-        invoice.site_id(F.col("cmpcode"), cfg.site_ids).alias("SiteID"),
+        invoice.site_id(site_ids=cfg.site_ids).alias("SiteID"),
         "cmpcode",
         F.col("global_identifier").alias("Global_Identifier"),
         "statpay",

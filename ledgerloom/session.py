@@ -10,6 +10,9 @@ SETTINGS = {
     # Splits a join partition that one key fills.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Plans are built from many small expressions; recording where each one was
+    # written doubles the time that takes.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.files.maxPartitionBytes": "128m",
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -50,30 +50,40 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
 
 
-@dataclass(frozen=True)
 class DocumentTables:
-    """The inputs of the plans.  A plan touches only the tables it needs."""
-
-    docline: DataFrame | None = None
-    dochead: DataFrame | None = None
-    company: DataFrame | None = None
-    el2_element: DataFrame | None = None
-    el3_element: DataFrame | None = None
-    client_master: DataFrame | None = None
-    client_xref: DataFrame | None = None
-    ref_correction: DataFrame | None = None
-    map_entity: DataFrame | None = None
-    map_ic_entity: DataFrame | None = None
-    category: DataFrame | None = None
+    """The inputs of the plans, by name.
+
+    Each is a frame or a function that gives one.  A table is bound, and its
+    schema checked, when a plan first asks for it.
+    """
+
+    def __init__(self, **sources: DataFrame | Callable[[], DataFrame]):
+        unknown = sorted(set(sources) - set(schemas.ALL))
+        if unknown:
+            raise ValueError(f"no such table: {', '.join(unknown)}")
+        self._sources = sources
+        self._bound: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in schemas.ALL:
+            raise AttributeError(name)
+        if name not in self._bound:
+            if name not in self._sources:
+                raise SchemaMismatch(f"table {name} was not given")
+            source = self._sources[name]
+            frame = source if isinstance(source, DataFrame) else source()
+            self._bound[name] = conform(frame, schemas.ALL[name], name)
+        return self._bound[name]
 
     @classmethod
     def load(
         cls, spark: SparkSession, paths: dict[str, str], fmt: str = "parquet"
     ) -> "DocumentTables":
-        """Bind the tables named in ``paths``; a path ending in ``.csv`` is read as CSV."""
-        bound = {}
-        for name, path in paths.items():
-            schema = schemas.ALL[name]
-            is_csv = path.endswith(".csv")
-            bound[name] = read_csv(spark, path, schema) if is_csv else read_table(spark, path, schema, fmt)
-        return cls(**bound)
+        """Tables stored under ``paths``; a path ending in ``.csv`` is read as CSV."""
+
+        def source(name: str, path: str) -> Callable[[], DataFrame]:
+            if path.endswith(".csv"):
+                return lambda: read_csv(spark, path, schemas.ALL[name])
+            return lambda: read_table(spark, path, fmt=fmt)
+
+        return cls(**{name: source(name, path) for name, path in paths.items()})

@@ -6,11 +6,13 @@ tables.  All rows of a table take part; every value is a function of its row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from functools import cache, partial
+
+from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom import schemas
 from ledgerloom.config import INVOICE_FIELD, SITE_FIELD
-from ledgerloom.sources.tables import DocumentTables, conform
+from ledgerloom.functions.rules import any_of, literal
+from ledgerloom.sources.tables import DocumentTables
 
 # Fixed values of the derived data.
 COMPANIES = (
@@ -21,245 +23,210 @@ DOCUMENT_CODES = ("SINV", "SCRN", "SCANCEL", "PINV", "SINV2")
 CURRENCIES = ("USD", "EUR", "GBP")
 ACCOUNTS = ("0211", "0212", "40100", "23170", "24300", "28020")
 CUSTOMER_PREFIXES = ("ICOM", "X", "IF", "D", "C")
-CUSTOMER_NUMBERS = 20
-UNNAMED_CUSTOMERS = (6, 13)
-DAYS_SHIFT = 8401
 REF1_COMPANIES = ("ALLENTOWN", "MAI", "CHINA", "SINGAPORE", "CLINTRAK", "MP")
 
 
-def _pick(values: tuple[str, ...], position: Column) -> Column:
-    """The value at ``position`` modulo the number of values."""
-    array = F.array(*[F.lit(v) for v in values])
-    return F.element_at(array, (position % len(values) + 1).cast("int"))
-
+def _array(values: tuple[str, ...]) -> str:
+    return f"array({', '.join(literal(v) for v in values)})"
 
-def _text(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"))
 
-
-def _array(values: tuple) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+def _pick(values: tuple[str, ...], number: str) -> str:
+    """The value at ``number`` modulo the count of values."""
+    return f"{_array(values)}[int({number} % {len(values)})]"
 
 
 def dochead(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
-    return orders.select(
-        _pick(COMPANIES, k).alias("cmpcode"),
-        _pick(DOCUMENT_CODES, k).alias("doccode"),
-        _text("  ", k).alias("docnum"),
-        F.date_add(F.col("o_orderdate").cast("date"), DAYS_SHIFT).alias("docdate"),
-        _pick(CURRENCIES, k).alias("curdoc"),
-        F.when(k % 17 == 0, "D").when(k % 19 == 0, None).otherwise("I").alias("cdc_operation_type"),
+    return orders.selectExpr(
+        f"{_pick(COMPANIES, 'o_orderkey')} AS cmpcode",
+        f"{_pick(DOCUMENT_CODES, 'o_orderkey')} AS doccode",
+        "concat('  ', o_orderkey) AS docnum",
+        "date_add(date(o_orderdate), 8401) AS docdate",
+        f"{_pick(CURRENCIES, 'o_orderkey')} AS curdoc",
+        "CASE WHEN o_orderkey % 17 = 0 THEN 'D' WHEN o_orderkey % 19 != 0 THEN 'I' END"
+        " AS cdc_operation_type",
     )
 
 
 def docline(lineitem: DataFrame) -> DataFrame:
-    k, p, s = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
-    site_ref = F.concat(
-        F.lit("PT"), F.lpad(s.cast("string"), 4, "0"), F.lit("-"), k.cast("string")
-    )
-
-    def places(number: Column) -> Column:
-        rest = number % 5
-        value = F.when(rest == 1, 0).when(rest == 2, 3).when(rest > 2, 2)
-        return value.cast("int")
-
-    status = F.col("l_returnflag")
-    return lineitem.select(
-        _pick(COMPANIES, k).alias("cmpcode"),
-        _pick(DOCUMENT_CODES, k).alias("doccode"),
-        k.cast("string").alias("docnum"),
-        F.when(status == "R", 665).when(status == "A", 84).otherwise(85).alias("statpay"),
-        F.floor(price * 100 + 0.5).alias("valuedoc"),
-        F.floor(price * quantity + 0.5).alias("valuehome"),
-        places(p).alias("valuedoc_dp"),
-        places(s).alias("valuehome_dp"),
-        F.when(F.col("l_linenumber") <= len(ACCOUNTS), _pick(ACCOUNTS, F.col("l_linenumber") - 1))
-        .alias("el2"),
-        F.concat(_pick(CUSTOMER_PREFIXES, p), (s % CUSTOMER_NUMBERS).cast("string")).alias("el3"),
-        F.when(p % 4 == 1, "").when(p % 4 == 2, _text("X", s)).when(p % 4 == 3, _text("J", p))
-        .alias("el4"),
-        F.when(k % 4 == 0, _text("CN", k)).otherwise(_text("R1", k)).alias("ref1"),
-        F.when(p % 11 == 0, "Recharges Q1").otherwise(_text("R2", p)).alias("ref2"),
-        F.when(p % 3 == 0, site_ref).otherwise(_text("R3", s)).alias("ref3"),
-        _text("PO", p).alias("ref4"),
-        F.when(s % 13 == 0, _text("PT0001-Reimb", k))
-        .when(s % 17 == 0, "Consolidated")
-        .when(p % 3 == 1, site_ref)
-        .when(p % 7 == 0, None)
-        .when(p % 9 == 0, F.concat(_text("R5", k), F.lit("A")))
-        .otherwise(_text("R5", k))
-        .alias("ref5"),
-    )
-
-
-def _company_codes(nation: DataFrame) -> DataFrame:
-    number = F.col("n_nationkey") % len(COMPANIES)
-    return nation.select(
-        _pick(COMPANIES, number).alias("code"), _pick(CURRENCIES, number).alias("homecur")
+    site_ref = "concat('PT', lpad(string(l_suppkey), 4, '0'), '-', l_orderkey)"
+
+    def places(number: str) -> str:
+        return f"CASE {number} % 5 WHEN 1 THEN 0 WHEN 2 THEN 3 WHEN 3 THEN 2 WHEN 4 THEN 2 END"
+
+    return lineitem.selectExpr(
+        f"{_pick(COMPANIES, 'l_orderkey')} AS cmpcode",
+        f"{_pick(DOCUMENT_CODES, 'l_orderkey')} AS doccode",
+        "string(l_orderkey) AS docnum",
+        "CASE l_returnflag WHEN 'R' THEN 665 WHEN 'A' THEN 84 ELSE 85 END AS statpay",
+        "floor(l_extendedprice * 100 + 0.5D) AS valuedoc",
+        "floor(l_extendedprice * l_quantity + 0.5D) AS valuehome",
+        f"{places('l_partkey')} AS valuedoc_dp",
+        f"{places('l_suppkey')} AS valuehome_dp",
+        f"CASE WHEN l_linenumber <= {len(ACCOUNTS)} THEN {_pick(ACCOUNTS, '(l_linenumber - 1)')} END"
+        " AS el2",
+        f"concat({_pick(CUSTOMER_PREFIXES, 'l_partkey')}, l_suppkey % 20) AS el3",
+        "CASE l_partkey % 4 WHEN 1 THEN '' WHEN 2 THEN concat('X', l_suppkey)"
+        " WHEN 3 THEN concat('J', l_partkey) END AS el4",
+        "concat(if(l_orderkey % 4 = 0, 'CN', 'R1'), l_orderkey) AS ref1",
+        "if(l_partkey % 11 = 0, 'Recharges Q1', concat('R2', l_partkey)) AS ref2",
+        f"if(l_partkey % 3 = 0, {site_ref}, concat('R3', l_suppkey)) AS ref3",
+        "concat('PO', l_partkey) AS ref4",
+        "CASE WHEN l_suppkey % 13 = 0 THEN concat('PT0001-Reimb', l_orderkey)"
+        " WHEN l_suppkey % 17 = 0 THEN 'Consolidated'"
+        f" WHEN l_partkey % 3 = 1 THEN {site_ref}"
+        " WHEN l_partkey % 7 = 0 THEN NULL"
+        " WHEN l_partkey % 9 = 0 THEN concat('R5', l_orderkey, 'A')"
+        " ELSE concat('R5', l_orderkey) END AS ref5",
+    )
+
+
+def company(nation: DataFrame) -> DataFrame:
+    number = f"(n_nationkey % {len(COMPANIES)})"
+    return nation.selectExpr(
+        f"{_pick(COMPANIES, number)} AS code", f"{_pick(CURRENCIES, number)} AS homecur"
     ).distinct()
 
 
-def _customer_numbers(supplier: DataFrame) -> DataFrame:
-    number = (F.col("s_suppkey") % CUSTOMER_NUMBERS).cast("int")
-    return (
-        supplier.select(number.alias("number"))
-        .distinct()
-        .select("number", F.explode(_array(COMPANIES)).alias("code"))
-        .select("number", "code", F.explode(_array(CUSTOMER_PREFIXES)).alias("prefix"))
+def customer_numbers(supplier: DataFrame) -> DataFrame:
+    """Customer elements of all companies."""
+    numbers = supplier.selectExpr("s_suppkey % 20 AS number").distinct()
+    return numbers.selectExpr("number", f"explode({_array(COMPANIES)}) AS code").selectExpr(
+        "number", "code", f"explode({_array(CUSTOMER_PREFIXES)}) AS prefix"
     )
 
 
 def el2_element(nation: DataFrame) -> DataFrame:
     """Each account on levels 1 and 2; one level-2 account is stored twice."""
-    accounts = F.when(F.col("code") == "BAS", _array((*ACCOUNTS, "40100"))).otherwise(_array(ACCOUNTS))
-    rows = _company_codes(nation).select("code", F.explode(accounts).alias("account"))
-    return rows.select("code", "account", F.explode(_array((1, 2))).alias("level")).select(
-        F.col("code").alias("el2_cmpcode"),
-        F.col("account").alias("el2_code"),
-        F.col("level").alias("el2_elmlevel"),
-        F.concat(F.lit("Account "), "account", F.lit(" level "), F.col("level").cast("string"))
-        .alias("el2_name"),
+    accounts = f"if(code = 'BAS', {_array((*ACCOUNTS, '40100'))}, {_array(ACCOUNTS)})"
+    rows = company(nation).selectExpr("code", f"explode({accounts}) AS account")
+    return rows.selectExpr("code", "account", "explode(array(1, 2)) AS level").selectExpr(
+        "code AS el2_cmpcode",
+        "account AS el2_code",
+        "level AS el2_elmlevel",
+        "concat('Account ', account, ' level ', level) AS el2_name",
     )
 
 
 def el3_element(supplier: DataFrame) -> DataFrame:
-    """Each customer on levels 2 and 3; some have no entry, some of MAI have two names."""
-    named = _customer_numbers(supplier).filter(~F.col("number").isin(*UNNAMED_CUSTOMERS))
-    levels = F.when((F.col("code") == "MAI") & (F.col("number") == 3), _array((2, 3, 3)))
-    rows = named.select(
-        "code", "prefix", "number", F.posexplode(levels.otherwise(_array((2, 3)))).alias("pos", "level")
+    """Each customer on levels 2 and 3; two numbers have no entry, some of MAI two names."""
+    levels = "if(code = 'MAI' AND number = 3, array(2, 3, 3), array(2, 3))"
+    rows = customer_numbers(supplier).filter("number NOT IN (6, 13)").selectExpr(
+        "code", "prefix", "number", f"posexplode({levels}) AS (pos, level)"
     )
-    number = F.col("number").cast("string")
-    return rows.select(
-        F.col("code").alias("el3_cmpcode"),
-        F.concat("prefix", number).alias("el3_code"),
-        F.col("level").alias("el3_elmlevel"),
-        F.concat(F.lit("Customer "), "prefix", number, F.lit("/"), F.col("pos").cast("string"))
-        .alias("el3_name"),
+    return rows.selectExpr(
+        "code AS el3_cmpcode",
+        "concat(prefix, number) AS el3_code",
+        "level AS el3_elmlevel",
+        "concat('Customer ', prefix, number, '/', pos) AS el3_name",
     )
 
 
 def client_master(customer: DataFrame) -> DataFrame:
-    return customer.select(
-        F.col("c_custkey").cast("string").alias("m_code"),
-        F.col("c_nationkey").cast("string").alias("client_ultimate_parent_id"),
-        F.col("c_mktsegment").alias("global_ultimate_business_name"),
+    return customer.selectExpr(
+        "string(c_custkey) AS m_code",
+        "string(c_nationkey) AS client_ultimate_parent_id",
+        "c_mktsegment AS global_ultimate_business_name",
     )
 
 
 def client_xref(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
-    site = F.when(k % 10 == 0, _text("S", k)).otherwise(
-        F.concat((k % 40).cast("string"), F.lit("S"))
-    )
-    return orders.filter(F.col("o_orderstatus") == "F").select(
-        F.col("o_custkey").cast("string").alias("m_code"),
-        site.alias("site_id"),
-        k.cast("string").alias("c_code"),
+    return orders.filter("o_orderstatus = 'F'").selectExpr(
+        "string(o_custkey) AS m_code",
+        "if(o_orderkey % 10 = 0, concat('S', o_orderkey), concat(o_orderkey % 40, 'S')) AS site_id",
+        "string(o_orderkey) AS c_code",
     )
 
 
 def ref_correction(orders: DataFrame) -> DataFrame:
     """Corrections of urgent and high-priority orders; some orders have two."""
-    k = F.col("o_orderkey")
-    urgent, high = F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority") == "2-HIGH"
-    closed, partial = F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "P"
+    site, number = literal(SITE_FIELD), literal(INVOICE_FIELD)
     fields = (
-        F.when(urgent & partial, _array((SITE_FIELD, INVOICE_FIELD)))
-        .when(urgent & closed, _array((SITE_FIELD,)))
-        .when(high & partial, _array((SITE_FIELD, SITE_FIELD)))
-        .when(high & closed, _array((INVOICE_FIELD, INVOICE_FIELD)))
+        "CASE concat(o_orderpriority, o_orderstatus)"
+        f" WHEN '1-URGENTP' THEN array({site}, {number}) WHEN '1-URGENTF' THEN array({site})"
+        f" WHEN '2-HIGHP' THEN array({site}, {site}) WHEN '2-HIGHF' THEN array({number}, {number}) END"
     )
-    company = _pick(COMPANIES, k)
-    number = F.when(k % 4 == 0, _text("CN", k)).otherwise(_text("R1", k))
-    rows = orders.select(
-        k.alias("k"),
-        company.alias("Instance"),
-        _pick(DOCUMENT_CODES, k).alias("DocCode"),
-        F.when(company.isin(*REF1_COMPANIES), number).otherwise(k.cast("string")).alias("Title"),
-        F.posexplode(fields).alias("pos", "Field"),
+    rows = orders.selectExpr(
+        "o_orderkey AS k",
+        f"{_pick(COMPANIES, 'o_orderkey')} AS Instance",
+        f"{_pick(DOCUMENT_CODES, 'o_orderkey')} AS DocCode",
+        f"posexplode({fields}) AS (pos, Field)",
     )
-    k = F.col("k")
-    site_value = F.when(k % 8 == 0, None).otherwise(
-        F.concat(F.lit("PT00"), (k % 7).cast("string"), F.col("pos").cast("string"))
+    return rows.selectExpr(
+        "Instance",
+        "DocCode",
+        f"CASE WHEN NOT {any_of('Instance', REF1_COMPANIES)} THEN string(k)"
+        " WHEN k % 4 = 0 THEN concat('CN', k) ELSE concat('R1', k) END AS Title",
+        "Field",
+        f"CASE WHEN Field = {site} THEN if(k % 8 = 0, NULL, concat('PT00', k % 7, pos))"
+        " WHEN k % 5 = 0 THEN concat('Reimb-', k) ELSE concat('C', k) END AS FieldValue",
     )
-    number_value = F.when(k % 5 == 0, _text("Reimb-", k)).otherwise(_text("C", k))
-    value = F.when(F.col("Field") == SITE_FIELD, site_value).otherwise(number_value)
-    return rows.select("Instance", "DocCode", "Title", "Field", value.alias("FieldValue"))
 
 
 def map_entity(nation: DataFrame) -> DataFrame:
     """One company is missing, one has two sites."""
-    sites = F.when(F.col("code") == "JAPAN", _array(("1", "2"))).otherwise(_array(("1",)))
-    rows = _company_codes(nation).filter(F.col("code") != "HEG")
-    return rows.select("code", F.explode(sites).alias("n")).select(
-        F.col("code").alias("CODA"),
-        F.concat(F.lit("Site "), "code", F.lit(" "), "n").alias("gpm_site"),
-        F.when(F.col("code") != "INDY", F.concat(F.left("code", F.lit(3)), F.lit("-"))).alias("cForia"),
+    sites = "explode(if(code = 'JAPAN', array('1', '2'), array('1'))) AS n"
+    return company(nation).filter("code != 'HEG'").selectExpr("code", sites).selectExpr(
+        "code AS CODA",
+        "concat('Site ', code, ' ', n) AS gpm_site",
+        "if(code != 'INDY', concat(left(code, 3), '-'), NULL) AS cForia",
     )
 
 
 def map_ic_entity(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """Partners of delivering sites; suppliers of the last nations have none."""
-    s = F.col("s_suppkey")
-    text = s.cast("string")
-    by_site = F.concat(F.lit("PT"), F.lpad(text, 4, "0"))
-    by_code = F.concat(F.lit("X"), text)
-    keys = F.array(
-        *[F.concat(F.lit(c), by_site) for c in ("BAS", "WAR", "MAI")],
-        *[F.concat(F.lit(c), by_code) for c in ("ALLENTOWN", "MP", "CLINTRAK")],
-    )
-    names = ("InvoiceCmp-OriginatingIC", "IC_Partner-OMNI", "IC_Partner-CODA")
-    partners = supplier.filter(F.col("s_nationkey") < 20).select(
-        F.explode(keys).alias(names[0]),
-        _text("Omni ", s % 9).alias(names[1]),
-        F.when(s % 10 != 0, _text("partner", s % 5)).alias(names[2]),
-    )
-    own = _company_codes(nation).select(
-        F.concat("code", "code").alias(names[0]),
-        F.concat(F.lit("Omni "), "code").alias(names[1]),
-        F.col("code").alias(names[2]),
+    by_site = [f"concat('{c}PT', lpad(string(s_suppkey), 4, '0'))" for c in ("BAS", "WAR", "MAI")]
+    by_code = [f"concat('{c}X', s_suppkey)" for c in ("ALLENTOWN", "MP", "CLINTRAK")]
+    partners = supplier.filter("s_nationkey < 20").selectExpr(
+        f"explode(array({', '.join(by_site + by_code)})) AS `InvoiceCmp-OriginatingIC`",
+        "concat('Omni ', s_suppkey % 9) AS `IC_Partner-OMNI`",
+        "if(s_suppkey % 10 != 0, concat('partner', s_suppkey % 5), NULL) AS `IC_Partner-CODA`",
+    )
+    own = company(nation).selectExpr(
+        "concat(code, code) AS `InvoiceCmp-OriginatingIC`",
+        "concat('Omni ', code) AS `IC_Partner-OMNI`",
+        "code AS `IC_Partner-CODA`",
     )
     return partners.unionByName(own)
 
 
 def category(supplier: DataFrame) -> DataFrame:
     """Categories for some of the customer prefixes; one key is stored twice."""
-    kept = _customer_numbers(supplier).filter(F.col("prefix").isin("ICOM", "X", "D"))
-    copies = F.when(
-        (F.col("code") == "BAS") & (F.col("number") == 4), _array(("a", "b"))
-    ).otherwise(_array(("a",)))
-    rows = kept.select("code", "prefix", "number", F.explode(copies).alias("copy"))
-    number = F.col("number")
-    return rows.select(
-        F.concat("code", "prefix", number.cast("string")).alias("Facility|GLCode-CPQREF"),
-        F.concat(F.lit("Category "), "prefix").alias("AI Enhanced - CPQ Category"),
-        F.concat(_text("Sub ", number % 4), "copy").alias("AI Enhanced - CPQ SubCategory"),
+    copies = "if(code = 'BAS' AND number = 4, array('a', 'b'), array('a'))"
+    rows = customer_numbers(supplier).filter("prefix IN ('ICOM', 'X', 'D')").selectExpr(
+        "code", "prefix", "number", f"explode({copies}) AS copy"
+    )
+    return rows.selectExpr(
+        "concat(code, prefix, number) AS `Facility|GLCode-CPQREF`",
+        "concat('Category ', prefix) AS `AI Enhanced - CPQ Category`",
+        "concat('Sub ', number % 4, copy) AS `AI Enhanced - CPQ SubCategory`",
     )
 
 
+SOURCES = {
+    docline: ("lineitem",),
+    dochead: ("orders",),
+    company: ("nation",),
+    el2_element: ("nation",),
+    el3_element: ("supplier",),
+    client_master: ("customer",),
+    client_xref: ("orders",),
+    ref_correction: ("orders",),
+    map_entity: ("nation",),
+    map_ic_entity: ("supplier", "nation"),
+    category: ("supplier",),
+}
+
+
 def load(spark: SparkSession, sf_dir: str) -> DocumentTables:
     """All document tables over the test tables in ``sf_dir``."""
 
+    @cache
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    orders, nation, supplier = table("orders"), table("nation"), table("supplier")
-    frames = {
-        "docline": docline(table("lineitem")),
-        "dochead": dochead(orders),
-        "company": _company_codes(nation),
-        "el2_element": el2_element(nation),
-        "el3_element": el3_element(supplier),
-        "client_master": client_master(table("customer")),
-        "client_xref": client_xref(orders),
-        "ref_correction": ref_correction(orders),
-        "map_entity": map_entity(nation),
-        "map_ic_entity": map_ic_entity(supplier, nation),
-        "category": category(supplier),
-    }
+    def derived(build, names: tuple[str, ...]) -> DataFrame:
+        return build(*[table(name) for name in names])
+
     return DocumentTables(
-        **{name: conform(df, schemas.ALL[name], name) for name, df in frames.items()}
+        **{build.__name__: partial(derived, build, names) for build, names in SOURCES.items()}
     )
