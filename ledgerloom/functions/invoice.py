@@ -1,7 +1,8 @@
 """Derived invoice fields.
 
 Receivables fields expect the flat columns ``cmpcode doccode docnum docdate el3
-el4 ref1 .. ref5`` of a document.  Revenue fields expect a line with ``docdate``,
+el4 ref1 .. ref5`` of a document, some of them also ``carrier`` and ``carried``.
+Revenue fields expect a line with ``docdate``,
 ``head_company`` and ``head_number`` of its header.
 """
 
@@ -12,7 +13,7 @@ from pyspark.sql import Column, functions as F
 from ledgerloom import config as C
 from ledgerloom.functions.columns import blank_to_null, joined_text
 from ledgerloom.functions.rules import (
-    any_of, by_carrier, by_source, code_map, first_match, literal, starts, tail,
+    any_of, by_source, carrier_index, code_map, first_match, literal, per_carrier, starts, tail,
 )
 
 _UNKNOWN = literal(C.UNKNOWN)
@@ -31,31 +32,51 @@ def receivable_invoice_number(cfg: C.ReceivablesConfig) -> Column:
     return F.expr(by_source(cfg.invoice_number, "cmpcode", "ltrim(docnum)"))
 
 
+CARRIER, CARRIED = "carrier", "carried"
+
+
+def carrier(cfg: C.ReceivablesConfig) -> Column:
+    """Position of the company's carrier rule.
+
+    Headers get this column before they are made distinct, so that it is a
+    stored value when the fields below are derived, filtered on and generated.
+    """
+    return F.expr(carrier_index(cfg.carriers, "cmpcode")).alias(CARRIER)
+
+
+def carried(cfg: C.ReceivablesConfig) -> Column:
+    """Whether the marker says that another site delivered; NULL when unknown."""
+    marked = per_carrier(cfg.carriers, CARRIER, lambda rule: starts(rule.marker, rule.prefix))
+    return F.expr(marked)
+
+
 def delivery_site(cfg: C.ReceivablesConfig) -> Column:
-    def carried(rule: C.CarrierRule) -> str:
+    def site(rule: C.CarrierRule) -> str:
         return rule.marker if rule.site_length is None else f"left({rule.marker}, {rule.site_length})"
 
-    site = by_carrier(cfg.carriers, "cmpcode", carried, lambda _: "cmpcode", _UNKNOWN)
-    return F.expr(f"upper({site})")
+    branches = [(CARRIED, per_carrier(cfg.carriers, CARRIER, site)), (f"NOT {CARRIED}", "cmpcode")]
+    return F.expr(f"upper({first_match(branches, _UNKNOWN)})")
 
 
 def delivery_site_invoice_number(cfg: C.ReceivablesConfig) -> Column:
-    return F.expr(by_carrier(
-        cfg.carriers,
-        "cmpcode",
-        lambda rule: tail(rule.carried_source, rule.carried_start),
-        lambda rule: "ltrim(docnum)" if rule.own_source == "docnum" else rule.own_source,
-        _UNKNOWN,
-    ))
+    def own(rule: C.CarrierRule) -> str:
+        return "ltrim(docnum)" if rule.own_source == "docnum" else rule.own_source
+
+    def other(rule: C.CarrierRule) -> str:
+        return tail(rule.carried_source, rule.carried_start)
+
+    branches = [
+        (CARRIED, per_carrier(cfg.carriers, CARRIER, other)),
+        (f"NOT {CARRIED}", per_carrier(cfg.carriers, CARRIER, own)),
+    ]
+    return F.expr(first_match(branches, _UNKNOWN))
 
 
 def invoice_type(cfg: C.ReceivablesConfig) -> Column:
-    branches = []
-    for rule in cfg.carriers:
-        member = any_of("cmpcode", rule.companies)
-        branches.append((f"{member} AND {starts('el3', rule.intercompany_prefix)}", "'IC'"))
-        branches.append((f"{member} AND {starts(rule.marker, rule.prefix)}", "'3PD-PT'"))
-    return F.expr(first_match(branches, "'3PD-OWN'"))
+    intercompany = per_carrier(
+        cfg.carriers, CARRIER, lambda rule: starts("el3", rule.intercompany_prefix)
+    )
+    return F.expr(first_match([(intercompany, "'IC'"), (CARRIED, "'3PD-PT'")], "'3PD-OWN'"))
 
 
 def purchase_order(cfg: C.ReceivablesConfig) -> Column:
@@ -67,13 +88,8 @@ def protocol(cfg: C.ReceivablesConfig) -> Column:
 
 
 def job_number(cfg: C.ReceivablesConfig) -> Column:
-    company = cfg.job_from_ref3
-    carried = [
-        (f"{any_of('cmpcode', (company,))} AND {starts(rule.marker, rule.prefix)}", "ref3")
-        for rule in cfg.carriers
-        if company in rule.companies
-    ]
-    return F.expr(first_match(carried, "coalesce(el4, '')"))
+    carried = f"cmpcode = {literal(cfg.job_from_ref3)} AND {CARRIED}"
+    return F.expr(first_match([(carried, "ref3")], "coalesce(el4, '')"))
 
 
 def client_id_key(site: Column, customer: Column) -> Column:

@@ -36,9 +36,9 @@ def first_match(branches: Iterable[tuple[str, str]], default: str) -> str:
 
 
 def code_map(column: str, mapping: dict[str, str], default: str) -> str:
-    return first_match(
-        ((f"{column} = {literal(k)}", literal(v)) for k, v in mapping.items()), default
-    )
+    """Mapped value of a code.  A map keeps the generated code short for long lists."""
+    entries = ", ".join(f"{literal(k)}, {literal(v)}" for k, v in mapping.items())
+    return f"coalesce(map({entries})[{column}], {default})"
 
 
 def _condition(rule: SourceRule, company: str, day: str) -> str:
@@ -63,17 +63,16 @@ def by_source(
     )
 
 
-def by_carrier(
-    rules: tuple[CarrierRule, ...],
-    company: str,
-    carried: Callable[[CarrierRule], str],
-    own: Callable[[CarrierRule], str],
-    default: str,
+def carrier_index(rules: tuple[CarrierRule, ...], company: str) -> str:
+    """Position of the rule a company belongs to, NULL for none."""
+    members = [(c, i) for i, rule in enumerate(rules) for c in rule.companies]
+    if len({c for c, _ in members}) < len(members):
+        raise ValueError("a company occurs in more than one carrier rule")
+    return f"map({', '.join(f'{literal(c)}, {i}' for c, i in members)})[{company}]"
+
+
+def per_carrier(
+    rules: tuple[CarrierRule, ...], index: str, value: Callable[[CarrierRule], str]
 ) -> str:
-    """``carried(rule)`` where the marker has its prefix, ``own(rule)`` where it has not."""
-    branches = []
-    for rule in rules:
-        member, marked = any_of(company, rule.companies), starts(rule.marker, rule.prefix)
-        branches.append((f"{member} AND {marked}", carried(rule)))
-        branches.append((f"{member} AND NOT {marked}", own(rule)))
-    return first_match(branches, default)
+    cases = " ".join(f"WHEN {i} THEN {value(rule)}" for i, rule in enumerate(rules))
+    return f"CASE {index} {cases} END"

@@ -51,7 +51,10 @@ def document_heads(
         heads = heads.filter(F.col("cdc_operation_type") != CDC_DELETE)
     return (
         with_document_key(heads)
-        .select(*KEY, "cmpcode", "doccode", F.ltrim("docnum").alias("docnum"), "docdate")
+        .select(
+            *KEY, "cmpcode", "doccode", F.ltrim("docnum").alias("docnum"), "docdate",
+            invoice.carrier(cfg),
+        )
         .distinct()
     )
 
@@ -72,7 +75,8 @@ def documents(
     )
     jobs = with_document_key(job_attributes(in_scope, cfg)).select(*KEY, "el4")
     heads = document_heads(tables.dochead, cfg, drop_cdc_deletes)
-    return document_join(document_join(heads, totals), jobs, "left")
+    joined = document_join(document_join(heads, totals), jobs, "left")
+    return joined.withColumn(invoice.CARRIED, invoice.carried(cfg))
 
 
 def customer_names(el3_element: DataFrame) -> DataFrame:
