@@ -98,10 +98,13 @@ def doc_type(t):
 def delivery_site(t):
     documents = ar.documents(t, CFG, drop_cdc_deletes=False).select(
         "cmpcode",
+        "doccode",
+        "docnum",
+        "statpay",
         invoice.delivery_site(CFG).alias("ServiceDeliverySite"),
         invoice.delivery_site_invoice_number(CFG).alias("ServiceDeliverySiteInvoiceNumber"),
     )
-    return documents.withColumn(
+    return documents.distinct().withColumn(
         "ICEntityMapKey", F.upper(F.concat("cmpcode", "ServiceDeliverySite"))
     ).groupBy(
         "cmpcode", "ServiceDeliverySite", "ICEntityMapKey", "ServiceDeliverySiteInvoiceNumber"
@@ -110,8 +113,10 @@ def delivery_site(t):
 
 @_query
 def invoice_type(t):
-    documents = ar.documents(t, CFG, drop_cdc_deletes=False)
-    return documents.groupBy("cmpcode", invoice.invoice_type(CFG).alias("InvoiceType")).agg(
+    documents = ar.documents(t, CFG, drop_cdc_deletes=False).select(
+        "cmpcode", "doccode", "docnum", "statpay", invoice.invoice_type(CFG).alias("InvoiceType")
+    )
+    return documents.distinct().groupBy("cmpcode", "InvoiceType").agg(
         F.count("*").alias("documents")
     )
 
@@ -143,8 +148,9 @@ def trimmed_key_inner_join(t):
 @_query
 def lookup_with_level(t):
     grouped = t.docline.groupBy("cmpcode", "el3").agg(F.count("*").alias("lines"))
-    names = ar.customer_names(t.el3_element)
-    return lookup_join(grouped, names, {"cmpcode": "el3_cmpcode", "el3": "el3_code"})
+    names = t.el3_element.filter("el3_elmlevel = 3").drop("el3_elmlevel")
+    named = lookup_join(grouped, names, {"cmpcode": "el3_cmpcode", "el3": "el3_code"})
+    return named.groupBy("cmpcode", "el3", "el3_name").agg(F.sum("lines").alias("lines"))
 
 
 @_query

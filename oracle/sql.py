@@ -14,11 +14,12 @@ def _cte(name: str, needs: tuple[str, ...], body: str) -> None:
     CTES[name] = (needs, body)
 
 
-def with_ctes(needs: tuple[str, ...], body: str) -> str:
+def with_ctes(needs: tuple[str, ...], body: str, given: tuple[str, ...] = ()) -> str:
+    """``body`` after the clauses it needs; names in ``given`` exist as tables already."""
     ordered: list[str] = []
 
     def visit(name: str) -> None:
-        if name in ordered:
+        if name in ordered or name in given:
             return
         for other in CTES[name][0]:
             visit(other)
@@ -373,10 +374,11 @@ _REVENUE_FILTER = f"""(el2 LIKE '4%' OR (el2 >= '23160' AND el2 <= '23180')
   AND NOT (cmpcode IN ('ALLENTOWN','MP','INDY','CLINTRAK') AND el4 LIKE 'X%')
   AND doccode NOT IN {_EXCLUDED}"""
 
-# Ties on the earliest day go to the smallest job, as in the plans.
+# Ties on the earliest day go to the smallest job, as in the plans.  An arg-min
+# skips rows without a date, so a company with no other rows has no default.
 _cte("job_defaults", ("base",), """
-SELECT cmpcode, el4 AS default_el4 FROM (
-  SELECT cmpcode, el4, row_number() OVER (PARTITION BY cmpcode ORDER BY docdate NULLS LAST, el4) AS rn
+SELECT cmpcode, CASE WHEN docdate IS NOT NULL THEN el4 END AS default_el4 FROM (
+  SELECT cmpcode, el4, docdate, row_number() OVER (PARTITION BY cmpcode ORDER BY docdate NULLS LAST, el4) AS rn
   FROM base WHERE el4 IS NOT NULL AND el4 <> '') WHERE rn = 1""")
 _cte("job_defaults_first", ("base",), """
 SELECT cmpcode, el4 AS default_el4 FROM (
@@ -434,76 +436,76 @@ _CLIENT = """CAST(m_code AS INTEGER) AS m_code,
 
 _TOTALS = "cmpcode, doccode, docnum, statpay, round(valuedoc, 2) AS valuedoc, round(valuehome, 2) AS valuehome"
 
-QUERIES: dict[str, str] = {
-    "document_lines": with_ctes(("docline",), "SELECT * FROM docline"),
-    "document_heads": with_ctes(("dochead",), "SELECT * FROM dochead"),
-    "line_aggregate_scaled_zero": with_ctes(
+BODIES: dict[str, tuple[tuple[str, ...], str]] = {
+    "document_lines": (("docline",), "SELECT * FROM docline"),
+    "document_heads": (("dochead",), "SELECT * FROM dochead"),
+    "line_aggregate_scaled_zero": (
         ("totals",), f"SELECT {_TOTALS}, el2, el3, ref1, ref2, ref3, ref4, ref5 FROM totals"),
-    "line_scaled_raw": with_ctes(("docline",), """
+    "line_scaled_raw": (("docline",), """
 SELECT cmpcode, doccode, el2, el3,
   round(sum(CASE WHEN valuehome_dp = 0 THEN valuehome
                  ELSE valuehome / pow(10, valuehome_dp - 2) END), 2) AS valuehome,
   round(sum(CASE WHEN valuedoc_dp = 0 THEN valuedoc
                  ELSE valuedoc / pow(10, valuedoc_dp - 2) END), 2) AS valuedoc
 FROM docline GROUP BY ALL"""),
-    "doc_attr_max": with_ctes(("jobs",), "SELECT * FROM jobs"),
-    "site_map": with_ctes(("dochead",), f"""
+    "doc_attr_max": (("jobs",), "SELECT * FROM jobs"),
+    "site_map": (("dochead",), f"""
 SELECT cmpcode, {_SITE.format('cmpcode')} AS SiteID, count(*) AS documents FROM dochead GROUP BY ALL"""),
-    "doc_type": with_ctes(("dochead",), """
+    "doc_type": (("dochead",), """
 SELECT doccode, CASE WHEN contains(doccode, 'CR') THEN 'Credit Note' ELSE 'Invoice' END AS DocType,
   count(*) AS documents FROM dochead GROUP BY ALL"""),
-    "delivery_site": with_ctes(("ar_fields",), """
+    "delivery_site": (("ar_fields",), """
 SELECT cmpcode, ServiceDeliverySite, upper(cmpcode || ServiceDeliverySite) AS ICEntityMapKey,
   ServiceDeliverySiteInvoiceNumber, count(*) AS documents
-FROM (SELECT DISTINCT cmpcode, doccode, docnum, statpay, ServiceDeliverySite,
+FROM (SELECT DISTINCT cmpcode, doccode, ltrim(docnum), statpay, ServiceDeliverySite,
              ServiceDeliverySiteInvoiceNumber FROM ar_fields) GROUP BY ALL"""),
-    "invoice_type": with_ctes(("ar_fields",), """
+    "invoice_type": (("ar_fields",), """
 SELECT cmpcode, InvoiceType, count(*) AS documents
-FROM (SELECT DISTINCT cmpcode, doccode, docnum, statpay, InvoiceType FROM ar_fields) GROUP BY ALL"""),
-    "trimmed_key_left_join": with_ctes(("dochead", "totals"), """
+FROM (SELECT DISTINCT cmpcode, doccode, ltrim(docnum), statpay, InvoiceType FROM ar_fields) GROUP BY ALL"""),
+    "trimmed_key_left_join": (("dochead", "totals"), """
 SELECT dh.cmpcode, dh.doccode, ltrim(dh.docnum) AS docnum, dh.docdate, dl.statpay, dl.el3,
        round(dl.valuehome, 2) AS valuehome
 FROM dochead dh LEFT JOIN totals dl ON trim(dl.cmpcode) = trim(dh.cmpcode)
      AND trim(dl.doccode) = trim(dh.doccode) AND trim(dl.docnum) = trim(dh.docnum)"""),
-    "trimmed_key_inner_join": with_ctes(("docline", "dochead"), f"""
+    "trimmed_key_inner_join": (("docline", "dochead"), f"""
 SELECT dh.cmpcode, dh.doccode, dh.docdate, dh.curdoc, dl.el2, count(*) AS lines,
        CAST(sum(dl.valuedoc) AS BIGINT) AS raw_value
 FROM {_LINE_HEAD} GROUP BY ALL"""),
-    "lookup_with_level": with_ctes(("docline", "el3_element"), """
+    "lookup_with_level": (("docline", "el3_element"), """
 SELECT l.cmpcode, l.el3, e.el3_name, count(*) AS lines
 FROM docline l LEFT JOIN el3_element e
   ON e.el3_cmpcode = l.cmpcode AND e.el3_code = l.el3 AND e.el3_elmlevel = 3 GROUP BY ALL"""),
-    "lookup_inner_level": with_ctes(("docline", "el2_element", "company"), """
+    "lookup_inner_level": (("docline", "el2_element", "company"), """
 SELECT l.cmpcode, l.el2, e.el2_name, c.homecur, count(*) AS lines
 FROM docline l JOIN el2_element e
   ON e.el2_cmpcode = l.cmpcode AND e.el2_code = l.el2 AND e.el2_elmlevel = 2
 JOIN company c ON c.code = l.cmpcode GROUP BY ALL"""),
-    "ar_mart_core": with_ctes(("ar_fields",), """
+    "ar_mart_core": (("ar_fields",), """
 SELECT DISTINCT SiteID, cmpcode, doccode, docdate AS InvoiceDate, InvoiceNumber, DocType, statpay,
   round(valuehome, 2) AS valuehome, round(valuedoc, 2) AS valuedoc
 FROM ar_fields WHERE cdc_operation_type <> 'D'"""),
-    "ar_mart": with_ctes(("ar_mart",), "SELECT * FROM ar_mart"),
-    "correction_keys": with_ctes(("correction_keys",), "SELECT * FROM correction_keys"),
-    "either_key_join": with_ctes(("correction_keys", "corrections"), """
+    "ar_mart": (("ar_mart",), "SELECT * FROM ar_mart"),
+    "correction_keys": (("correction_keys",), "SELECT * FROM correction_keys"),
+    "either_key_join": (("correction_keys", "corrections"), """
 SELECT k.cmpcode, k.doccode, k.InvoiceNumber, k.statpay, k.PO, c.InterimKey, c.FieldValue
 FROM correction_keys k LEFT JOIN corrections c
   ON k.InterimKey_SVCDVSite = c.InterimKey OR k.InterimKey_SVCDVSiteIN = c.InterimKey"""),
-    "ar_corrections": with_ctes(("ar_corrections",), "SELECT * FROM ar_corrections"),
-    "ar_keys": with_ctes(("ar_keys",), "SELECT * FROM ar_keys"),
-    "ar_lines": with_ctes(("ar_lines",), """
+    "ar_corrections": (("ar_corrections",), "SELECT * FROM ar_corrections"),
+    "ar_keys": (("ar_keys",), "SELECT * FROM ar_keys"),
+    "ar_lines": (("ar_lines",), """
 SELECT cmpcode, doccode, docnum, el3 AS customer_el3, count(*) AS ar_copies FROM ar_lines GROUP BY ALL"""),
-    "ar_lines_dedup": with_ctes(("ar_lines_once",), """
+    "ar_lines_dedup": (("ar_lines_once",), """
 SELECT cmpcode, doccode, docnum, el3 AS customer_el3 FROM ar_lines_once"""),
-    "revenue_base": with_ctes(("base",), """
+    "revenue_base": (("base",), """
 SELECT cmpcode, doccode, docnum, statpay, el2, el3, el4, docdate, curdoc, global_identifier,
   invoice_number, po_value, protocol_value FROM base"""),
-    "revenue_filter": with_ctes(("docline",), f"""
+    "revenue_filter": (("docline",), f"""
 SELECT cmpcode, doccode, docnum, el2, el3, el4, ref2 FROM docline WHERE {_REVENUE_FILTER}"""),
-    "job_default_min_by": with_ctes(("job_defaults",), "SELECT * FROM job_defaults"),
-    "job_default_row_number": with_ctes(("job_defaults_first",), "SELECT * FROM job_defaults_first"),
-    "revenue_mart_a": with_ctes(("revenue_a",), "SELECT * FROM revenue_a"),
-    "revenue_mart_b": with_ctes(("revenue_b",), "SELECT * FROM revenue_b"),
-    "revenue_classify": with_ctes(("revenue_flags", "map_entity", "category"), """
+    "job_default_min_by": (("job_defaults",), "SELECT * FROM job_defaults"),
+    "job_default_row_number": (("job_defaults_first",), "SELECT * FROM job_defaults_first"),
+    "revenue_mart_a": (("revenue_a",), "SELECT * FROM revenue_a"),
+    "revenue_mart_b": (("revenue_b",), "SELECT * FROM revenue_b"),
+    "revenue_classify": (("revenue_flags", "map_entity", "category"), """
 SELECT r.* EXCLUDE (Pass_Through_Flag, Site_GL_CODE),
   CASE WHEN valuedoc IS NULL THEN '$nu' ELSE printf('$%,.2f', valuedoc) END AS valuedoc_formatted,
   CASE WHEN valuehome IS NULL THEN '$nu' ELSE printf('$%,.2f', valuehome) END AS valuehome_formatted,
@@ -517,31 +519,39 @@ SELECT r.* EXCLUDE (Pass_Through_Flag, Site_GL_CODE),
   c."AI Enhanced - CPQ SubCategory" AS "CPQ SubCategory", 'CODA' AS Source
 FROM revenue_flags r LEFT JOIN map_entity e ON r.cmpcode = e.CODA
 LEFT JOIN category c ON r.Site_GL_CODE = c."Facility|GLCode-CPQREF\""""),
-    "client_keys": with_ctes(("client_joined",), f"SELECT DISTINCT {_CLIENT} FROM client_joined"),
-    "client_keys_dominant": with_ctes(("client_joined", "ranked"), f"""
+    "client_keys": (("client_joined",), f"SELECT DISTINCT {_CLIENT} FROM client_joined"),
+    "client_keys_dominant": (("client_joined", "ranked"), f"""
 SELECT DISTINCT {_CLIENT} FROM client_joined c JOIN ranked r
   ON c.client_ultimate_parent_id IS NOT DISTINCT FROM r.parent_id
  AND c.global_ultimate_business_name IS NOT DISTINCT FROM r.parent_name
 WHERE parent_row_rank = 1"""),
-    "parent_counts": with_ctes(("parent_counts",), "SELECT * FROM parent_counts"),
-    "ranked_parents": with_ctes(("ranked",), "SELECT * FROM ranked"),
-    "dominant_parent": with_ctes(("ranked",), """
+    "parent_counts": (("parent_counts",), "SELECT * FROM parent_counts"),
+    "ranked_parents": (("ranked",), "SELECT * FROM ranked"),
+    "dominant_parent": (("ranked",), """
 SELECT parent_id, parent_name, parent_row_count FROM ranked WHERE parent_row_rank = 1"""),
-    "dup_flag": with_ctes(("flagged",), "SELECT * EXCLUDE (numbers) FROM flagged"),
-    "rekey_duplicates": with_ctes(("flagged",), _rekeyed("flagged")),
-    "rekey_as_written": with_ctes(("flagged_as_written",), _rekeyed("flagged_as_written")),
-    "duplicate_report": with_ctes(("flagged",), f"""
+    "dup_flag": (("flagged",), "SELECT * EXCLUDE (numbers) FROM flagged"),
+    "rekey_duplicates": (("flagged",), _rekeyed("flagged")),
+    "rekey_as_written": (("flagged_as_written",), _rekeyed("flagged_as_written")),
+    "duplicate_report": (("flagged",), f"""
 SELECT new_key_global_identifier, count(*) AS "count" FROM ({_rekeyed('flagged')})
 GROUP BY 1 HAVING count(*) > 1"""),
-    "full_row_duplicates": with_ctes(("ar_keys",), """
+    "full_row_duplicates": (("ar_keys",), """
 SELECT *, count(*) AS "count" FROM ar_keys GROUP BY ALL HAVING count(*) > 1"""),
-    "lookup_csv": with_ctes(("category",), "SELECT * FROM category"),
-    "sink_roundtrip": with_ctes(("ar_mart",), "SELECT * FROM ar_mart"),
-    "sink_schema_evolution": with_ctes(("ar_mart",), """
+    "lookup_csv": (("category",), "SELECT * FROM category"),
+    "sink_roundtrip": (("ar_mart",), "SELECT * FROM ar_mart"),
+    "sink_schema_evolution": (("ar_mart",), """
 SELECT *, CAST(NULL AS VARCHAR) AS RetiredColumn FROM ar_mart"""),
-    "sanitize_columns": with_ctes(("ar_keys",), """
+    "sanitize_columns": (("ar_keys",), """
 SELECT * EXCLUDE ("AR Billing Site", "AR Originating Site"),
   "AR Billing Site" AS AR_Billing_Site, "AR Originating Site" AS AR_Originating_Site FROM ar_keys"""),
-    "row_count": with_ctes(("ar_joined", "ar_mart"), """
-SELECT (SELECT count(*) FROM ar_mart) AS mart_rows"""),
+    "row_count": (("ar_mart",), """
+SELECT count(*) AS mart_rows FROM ar_mart"""),
 }
+
+
+def sql(name: str, given: tuple[str, ...] = ()) -> str:
+    needs, body = BODIES[name]
+    return with_ctes(needs, body, given)
+
+
+QUERIES: dict[str, str] = {name: sql(name) for name in BODIES}

@@ -1,0 +1,123 @@
+"""Small, deliberately untidy document tables for brute-force comparison.
+
+Padded keys, repeated headers, one document with a third of all lines, NULL in
+every nullable column, repeated lookup keys with equal and different values.
+"""
+
+from __future__ import annotations
+
+import random
+from datetime import date, timedelta
+
+import pyarrow as pa
+
+from ledgerloom import schemas
+
+COMPANIES = [
+    "ALLENTOWN", "MAI", "MP", "BAS", "WAR", "CLINTRAK", "SINGAPORE", "INDY",
+    "HEG", "SUZHOU", "CHINA", "JAPAN", "KOREA", "OTHERCO",
+]
+CODES = ["SINV", "SCRN", "SCancel", "PINV"]
+DAYS = [date(2018, 12, 31) + timedelta(days=400 * i) for i in range(6)] + [
+    date(2020, 11, 10), date(2024, 7, 12), date(2024, 7, 23), date(2024, 8, 20), None,
+]
+HOT = ("BAS", "SINV", "1")
+
+
+def tables(seed: int, lines: int = 400) -> dict[str, list[dict]]:
+    rng = random.Random(seed)
+
+    def pad(text: str) -> str:
+        return rng.choice(["", "", "", " ", "  "]) + text + rng.choice(["", "", "", " "])
+
+    def key() -> tuple[str, str, str]:
+        if rng.random() < 1 / 3:
+            return HOT
+        return rng.choice(COMPANIES), rng.choice(CODES), str(rng.randrange(12))
+
+    def padded_key() -> dict:
+        return dict(zip(("cmpcode", "doccode", "docnum"), (pad(part) for part in key())))
+
+    def maybe(text: str) -> str | None:
+        return rng.choice([text, text, text, None])
+
+    heads = [
+        {**padded_key(), "docdate": rng.choice(DAYS), "curdoc": rng.choice(["USD", "EUR", None]),
+         "cdc_operation_type": rng.choice(["I", "U", "D", None])}
+        for _ in range(lines // 2)
+    ]
+    docline = []
+    for _ in range(lines):
+        number = rng.randrange(4)
+        docline.append({
+            **padded_key(),
+            "statpay": rng.choice([84, 85, 665, None]),
+            "valuedoc": rng.choice([12345, 100, -7, None]),
+            "valuehome": rng.choice([5, 250, None]),
+            "valuedoc_dp": rng.choice([2, 3, 0, 1, None]),
+            "valuehome_dp": rng.choice([2, 3, 0, None]),
+            "el2": rng.choice(["0211", "021", "40100", "23160", "2318", "24300", "28020", None]),
+            "el3": rng.choice(["ICOM1", "X1", "IF1", "D4199", "D4400", "ax", None]),
+            "el4": rng.choice(["X1", "J1", "J2", "", None]),
+            "ref1": rng.choice([f"CN{number}", f"R{number}", "", None]),
+            "ref2": rng.choice(["Recharges Q1", "R2", None]),
+            "ref3": rng.choice([f"PT123{number}-{number}", "R3", None]),
+            "ref4": maybe("PO"),
+            "ref5": rng.choice([f"PT1234-{number}A", "PT1234-Reimb", "consOlidated", "PT1", "R5", None]),
+        })
+    field = ["ServiceDeliverySite", "ServiceDeliverySiteInvoiceNumber", "Other"]
+    corrections = [
+        {"Instance": rng.choice(COMPANIES), "DocCode": rng.choice([*CODES, f"{CODES[0]} "]),
+         "Title": rng.choice([*map(str, range(12)), "CN1", "R1", None]), "Field": rng.choice(field),
+         "FieldValue": rng.choice(["X1", "PT9", "reimb 1", None])}
+        for _ in range(150)
+    ]
+    pairs = [(c, e) for c in COMPANIES for e in ("ICOM1", "X1", "IF1", "D4199", "D4400")]
+    return {
+        "docline": docline,
+        "dochead": heads,
+        "company": [{"code": c, "homecur": rng.choice(["USD", "EUR"])} for c in COMPANIES + ["BAS", "BAS"]],
+        "el2_element": [
+            {"el2_cmpcode": c, "el2_code": a, "el2_elmlevel": level, "el2_name": rng.choice("ab")}
+            for c in COMPANIES for a in ("40100", "23160", "2318", "24300") for level in (1, 2, 2)
+        ],
+        "el3_element": [
+            {"el3_cmpcode": c, "el3_code": e, "el3_elmlevel": level, "el3_name": rng.choice(["n", "m", None])}
+            for c, e in rng.sample(pairs, 60) for level in rng.choice([(2, 3), (3,), (3, 3), (2,)])
+        ],
+        "client_master": [
+            {"m_code": rng.choice([*map(str, range(30)), None]),
+             "client_ultimate_parent_id": rng.choice(["1", "2", "3", None]),
+             "global_ultimate_business_name": rng.choice(["a", "b", "c", None])}
+            for _ in range(60)
+        ],
+        "client_xref": [
+            {"m_code": rng.choice(["7", *map(str, range(40)), None]) if rng.random() > 1 / 3 else "7",
+             "site_id": rng.choice(["12AB", "AB", "3", None]), "c_code": rng.choice(["1", "2", "3", None])}
+            for _ in range(120)
+        ],
+        "ref_correction": corrections,
+        "map_entity": [
+            {"CODA": c, "gpm_site": f"site {i}", "cForia": rng.choice(["F-", None])}
+            for i, c in enumerate(COMPANIES[1:] + ["BAS"])
+        ],
+        "map_ic_entity": [
+            {"InvoiceCmp-OriginatingIC": c + site, "IC_Partner-OMNI": "o",
+             "IC_Partner-CODA": rng.choice(["partner", None])}
+            for c in COMPANIES for site in ("X1", "PT1234", c, "PT9", "UNKNOWN") if rng.random() < 0.6
+        ],
+        "category": [
+            {"Facility|GLCode-CPQREF": c + e, "AI Enhanced - CPQ Category": "cat",
+             "AI Enhanced - CPQ SubCategory": rng.choice(["s", None])}
+            for c, e in rng.sample(pairs, 40) + pairs[:3]
+        ],
+    }
+
+
+def register(connection, rows: dict[str, list[dict]]) -> None:
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    for name, values in rows.items():
+        schema = to_arrow_schema(schemas.ALL[name])
+        columns = {field.name: [row.get(field.name) for row in values] for field in schema}
+        connection.register(name, pa.table(columns, schema=schema))
