@@ -148,6 +148,7 @@ class ReceivablesConfig:
     first_day: date = FIRST_DAY
     account_prefix: str = AR_ACCOUNT_PREFIX
     paid_status: int = PAID_STATUS
+    exact_amounts: bool = True
     carriers: tuple[CarrierRule, ...] = CARRIER_RULES
     invoice_number: tuple[SourceRule, ...] = AR_INVOICE_NUMBER
     purchase_order: tuple[SourceRule, ...] = AR_PURCHASE_ORDER
@@ -165,6 +166,7 @@ class RevenueConfig:
     excluded_codes: tuple[str, ...] = EXCLUDED_DOCUMENT_CODES
     first_day: date = FIRST_DAY
     paid_status: int = PAID_STATUS
+    exact_amounts: bool = True
     customer_prefix: str = AR_ACCOUNT_PREFIX
     customer_extra_account: str = AR_EXTRA_ACCOUNT
     customer_extra_companies: tuple[str, ...] = AR_EXTRA_COMPANIES

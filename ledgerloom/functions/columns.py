@@ -7,19 +7,28 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 
-def scaled_amount(value: str, places: str, mode: str = "zero") -> Column:
+EXACT = "decimal(38,6)"
+
+
+def scaled_amount(value: str, places: str, mode: str = "zero", exact: bool = False) -> Column:
     """``value / 10^(places - 2)`` as double.
 
     ``mode="zero"``: places of NULL or 0 give 0.
     ``mode="raw"``: places of 0 give the value itself, places of NULL give NULL.
+
+    ``exact=True`` gives a decimal.  Sums of doubles depend on the order in which
+    rows arrive, so a task that is run again may get another last digit; sums of
+    decimals do not.
     """
     amount, dp = F.col(value), F.col(places)
     scaled = amount / F.pow(F.lit(10.0), dp - 2)
     if mode == "zero":
-        return F.when(F.coalesce(dp, F.lit(0)) == 0, F.lit(0.0)).otherwise(scaled)
-    if mode == "raw":
-        return F.when(dp == 0, amount.cast("double")).otherwise(scaled)
-    raise ValueError(f"mode must be 'zero' or 'raw', not {mode!r}")
+        result = F.when(F.coalesce(dp, F.lit(0)) == 0, F.lit(0.0)).otherwise(scaled)
+    elif mode == "raw":
+        result = F.when(dp == 0, amount.cast("double")).otherwise(scaled)
+    else:
+        raise ValueError(f"mode must be 'zero' or 'raw', not {mode!r}")
+    return result.cast(EXACT) if exact else result
 
 
 def joined_text(*parts: Column) -> Column:

@@ -1,9 +1,10 @@
-"""Joins to lookup tables.
+"""Joins to lookup tables, by the planned size of the lookup.
 
-A lookup whose planned size is under the limit is broadcast.  A larger one is
-joined by shuffle, and then rows of one hot key are spread: the fact row gets a
-salt from its own content, the lookup row is repeated once per salt.  The salt
-is a function of the row, so a recomputed task makes the same rows.
+Small: broadcast.  Medium: joined by shuffle with the rows of each key spread
+over salts; the fact row gets a salt from its own content, the lookup row is
+repeated once per salt.  The salt is a function of the row, so a recomputed task
+makes the same rows.  Large or of unknown size: an ordinary join, whose strategy
+Spark picks and whose hot partitions adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_LIMIT = 10 * 1024 * 1024
+BROADCAST_LIMIT = 10 * 1024**2
+SPREAD_LIMIT = 1024**3
 SPREAD = 32
 
 
@@ -65,14 +67,14 @@ def lookup_join(
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
     if unique:
         require_unique(lookup, list(on.values()))
-    small = is_small(lookup if sized_by is None else sized_by, limit)
+    size = planned_bytes(lookup if sized_by is None else sized_by)
     renamed = {key: f"__lookup_{i}" for i, key in enumerate(on.values())}
     side = lookup.withColumnsRenamed(renamed)
     pairs = [F.col(f"`{fact}`") == F.col(renamed[key]) for fact, key in on.items()]
     drop = list(renamed.values())
-    if small:
+    if size is not None and size <= limit:
         side = F.broadcast(side)
-    else:
+    elif size is not None and size <= SPREAD_LIMIT:
         salt_of = [F.col(f"`{name}`") for name in (spread_by or tuple(facts.columns))]
         facts = facts.withColumn("__salt", F.pmod(F.xxhash64(*salt_of), F.lit(spread)).cast("int"))
         side = side.withColumn("__lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))

@@ -18,14 +18,19 @@ CUSTOMER_LEVEL = 3
 
 
 def receivable_totals(docline: DataFrame, cfg: ReceivablesConfig = ReceivablesConfig()) -> DataFrame:
-    """Scaled sums and attribute maxima of the receivable lines, per document and status."""
+    """Scaled sums and attribute maxima of the receivable lines, per document and status.
+
+    The mart is made distinct over all columns, sums included.  They are summed
+    exactly: a lost task that is repeated must send its rows where they went before.
+    """
+    exact = cfg.exact_amounts
     lines = docline.filter(F.col("el2").startswith(cfg.account_prefix))
     return sum_max(
         lines,
         [*RAW_KEY, "statpay"],
         {
-            "valuedoc": scaled_amount("valuedoc", "valuedoc_dp", "zero"),
-            "valuehome": scaled_amount("valuehome", "valuehome_dp", "zero"),
+            "valuedoc": scaled_amount("valuedoc", "valuedoc_dp", "zero", exact),
+            "valuehome": scaled_amount("valuehome", "valuehome_dp", "zero", exact),
         },
         ["el2", "el3", "ref1", "ref2", "ref3", "ref4", "ref5"],
     )
@@ -131,6 +136,6 @@ def ar_mart(
         invoice.protocol(cfg).alias("Protocol"),
         invoice.job_number(cfg).alias("JobNumber"),
         "statpay",
-        F.col("valuehome").cast("double").alias("valuehome"),
-        F.col("valuedoc").cast("double").alias("valuedoc"),
+        "valuehome",
+        "valuedoc",
     ).distinct()

@@ -109,7 +109,9 @@ def revenue_groups(tables: DocumentTables, cfg: RevenueConfig = RevenueConfig())
     heads = head_rows(tables.dochead.filter(F.col("docdate") >= F.lit(cfg.first_day)))
     base = with_line_fields(revenue_lines(tables.docline, cfg), heads, cfg)
     amounts = [
-        F.sum(scaled_amount(name, f"{name}_dp", "raw") * F.col("head_copies")).alias(name)
+        F.sum(
+            scaled_amount(name, f"{name}_dp", "raw", cfg.exact_amounts) * F.col("head_copies")
+        ).alias(name)
         for name in ("valuehome", "valuedoc")
     ]
     return base.groupBy(*LINE_KEYS).agg(*amounts)
@@ -220,9 +222,9 @@ def revenue_mart(
         F.col("global_identifier").alias("Global_Identifier"),
         "statpay",
         F.col("docdate").alias("InvoiceDate"),
-        (F.col("valuehome") * copies).alias("valuehome"),
+        (F.col("valuehome") * copies).cast("double").alias("valuehome"),
         F.col("homecur").alias("ValueHomeCurrency"),
-        (F.col("valuedoc") * copies).alias("valuedoc"),
+        (F.col("valuedoc") * copies).cast("double").alias("valuedoc"),
         "curdoc",
         F.col("customer_el3").alias("CustomerNumber"),
         F.col("el3_name").alias("CustomerName"),

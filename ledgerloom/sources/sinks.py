@@ -32,9 +32,13 @@ def overwrite(
     fmt: str = "parquet",
     evolve_schema: bool = False,
     partition_by: tuple[str, ...] = (),
+    rebalance: bool = False,
 ) -> None:
     """Replace the table at ``path``.
 
+    ``rebalance`` shuffles once more so that files come out of even size, also
+    where one partition value holds most rows.
+
     With ``evolve_schema`` columns that only the old table has stay in the
     schema, filled with NULL.  Delta does this itself; for file formats the
     missing columns are added to the frame.
@@ -51,6 +55,8 @@ def overwrite(
             if field.name.lower() not in known
         ]
         df = df.select("*", *extra)
+    if rebalance:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format(fmt).options(**writer_options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,6 +32,16 @@ def test_scaled_amount(spark, mode, expected):
     rows = [(12345, dp) for dp in (2, 3, 1, 0, None)]
     got = column(spark, rows, "v long, dp int", columns.scaled_amount("v", "dp", mode))
     assert [value for value, in got] == expected
+    exact = column(spark, rows, "v long, dp int", columns.scaled_amount("v", "dp", mode, exact=True))
+    assert [value for value, in exact] == [None if v is None else Decimal(str(v)) for v in expected]
+
+
+def test_exact_sums_do_not_depend_on_order(spark):
+    rows = [(v, 3, i) for i, v in enumerate([1, 10**15, 3, -10**15, 7] * 20)]
+    df = spark.createDataFrame(rows, "v long, dp int, i int")
+    total = F.sum(columns.scaled_amount("v", "dp", exact=True)).cast("double").alias("s")
+    orders = [F.col("i"), F.desc("i"), F.col("v"), F.xxhash64("i")]
+    assert {df.coalesce(1).sort(order).agg(total).first().s for order in orders} == {22.0}
 
 
 AR_SCHEMA = (

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from ledgerloom import catalogue, schemas
+from ledgerloom.operators import lookups
 from ledgerloom.sources import testdata
 from ledgerloom.sources.tables import DocumentTables
 from oracle.sql import sql
@@ -15,10 +16,14 @@ from tests.compare import difference, spark_rows, sql_rows
 SCANS = {"document_lines", "document_heads", "lookup_csv"}
 
 
-@pytest.fixture(scope="module", params=[1, 2])
+@pytest.fixture(scope="module", params=[(1, 0), (2, 100 * 2**20), (3, 2**40)], ids=["small", "medium", "large"])
 def both(request, spark, tmp_path_factory):
-    """The same tables for Spark, stored as parquet, and for SQL."""
-    rows = messy.tables(request.param)
+    """The same tables for Spark, stored as parquet, and for SQL.
+
+    The lookups pass for small, medium and large, so each way to join them runs.
+    """
+    seed, size = request.param
+    rows = messy.tables(seed)
     connection = duckdb.connect()
     messy.register(connection, rows)
     folder = tmp_path_factory.mktemp("messy")
@@ -26,24 +31,14 @@ def both(request, spark, tmp_path_factory):
     for name in schemas.ALL:
         paths[name] = str(folder / name)
         connection.sql(f"SELECT * FROM {name}").write_parquet(paths[name])
-    return DocumentTables.load(spark, paths), connection
-
-
-@pytest.fixture(scope="module", params=["broadcast", "spread"])
-def lookups(request):
-    """Run the lookups once small enough to broadcast and once not."""
-    from ledgerloom.operators import lookups
-
     patch = pytest.MonkeyPatch()
-    if request.param == "spread":
-        patch.setattr(lookups, "is_small", lambda df, limit=0: False)
-        patch.setattr("ledgerloom.plans.revenue_mart.is_small", lambda df, limit=0: False)
-    yield request.param
+    patch.setattr(lookups, "planned_bytes", lambda df: size)
+    yield DocumentTables.load(spark, paths), connection
     patch.undo()
 
 
 @pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - SCANS))
-def test_query(both, lookups, monkeypatch, spark, name):
+def test_query(both, monkeypatch, spark, name):
     tables, connection = both
     monkeypatch.setattr(testdata, "load", lambda spark, sf_dir: tables)
     names, rows = spark_rows(catalogue.QUERIES[name](spark, "unused"))
