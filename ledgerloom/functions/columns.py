@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
 
+# Decimal places for which exact amounts are an integer times a power of ten.
+EXACT_PLACES = range(0, 9)
 EXACT = "decimal(38,6)"
 
 
+def _shifted(value: str, places: str) -> str:
+    """``value / 10^(places - 2)`` in decimal arithmetic."""
+    powers = " ".join(
+        f"WHEN {dp} THEN CAST({Decimal(10) ** (2 - dp):f} AS DECIMAL(18,6))" for dp in EXACT_PLACES
+    )
+    product = f"CAST({value} AS DECIMAL(19,0)) * CASE {places} {powers} END"
+    quotient = f"CAST({value} / POWER(10.0D, {places} - 2) AS {EXACT})"
+    last = EXACT_PLACES[-1]
+    return f"CASE WHEN {places} BETWEEN 0 AND {last} THEN {product} ELSE {quotient} END"
+
+
 def scaled_amount(value: str, places: str, mode: str = "zero", exact: bool = False) -> Column:
-    """``value / 10^(places - 2)`` as double.
+    """``value / 10^(places - 2)`` as double; ``value`` is an integer column.
 
     ``mode="zero"``: places of NULL or 0 give 0.
     ``mode="raw"``: places of 0 give the value itself, places of NULL give NULL.
@@ -20,15 +34,14 @@ def scaled_amount(value: str, places: str, mode: str = "zero", exact: bool = Fal
     rows arrive, so a task that is run again may get another last digit; sums of
     decimals do not.
     """
-    amount, dp = F.col(value), F.col(places)
-    scaled = amount / F.pow(F.lit(10.0), dp - 2)
+    kind, shifted = "DOUBLE", f"{value} / POWER(10.0D, {places} - 2)"
+    if exact:
+        kind, shifted = EXACT, _shifted(value, places)
     if mode == "zero":
-        result = F.when(F.coalesce(dp, F.lit(0)) == 0, F.lit(0.0)).otherwise(scaled)
-    elif mode == "raw":
-        result = F.when(dp == 0, amount.cast("double")).otherwise(scaled)
-    else:
-        raise ValueError(f"mode must be 'zero' or 'raw', not {mode!r}")
-    return result.cast(EXACT) if exact else result
+        return F.expr(f"CASE WHEN coalesce({places}, 0) = 0 THEN CAST(0 AS {kind}) ELSE {shifted} END")
+    if mode == "raw":
+        return F.expr(f"CASE WHEN {places} = 0 THEN CAST({value} AS {kind}) ELSE {shifted} END")
+    raise ValueError(f"mode must be 'zero' or 'raw', not {mode!r}")
 
 
 def joined_text(*parts: Column) -> Column:

@@ -36,6 +36,14 @@ def test_scaled_amount(spark, mode, expected):
     assert [value for value, in exact] == [None if v is None else Decimal(str(v)) for v in expected]
 
 
+def test_exact_amounts_of_many_places(spark):
+    rows = [(v, dp) for dp in range(-2, 12) for v in (7, -123456789012)]
+    df = spark.createDataFrame(rows, "v long, dp int")
+    plain, exact = columns.scaled_amount("v", "dp"), columns.scaled_amount("v", "dp", exact=True)
+    for double, decimal in df.select(plain, exact).collect():
+        assert float(decimal) == pytest.approx(double, rel=1e-12, abs=5e-7)
+
+
 def test_exact_sums_do_not_depend_on_order(spark):
     rows = [(v, 3, i) for i, v in enumerate([1, 10**15, 3, -10**15, 7] * 20)]
     df = spark.createDataFrame(rows, "v long, dp int, i int")
