@@ -12,6 +12,7 @@ import os
 import statistics
 import sys
 import time
+from functools import partial
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -33,14 +34,19 @@ HEADLINE = (
 )
 
 
-def seconds(build, runs: int, repeat_warm_up: int = 1) -> float:
-    """Median time to build, plan and run a frame into a sink that keeps nothing."""
-    times = []
-    for _ in range(repeat_warm_up + runs):
-        start = time.perf_counter()
-        build().write.format("noop").mode("overwrite").save()
-        times.append(time.perf_counter() - start)
-    return round(statistics.median(times[repeat_warm_up:]), 3)
+def medians(builders: dict, runs: int) -> dict[str, float]:
+    """Median seconds to build, plan and run each frame into a sink that keeps nothing.
+
+    Rounds over all of them, the first one untimed, so that each is measured on
+    an equally warm machine.
+    """
+    times = {name: [] for name in builders}
+    for _ in range(1 + runs):
+        for name, build in builders.items():
+            start = time.perf_counter()
+            build().write.format("noop").mode("overwrite").save()
+            times[name].append(time.perf_counter() - start)
+    return {name: round(statistics.median(taken[1:]), 3) for name, taken in times.items()}
 
 
 def main() -> None:
@@ -59,7 +65,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    times = {name: seconds(lambda: QUERIES[name](spark, sf_dir), runs) for name in HEADLINE}
+    times = medians({name: partial(QUERIES[name], spark, sf_dir) for name in HEADLINE}, runs)
     scale = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
         "metric": "total_seconds_headline_queries",

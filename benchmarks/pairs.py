@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from bench import seconds
+from bench import medians
 from ledgerloom import catalogue
 from ledgerloom.config import ReceivablesConfig, RevenueConfig
 from ledgerloom.functions import invoice
@@ -169,11 +169,13 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    for name, (plain, shaped) in PAIRS.items():
-        times = [
-            seconds(lambda: build(testdata.load(spark, sf_dir)), runs) for build in (plain, shaped)
-        ]
-        print(json.dumps({"step": name, "plain": times[0], "shaped": times[1]}), flush=True)
+    for name, pair in PAIRS.items():
+        forms = dict(zip(("plain", "shaped"), pair))
+        times = medians(
+            {form: lambda build=build: build(testdata.load(spark, sf_dir)) for form, build in forms.items()},
+            runs,
+        )
+        print(json.dumps({"step": name, **times}), flush=True)
     spark.stop()
 
 
