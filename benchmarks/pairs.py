@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -169,7 +170,9 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    for name, pair in PAIRS.items():
+    chosen = sys.argv[1:] or list(PAIRS)
+    for name in chosen:
+        pair = PAIRS[name]
         forms = dict(zip(("plain", "shaped"), pair))
         times = medians(
             {form: lambda build=build: build(testdata.load(spark, sf_dir)) for form, build in forms.items()},

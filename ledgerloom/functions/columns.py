@@ -14,11 +14,13 @@ EXACT = "decimal(38,6)"
 
 
 def _shifted(value: str, places: str) -> str:
-    """``value / 10^(places - 2)`` in decimal arithmetic."""
-    powers = " ".join(
-        f"WHEN {dp} THEN CAST({Decimal(10) ** (2 - dp):f} AS DECIMAL(18,6))" for dp in EXACT_PLACES
-    )
-    product = f"CAST({value} AS DECIMAL(19,0)) * CASE {places} {powers} END"
+    """``value / 10^(places - 2)`` in decimal arithmetic.
+
+    The powers are one constant array: a CASE per power would name the inputs,
+    and with them whatever they are derived from, once per branch.
+    """
+    powers = ", ".join(f"CAST({Decimal(10) ** (2 - dp):f} AS DECIMAL(18,6))" for dp in EXACT_PLACES)
+    product = f"CAST({value} AS DECIMAL(19,0)) * array({powers})[{places}]"
     quotient = f"CAST({value} / POWER(10.0D, {places} - 2) AS {EXACT})"
     last = EXACT_PLACES[-1]
     return f"CASE WHEN {places} BETWEEN 0 AND {last} THEN {product} ELSE {quotient} END"
