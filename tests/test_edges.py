@@ -15,6 +15,7 @@ from ledgerloom.operators.aggregates import earliest_value
 from ledgerloom.plans import ar_mart as ar
 from ledgerloom.plans import client_keys as clients
 from ledgerloom.plans import revenue_mart as revenue
+from ledgerloom.plans.ar_corrections import ar_corrections
 
 CFG, REV = ReceivablesConfig(), RevenueConfig()
 
@@ -358,3 +359,16 @@ def test_small_texts(spark):
 def test_day_cuts_time(spark):
     got = column(spark, [("2024-07-23 13:00:00",), ("2024-07-23",)], "t string", columns.day(F.col("t")))
     assert got == [(date(2024, 7, 23),)] * 2
+
+
+def test_correction_of_one_field(make_tables):
+    key = {"cmpcode": "BAS", "doccode": "SINV", "docnum": "7"}
+    t = make_tables(
+        dochead=[{**key, "docdate": date(2020, 1, 1), "cdc_operation_type": "I"}],
+        docline=[{**key, "statpay": 84, "el2": "0211", "el3": "D1", "ref5": "PT1234-99"}],
+        ref_correction=[{"Instance": "BAS", "DocCode": "SINV", "Title": "7",
+                         "Field": "ServiceDeliverySite", "FieldValue": "PT9"}],
+    )
+    names = ("New_ServiceDeliverySite", "New_ServiceDeliverySiteInvoiceNumber", "_InvoiceSite_DeliverySite")
+    assert ar_corrections(t).select(*names).collect() == [("PT9", "PT9", "BASPT9")]
+    assert ar_corrections(t, by_field=True).select(*names).collect() == [("PT9", "99", "BASPT9")]
