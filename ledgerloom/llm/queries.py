@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import common, mixing, sharding, tokens
+from ledgerloom.llm import common, mixing, quality, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +84,8 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     return tokens.count_tokens(_table(spark, sf_dir, "documents"), path, limit=1024)
+
+
+@_query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"))
