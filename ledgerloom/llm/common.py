@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -14,6 +16,7 @@ BROADCAST_ROWS = 200_000
 #: Rows of an Arrow batch; texts are long, so fewer than Spark's default.
 BATCH_ROWS = 512
 _ROW_IN_PARTITION = (1 << 33) - 1
+_ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -30,11 +33,16 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lower the rows of an Arrow batch to ``BATCH_ROWS``, unless the session has set a number."""
+def python_workers(spark: SparkSession) -> None:
+    """Lower the rows of an Arrow batch to ``BATCH_ROWS`` unless the session has set a number,
+    and let local workers import this package (on a cluster submit it with --py-files).
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":
         spark.conf.set(key, str(BATCH_ROWS))
+    found = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if _ROOT not in found.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, found) if x)
 
 
 def map_batches(
@@ -46,7 +54,7 @@ def map_batches(
         for part in parts:
             yield run(part)
 
-    small_batches(df.sparkSession)
+    python_workers(df.sparkSession)
     return df.mapInArrow(batches, schema)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import common, mixing, quality, sharding, tokens
+from ledgerloom.llm import common, mixing, neardup, quality, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,3 +89,8 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
