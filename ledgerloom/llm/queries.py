@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import common, mixing, neardup, quality, sharding, tokens
+from ledgerloom.llm import common, mixing, neardup, quality, sharding, tokens, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,3 +94,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
