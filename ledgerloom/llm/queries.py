@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import common, mixing, neardup, quality, sharding, tokens, toxicity, vectors
+from ledgerloom.llm import common, extraction, licences, mixing, neardup, packing, quality, sharding, tokens, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,3 +106,20 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).withColumn("n_passages", F.size("passages")).drop("passages")
+
+
+@_query
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(_table(spark, sf_dir, "pages"), extraction.train(spark))
+
+
+@_query
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), budget=16_384, buckets=16)
+
+
+@_query
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files source/lang/id; one that opens with a notice speaks for its directory."""
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licences.scan(_table(spark, sf_dir, "documents"), path=path, declares=F.col("line") == 0)
