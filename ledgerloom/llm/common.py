@@ -8,6 +8,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 #: A word is a run of characters other than ASCII white space (fixed by the query contracts).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -46,7 +47,7 @@ def python_workers(spark: SparkSession) -> None:
 
 
 def map_batches(
-    df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
+    df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType
 ) -> DataFrame:
     """``run`` on each Arrow batch of ``df``, in bounded batches."""
 
@@ -116,3 +117,12 @@ def _numbered_all(rows: DataFrame, columns: list[str], part: str, place: str, na
 def numbered_in_order(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Number all rows from 0 in the order of columns that together differ in every row."""
     return numbered(df.repartitionByRange(*order).sortWithinPartitions(*order), [], name)
+
+
+def filtered(docs: DataFrame, text_col: str, keep: Callable[[list], list[bool]]) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose texts ``keep`` accepts, a batch at a time."""
+
+    def run(part: pa.RecordBatch) -> pa.RecordBatch:
+        return part.filter(pa.array(keep(part.column(text_col).to_pylist()), pa.bool_()))
+
+    return map_batches(docs, run, docs.schema)

@@ -44,6 +44,7 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
     size: Column | None = None,
+    carry: bool = False,
 ) -> DataFrame:
     """How many words of each document a mix takes.
 
@@ -55,8 +56,9 @@ def mix(
     reached; the document at that edge is taken in part, so a source meets its
     target to the word.
 
-    Returns id, source, size, source_size, target, repeats (whole readings), extra
-    (words of the fractional one) and taken = repeats * size + extra. Documents
+    Returns doc_id, source, size, source_size, target, repeats (whole readings), extra
+    (words of the fractional one) and taken = repeats * size + extra; with ``carry``
+    also ``row``, all columns of the document, whose text is then read twice. Documents
     without words, and sources without any or without a weight, take nothing. A row
     that repeats an id counts as a document of its own. An empty table gives an
     empty result.
@@ -65,12 +67,14 @@ def mix(
     sums for each cell show which one holds the edge, and that cell alone is put
     in order, so a source with a third of all rows needs no large task.
     """
-    base = stored(docs.select(
+    described = docs.select(
+        *([F.struct("*").alias("row")] if carry else []),
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
         (words(F.col(text_col)) if size is None else size.cast("long")).alias("size"),
         seeded_key(seed, F.col(id_col), F.col(text_col)).alias("key"),
-    ).withColumn("cell", F.substring("key", 1, CELL_DIGITS)))
+    ).withColumn("cell", F.substring("key", 1, CELL_DIGITS))
+    base = stored(described.drop("row"))
     cells = stored(base.groupBy("source", "cell").agg(F.sum("size").alias("cell_size")))
     sums = cells.groupBy("source").agg(F.sum("cell_size").alias("source_size")).alias("s")
     known = weights.select(F.col("source").alias("w_source"), F.col("weight").cast("double").alias("weight"))
@@ -106,14 +110,27 @@ def mix(
         plan.join(edges, F.col("p.source").eqNullSafe(F.col("e_source")), "left")
         .select(F.col("p.source").alias("p_source"), "source_size", "target", "repeats", "edge", "edge_need")
     )
-    joined = base.join(bounded(plan, rows), F.col("source").eqNullSafe(F.col("p_source")))
+    joined = (described if carry else base).join(bounded(plan, rows), F.col("source").eqNullSafe(F.col("p_source")))
     at_edge = F.coalesce(F.col("cell") == F.col("edge"), F.lit(False))
     whole = F.when(F.col("cell") < F.col("edge"), F.col("size")).otherwise(0)
     order = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     left = F.col("edge_need") - (F.sum("size").over(order) - F.col("size"))
     part = F.greatest(F.lit(0), F.least(F.col("size"), left))
-    columns = ["doc_id", "source", "size", "source_size", "target", "repeats"]
+    columns = [*(["row"] if carry else []), "doc_id", "source", "size", "source_size", "target", "repeats"]
     result = joined.filter(~at_edge).select(*columns, whole.cast("long").alias("extra")).unionByName(
         joined.filter(at_edge).select(*columns, part.cast("long").alias("extra"))
     )
     return result.withColumn("taken", F.col("repeats") * F.col("size") + F.col("extra"))
+
+
+def mixed_documents(docs: DataFrame, weights: DataFrame, share: float, max_epochs: float, seed: int = 17, **columns: str) -> DataFrame:
+    """The documents of the mix with their own columns: a row for each reading.
+
+    The document at the edge of a source's target is read again if at least half of
+    its words are still needed; texts stay whole.
+    """
+    mix_ = mix(docs, weights, share, max_epochs, seed, carry=True, **columns)
+    again = ((F.col("extra") > 0) & (2 * F.col("extra") >= F.col("size"))).cast("long")
+    readings = (F.col("repeats") + again).alias("readings")
+    read = mix_.select("row", readings).filter("readings > 0")
+    return read.select("row", F.explode(F.sequence(F.lit(1), F.col("readings")))).select("row.*")

@@ -44,7 +44,7 @@ BLOCK = 1024
 #: Members that are sent to one copy of a text they are compared with.
 FAN = 256
 
-_SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, halves array<long>, sketch binary"
+_SKETCH = "doc_id long, text_key long, n_shingles long, h1 long, h2 long, halves array<long>, sketch binary"
 
 
 def sketches(docs: DataFrame, p: NearDup, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -71,12 +71,14 @@ def sketches(docs: DataFrame, p: NearDup, id_col: str = "doc_id", text_col: str
             halves.append(mixed.view(np.int64))
             low.append((mins >> np.uint64(7)).astype(np.uint8).tobytes())
         arrays = [
-            part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
+            part.column("doc_id"), part.column("text_key"), pa.array(sizes, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
             pa.array(halves, pa.list_(pa.int64())), pa.array(low, pa.binary()),
         ]
-        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "h1", "h2", "halves", "sketch"])
+        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_key", "n_shingles", "h1", "h2", "halves", "sketch"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")
+    )
     return map_batches(rows, sketch, _SKETCH)
 
 
@@ -241,7 +243,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, p: NearDup
 def near_duplicates(
     docs: DataFrame, params: NearDup = NearDup(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row.
+    """doc_id, n_shingles, component_id, kept and text_key (a hash of the text) of every row.
 
     Texts are linked when 100 * intersection >= percent * union of their sets of
     distinct word shingles; component_id is the smallest id reachable by links.
@@ -283,6 +285,32 @@ def near_duplicates(
     named = classes.join(labels.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left").select(
         "h1", "h2", F.coalesce("component", "node").alias("component_id")
     )
-    matched = usable.join(named, ["h1", "h2"]).select("doc_id", "n_shingles", "component_id")
-    alone = rows.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    matched = usable.join(named, ["h1", "h2"]).select("doc_id", "text_key", "n_shingles", "component_id")
+    alone = rows.filter("n_shingles = 0 or doc_id is null").select(
+        "doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id")
+    )
     return matched.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def drop_near_duplicates(
+    docs: DataFrame, params: NearDup = NearDup(), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stand for their component.
+
+    Rows with the same id and text are one document: one of them stays. Rows without
+    an id stay.
+    """
+    found = stored(near_duplicates(docs, params, id_col, text_col).select("doc_id", "text_key", "kept"))
+    key = [F.col(id_col).cast("long").eqNullSafe(F.col("g_id")), F.xxhash64(text_col) == F.col("g_key")]
+
+    def marked(rows: DataFrame) -> DataFrame:
+        few = stored(rows.select(F.col("doc_id").alias("g_id"), F.col("text_key").alias("g_key")))
+        return bounded(few, few.count())
+
+    left = docs.join(marked(found.filter("not kept").distinct()), key, "left_anti")
+    again = found.filter("kept and doc_id is not null").groupBy("doc_id", "text_key").count().filter("count > 1")
+    if again.isEmpty():
+        return left
+    twice = marked(again)
+    one = left.join(twice, key, "left_semi").withColumn("__key", F.xxhash64(text_col)).dropDuplicates([id_col, "__key"]).drop("__key")
+    return left.join(twice, key, "left_anti").unionByName(one)

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import map_batches
+from ledgerloom.llm.common import filtered, map_batches
 
 #: Symbols that are counted (fixed by the query contract).
 SYMBOLS = "#*$%&|<>"
@@ -91,6 +91,17 @@ def measure(text: str | None) -> tuple:
     return (*counts, whole, n, bad, verdict)
 
 
+def accepted(measured: tuple) -> bool:
+    """Whether a measured text passes the base rules and the compression bands."""
+    n_words, n_repeat = measured[0], measured[4]
+    return n_words >= 50 and 100 * n_repeat <= 50 * n_words and measured[8] == "ok"
+
+
+def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows that ``quality`` keeps, with all their columns."""
+    return filtered(docs, text_col, lambda texts: [accepted(measure(text)) for text in texts])
+
+
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts, ratios and a verdict for every row.
 

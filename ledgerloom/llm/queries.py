@@ -93,7 +93,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents")).drop("text_key")
 
 
 @_query
@@ -120,6 +120,6 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files source/lang/id; one that opens with a notice speaks for its directory."""
+    """Documents as files source/lang/id; every one with a notice speaks for its directory."""
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
-    return licences.scan(_table(spark, sf_dir, "documents"), path=path, declares=F.col("line") == 0)
+    return licences.scan(_table(spark, sf_dir, "documents"), path=path, declares=F.lit(True))

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.llm.common import map_batches, python_workers, stored
+from ledgerloom.llm.common import filtered, map_batches, python_workers, stored
 
 _TOKEN = re.compile(r"[^\W_]+")
 
@@ -265,6 +265,25 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
     return Model(scores, settings, scale, model.rate, slope, offset)
 
 
+def _judged(texts: list[str | None], model: Model) -> list[tuple[float, int, list[dict]]]:
+    """Score, tokens and significant passages of each text."""
+    known = TokenScores(model)
+    out = []
+    for text in texts:
+        n, found = passages(text or "", known)
+        x = min(200.0, surprise(n, [s[0] for s in found], model))
+        value = 1 / (1 + float(np.exp(-np.clip(model.slope * np.log1p(x) + model.offset, -30, 30))))
+        rare = [{"score": s, "start": a, "end": b} for s, a, b in found if model.rate * n * np.exp(-model.scale * s) < 0.01]
+        out.append((value, n, rare))
+    return out
+
+
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows whose score is below ``threshold``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return filtered(docs, text_col, lambda texts: [x < threshold for x, _, _ in _judged(texts, shared.value)])
+
+
 def score(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted and the passages of every row.
 
@@ -277,16 +296,8 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(part: pa.RecordBatch) -> pa.RecordBatch:
-        m = shared.value
-        known = TokenScores(m)
-        values, counts, spans = [], [], []
-        for text in part.column("text").to_pylist():
-            n, found = passages(text or "", known)
-            x = min(200.0, surprise(n, [s[0] for s in found], m))
-            values.append(1 / (1 + float(np.exp(-np.clip(m.slope * np.log1p(x) + m.offset, -30, 30)))))
-            counts.append(n)
-            rare = [s for s in found if m.rate * n * np.exp(-m.scale * s[0]) < 0.01]
-            spans.append([{"score": s, "start": a, "end": b} for s, a, b in rare])
+        found = _judged(part.column("text").to_pylist(), shared.value)
+        values, counts, spans = zip(*found, strict=True) if found else ((), (), ())
         kind = pa.list_(pa.struct([("score", pa.float64()), ("start", pa.int32()), ("end", pa.int32())]))
         return pa.RecordBatch.from_arrays(
             [part.column("doc_id"), pa.array(values, pa.float64()), pa.array(counts, pa.int64()), pa.array(spans, kind)],
