@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from ledgerloom.llm import toxicity
+
+
+def by_definition(values):
+    """Maximal segments: the best of a stretch, then those of what is left and right of it."""
+    best = (0.0, 0, 0)
+    for i in range(len(values)):
+        for j in range(i + 1, len(values) + 1):
+            total = sum(values[i:j])
+            if total > best[0] + 1e-9:
+                best = (total, i, j)
+    if best[0] <= 0:
+        return []
+    _, i, j = best
+    return by_definition(values[:i]) + [best] + [(s, a + j, b + j) for s, a, b in by_definition(values[j:])]
+
+
+def test_segments_by_definition():
+    rng = random.Random(1)
+    for _ in range(200):
+        values = [rng.choice([-7, -3, -1, 2, 5, 9]) + rng.random() for _ in range(rng.randint(0, 14))]
+        got = toxicity.segments(np.array(values))
+        want = by_definition(values)
+        assert [(a, b) for _, a, b in got] == [(a, b) for _, a, b in want]
+        assert [s for s, _, _ in got] == pytest.approx([s for s, _, _ in want])
+
+
+@pytest.fixture(scope="module")
+def corpus(prose):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(900):
+        words = prose(rng.randint(20, 300), i)
+        if i % 6 == 0:
+            for _ in range(rng.randint(2, 8)):
+                words.insert(rng.randrange(len(words)), rng.choice(["zounds", "knave", "varlet", "churl"]) + rng.choice(["", "", "ish", "ery"]))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 6 == 0)))
+    return rows, labels
+
+
+@pytest.fixture(scope="module")
+def model(spark, make_docs, corpus):
+    rows, labels = corpus
+    more = [(5000, 1), (None, 1), (2, None)]
+    return toxicity.train(make_docs([*rows, (None, "knave"), (5000, None)]), spark.createDataFrame([*labels, *more], "doc_id long, toxic int"))
+
+
+def test_held_out_accuracy(make_docs, corpus, model):
+    rows, labels = corpus
+    got = toxicity.score(make_docs(rows), model).collect()
+    toxic = dict(labels)
+    held = [r for r in got if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got)
+    assert np.mean([r.predicted == toxic[r.doc_id] for r in held]) > 0.97
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_held_out_labels_teach_nothing(spark, make_docs, corpus, model):
+    rows, labels = corpus
+    other = [(i, 1 - t if zlib.crc32(str(i).encode()) % 3 == 1 else t) for i, t in labels]
+    assert toxicity.train(make_docs(rows), spark.createDataFrame(other, "doc_id long, toxic int")) == model
+
+
+def test_odd_rows(make_docs, model):
+    rows = [(1, None), (2, ""), (None, "plain words"), (3, "knave churl varlet zounds"), (3, "knave churl varlet zounds"), (4, "knave " * 40_000)]
+    docs = make_docs(rows)
+    got = {(r.doc_id, r.predicted) for r in toxicity.score(docs, model).collect()}
+    assert got == {(1, 0), (2, 0), (None, 0), (3, 1), (4, 1)}
+    assert toxicity.drop_toxic(docs, model).count() == 3
+    assert toxicity.drop_toxic(docs, model).columns == docs.columns
+    assert toxicity.score(make_docs([]), model).count() == 0
+
+
+def test_without_labels_all_scores_are_equal(spark, make_docs):
+    docs = make_docs([(1, "a b"), (2, "c")])
+    for labels in ([], [(1, 0), (2, 0)]):
+        m = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+        assert {(r.score, r.predicted) for r in toxicity.score(docs, m).collect()} == {(0.5, 0)}
