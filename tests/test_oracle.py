@@ -15,10 +15,10 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.QUERIES) == set(contract.ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.QUERIES))
 def test_query(spark, duck, name):
     names, rows = spark_rows(contract.queries()[name](spark, SF_DIR))
     sql_names, expected = sql_rows(duck, contract.oracle_sql()[name])
