@@ -8,44 +8,67 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 
-# Decimal places for which exact amounts are an integer times a power of ten.
-EXACT_PLACES = range(0, 9)
-EXACT = "decimal(38,6)"
+# Decimal places whose amounts are summed exactly, in two ranges: each keeps every
+# digit of an integer of 19 digits and leaves room for sums.
+COARSE_PLACES = range(-2, 9)
+FINE_PLACES = range(9, 19)
 
 
-def _shifted(value: str, places: str) -> str:
-    """``value / 10^(places - 2)`` in decimal arithmetic.
-
-    The powers are one constant array: a CASE per power would name the inputs,
-    and with them whatever they are derived from, once per branch.
-    """
-    powers = ", ".join(f"CAST({Decimal(10) ** (2 - dp):f} AS DECIMAL(18,6))" for dp in EXACT_PLACES)
-    product = f"CAST({value} AS DECIMAL(19,0)) * array({powers})[{places}]"
-    quotient = f"CAST({value} / POWER(10.0D, {places} - 2) AS {EXACT})"
-    last = EXACT_PLACES[-1]
-    return f"CASE WHEN {places} BETWEEN 0 AND {last} THEN {product} ELSE {quotient} END"
-
-
-def scaled_amount(value: str, places: str, mode: str = "zero", exact: bool = False) -> Column:
+def scaled_amount(value: str, places: str, mode: str = "zero") -> Column:
     """``value / 10^(places - 2)`` as double; ``value`` is an integer column.
 
     ``mode="zero"``: places of NULL or 0 give 0.
     ``mode="raw"``: places of 0 give the value itself, places of NULL give NULL.
-
-    ``exact=True`` gives a decimal.  Sums of doubles depend on the order in which
-    rows arrive, so a task that is run again may get another last digit; sums of
-    decimals do not.
     """
-    kind, shifted = "DOUBLE", f"{value} / POWER(10.0D, {places} - 2)"
-    if exact:
-        kind, shifted = EXACT, _shifted(value, places)
+    shifted = f"{value} / POWER(10.0D, {places} - 2)"
     if mode == "zero":
-        return F.expr(f"CASE WHEN coalesce({places}, 0) = 0 THEN CAST(0 AS {kind}) ELSE {shifted} END")
+        return F.expr(f"CASE WHEN coalesce({places}, 0) = 0 THEN 0.0D ELSE {shifted} END")
     if mode == "raw":
-        return F.expr(f"CASE WHEN {places} = 0 THEN CAST({value} AS {kind}) ELSE {shifted} END")
+        return F.expr(f"CASE WHEN {places} = 0 THEN CAST({value} AS DOUBLE) ELSE {shifted} END")
     raise ValueError(f"mode must be 'zero' or 'raw', not {mode!r}")
 
 
+def _shifted(value: str, places: str, shifts: range, kind: str) -> str:
+    """``value / 10^(places - 2)`` in decimal arithmetic for ``places`` in ``shifts``, else NULL.
+
+    The powers are one constant array: a CASE per power would name the inputs,
+    and with them whatever they are derived from, once per branch.
+    """
+    powers = ", ".join(f"CAST({Decimal(10) ** (2 - dp):f} AS {kind})" for dp in shifts)
+    product = f"{value} * array({powers})[{places} - ({shifts[0]})]"
+    return f"CASE WHEN {places} BETWEEN {shifts[0]} AND {shifts[-1]} THEN {product} END"
+
+
+def summed_amount(
+    value: str, places: str, mode: str = "zero", exact: bool = True, copies: str | None = None
+) -> Column:
+    """Aggregate: the sum of ``scaled_amount``, each row counted ``copies`` times, as double.
+
+    Sums of doubles depend on the order in which rows arrive, so a task that is
+    run again may get another last digit; ``exact=True`` sums decimals, which do
+    not.  No digit is cut: amounts of up to 8 places and of 9 to 18 places have a
+    decimal sum each.  Places outside -2 to 18 are summed as double.
+    """
+    times = F.lit(1) if copies is None else F.col(copies)
+    if not exact:
+        return F.sum(scaled_amount(value, places, mode) * times)
+    # The place that has a rule of its own is left out of the others.
+    own = f"coalesce({places}, 0) = 0" if mode == "zero" else f"{places} = 0"
+    other = f"CASE WHEN NOT ({own}) THEN {places} END"
+    whole = f"CAST({value} AS DECIMAL(19,0))" + ("" if copies is None else f" * CAST({copies} AS DECIMAL(10,0))")
+    fine = f"CAST({whole} AS DECIMAL(21,0))"
+    itself = "CAST(0 AS DECIMAL(38,6))" if mode == "zero" else f"CAST({whole} AS DECIMAL(38,6))"
+    coarse = f"CASE WHEN {own} THEN {itself} ELSE CAST({_shifted(whole, other, COARSE_PLACES, 'DECIMAL(11,6)')} AS DECIMAL(38,6)) END"
+    beyond = f"{places} < {COARSE_PLACES[0]} OR {places} > {FINE_PLACES[-1]}"
+    parts = [
+        F.sum(F.expr(coarse)).cast("double"),
+        F.sum(F.expr(_shifted(fine, other, FINE_PLACES, "DECIMAL(16,16)"))).cast("double"),
+        F.sum(F.when(F.expr(beyond), scaled_amount(value, places, mode) * times)),
+    ]
+    total = reduce(lambda a, b: a + b, [F.coalesce(part, F.lit(0.0)) for part in parts])
+    return F.when(F.coalesce(*parts).isNotNull(), total)
+
+
 def joined_text(*parts: Column) -> Column:
     """Concatenate with NULL read as the empty string."""
     return F.concat(*[F.coalesce(part, F.lit("")) for part in parts])

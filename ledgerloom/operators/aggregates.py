@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 def sum_max(
     df: DataFrame, keys: list[str], sums: dict[str, Column], maxima: list[str]
 ) -> DataFrame:
-    """Group by ``keys``: named sums of expressions, as double, and maxima of columns."""
+    """Group by ``keys``: named sums, given as aggregates, and maxima of columns."""
     return df.groupBy(*keys).agg(
-        *[F.sum(expression).cast("double").alias(name) for name, expression in sums.items()],
+        *[total.alias(name) for name, total in sums.items()],
         *[F.max(name).alias(name) for name in maxima],
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.config import CDC_DELETE, ReceivablesConfig
 from ledgerloom.functions import invoice
-from ledgerloom.functions.columns import none_contained, scaled_amount
+from ledgerloom.functions.columns import none_contained, summed_amount
 from ledgerloom.operators.aggregates import filtered_max, sum_max
 from ledgerloom.operators.keys import KEY, RAW_KEY, document_join, with_document_key
 from ledgerloom.operators.lookups import lookup_join
@@ -29,8 +29,8 @@ def receivable_totals(docline: DataFrame, cfg: ReceivablesConfig = ReceivablesCo
         lines,
         [*RAW_KEY, "statpay"],
         {
-            "valuedoc": scaled_amount("valuedoc", "valuedoc_dp", "zero", exact),
-            "valuehome": scaled_amount("valuehome", "valuehome_dp", "zero", exact),
+            "valuedoc": summed_amount("valuedoc", "valuedoc_dp", "zero", exact),
+            "valuehome": summed_amount("valuehome", "valuehome_dp", "zero", exact),
         },
         ["el2", "el3", "ref1", "ref2", "ref3", "ref4", "ref5"],
     )

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.config import CDC_DELETE, RevenueConfig
 from ledgerloom.functions import invoice
-from ledgerloom.functions.columns import scaled_amount
+from ledgerloom.functions.columns import summed_amount
 from ledgerloom.operators.aggregates import earliest_value, with_copies
 from ledgerloom.operators.keys import KEY, RAW_KEY, document_join, with_document_key
 from ledgerloom.operators.lookups import is_small, lookup_join
@@ -109,9 +109,7 @@ def revenue_groups(tables: DocumentTables, cfg: RevenueConfig = RevenueConfig())
     heads = head_rows(tables.dochead.filter(F.col("docdate") >= F.lit(cfg.first_day)))
     base = with_line_fields(revenue_lines(tables.docline, cfg), heads, cfg)
     amounts = [
-        F.sum(
-            scaled_amount(name, f"{name}_dp", "raw", cfg.exact_amounts) * F.col("head_copies")
-        ).alias(name)
+        summed_amount(name, f"{name}_dp", "raw", cfg.exact_amounts, copies="head_copies").alias(name)
         for name in ("valuehome", "valuedoc")
     ]
     return base.groupBy(*LINE_KEYS).agg(*amounts)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import date
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,24 +32,36 @@ def test_scaled_amount(spark, mode, expected):
     rows = [(12345, dp) for dp in (2, 3, 1, 0, None)]
     got = column(spark, rows, "v long, dp int", columns.scaled_amount("v", "dp", mode))
     assert [value for value, in got] == expected
-    exact = column(spark, rows, "v long, dp int", columns.scaled_amount("v", "dp", mode, exact=True))
-    assert [value for value, in exact] == [None if v is None else Decimal(str(v)) for v in expected]
+    df = spark.createDataFrame(rows, "v long, dp int")
+    sums = df.groupBy("dp").agg(columns.summed_amount("v", "dp", mode).alias("s"))
+    assert {row.dp: row.s for row in sums.collect()} == dict(zip((2, 3, 1, 0, None), expected))
 
 
-def test_exact_amounts_of_many_places(spark):
-    rows = [(v, dp) for dp in range(-2, 12) for v in (7, -123456789012)]
-    df = spark.createDataFrame(rows, "v long, dp int")
-    plain, exact = columns.scaled_amount("v", "dp"), columns.scaled_amount("v", "dp", exact=True)
-    for double, decimal in df.select(plain, exact).collect():
-        assert float(decimal) == pytest.approx(double, rel=1e-12, abs=5e-7)
+@pytest.mark.parametrize("mode", ["zero", "raw"])
+@pytest.mark.parametrize("copies", [None, "n"])
+def test_exact_sums_of_many_places(spark, mode, copies):
+    rows = [
+        (v, dp, 3) for dp in [*range(-5, 24), None] for v in (7, -123456789012, 9 * 10**17 + 1, None)
+    ]
+    df = spark.createDataFrame(rows, "v long, dp int, n long")
+    got = df.groupBy("v", "dp").agg(columns.summed_amount("v", "dp", mode, copies=copies).alias("s"))
+    for row in got.collect():
+        if row.dp is None or (mode == "zero" and row.dp == 0):
+            want = 0.0 if mode == "zero" else None
+        elif row.v is None:
+            want = None
+        else:
+            want = float(row.v) / 10.0 ** (row.dp - 2 if row.dp else 0) * (3 if copies else 1)
+        assert row.s == (want if not want else pytest.approx(want, rel=1e-12, abs=0.0))
 
 
 def test_exact_sums_do_not_depend_on_order(spark):
-    rows = [(v, 3, i) for i, v in enumerate([1, 10**15, 3, -10**15, 7] * 20)]
+    rows = [(v, dp, i) for dp in (3, 12) for i, v in enumerate([1, 10**15, 3, -10**15, 7] * 20)]
     df = spark.createDataFrame(rows, "v long, dp int, i int")
-    total = F.sum(columns.scaled_amount("v", "dp", exact=True)).cast("double").alias("s")
+    total = columns.summed_amount("v", "dp").alias("s")
     orders = [F.col("i"), F.desc("i"), F.col("v"), F.xxhash64("i")]
-    assert {df.coalesce(1).sort(order).agg(total).first().s for order in orders} == {22.0}
+    assert len({df.coalesce(1).sort(order).agg(total).first().s for order in orders}) == 1
+    assert df.agg(total).first().s == pytest.approx(22.0 + 22e-9, rel=1e-15)
 
 
 AR_SCHEMA = (
