@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -43,11 +40,18 @@ def _cents(df: DataFrame) -> DataFrame:
     })
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of the session, or in a local one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or tempfile.mkdtemp(prefix="ledgerloom-")
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+def _through(spark: SparkSession, name: str, write_and_read: Callable[[str], DataFrame]) -> DataFrame:
+    """The rows of a table written to the shared scratch folder, which is then removed.
+
+    They are checkpointed, as a frame that is used later cannot hold on to the folder.
+    """
+    path = sinks.scratch_path(spark, name)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(sinks.scratch_path(spark, "rows"))
+    try:
+        return write_and_read(path).checkpoint()
+    finally:
+        sinks.remove(spark, path)
 
 
 # scans and single operators ------------------------------------------------
@@ -351,26 +355,35 @@ def full_row_duplicates(t):
 @_query
 def lookup_csv(t):
     spark = t.category.sparkSession
-    path = _scratch(spark, "category")
-    t.category.write.csv(path, header=True)
-    return tables.read_csv(spark, path, schemas.CATEGORY)
+
+    def csv(path: str) -> DataFrame:
+        tables.write_csv(t.category, path)
+        return tables.read_csv(spark, path, schemas.CATEGORY)
+
+    return _through(spark, "category", csv)
 
 
 @_query
 def sink_roundtrip(t):
     mart = _cents(ar.ar_mart(t))
-    path = _scratch(mart.sparkSession, "ar_mart")
-    sinks.overwrite(mart, path)
-    return sinks.read_back(mart.sparkSession, path)
+
+    def table(path: str) -> DataFrame:
+        sinks.overwrite(mart, path)
+        return sinks.read_back(mart.sparkSession, path)
+
+    return _through(mart.sparkSession, "ar_mart", table)
 
 
 @_query
 def sink_schema_evolution(t):
     mart = _cents(ar.ar_mart(t))
-    path = _scratch(mart.sparkSession, "ar_mart_evolved")
-    sinks.overwrite(mart.withColumn("RetiredColumn", F.lit("old")), path)
-    sinks.overwrite(mart, path, evolve_schema=True)
-    return sinks.read_back(mart.sparkSession, path)
+
+    def table(path: str) -> DataFrame:
+        sinks.overwrite(mart.withColumn("RetiredColumn", F.lit("old")), path)
+        sinks.overwrite(mart, path, evolve_schema=True)
+        return sinks.read_back(mart.sparkSession, path)
+
+    return _through(mart.sparkSession, "ar_mart_evolved", table)
 
 
 @_query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -26,6 +28,17 @@ def _stored_schema(spark: SparkSession, path: str, fmt: str):
         return None
 
 
+class ChangedType(ValueError):
+    """A column would change its type in a table that keeps its schema."""
+
+
+def _reject_changed_types(df: DataFrame, old) -> None:
+    new = {field.name.lower(): field.dataType for field in df.schema}
+    changed = [f.name for f in old if new.get(f.name.lower(), f.dataType) != f.dataType]
+    if changed:
+        raise ChangedType(f"stored with another type: {', '.join(changed)}")
+
+
 def overwrite(
     df: DataFrame,
     path: str,
@@ -41,13 +54,15 @@ def overwrite(
 
     With ``evolve_schema`` columns that only the old table has stay in the
     schema, filled with NULL.  Delta does this itself; for file formats the
-    missing columns are added to the frame.
+    missing columns are added to the frame, and a column whose type differs from
+    the stored one is rejected.
     """
     writer_options = {}
     if evolve_schema and fmt == "delta":
         writer_options["mergeSchema"] = "true"
     elif evolve_schema:
         old = _stored_schema(df.sparkSession, path, fmt) or []
+        _reject_changed_types(df, old)
         known = {name.lower() for name in df.columns}
         extra = [
             F.lit(None).cast(field.dataType).alias(field.name)
@@ -70,3 +85,25 @@ def read_back(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
 def written_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
     """Row count of a sink, the check after a write."""
     return read_back(spark, path, fmt).count()
+
+
+class NotShared(ValueError):
+    """A folder that not every executor sees."""
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for intermediate data in a folder that all executors share.
+
+    It lies in ``spark.checkpoint.dir``, or beside the tables of the warehouse
+    where that is unset.  Off a local master a path without a scheme is refused.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    if "://" not in root and not root.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise NotShared(f"spark.checkpoint.dir has no scheme: {root}")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

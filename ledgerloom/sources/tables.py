@@ -45,9 +45,42 @@ def read_table(
     return df if schema is None else conform(df, schema, path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with a header line.  The schema is declared, so nothing is scanned to infer it."""
-    return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
+# Quotes are doubled inside quoted fields, as spreadsheets write them.
+_CSV = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    null_text: str = "",
+    multi_line: bool = True,
+) -> DataFrame:
+    """CSV with a header line, a file or a folder of files; a malformed line fails.
+
+    The schema is declared, so nothing is scanned to infer it.  Quoted fields may
+    hold quotes, commas and line breaks; ``multi_line=False`` lets Spark split a
+    large file whose fields hold no line breaks.  ``null_text`` stands for NULL: by
+    default a blank field, which cannot be told from empty text.
+    """
+    options = {
+        **_CSV,
+        "multiLine": str(multi_line).lower(),
+        "mode": "FAILFAST",
+        "nullValue": null_text,
+        "enforceSchema": "false",
+        # Fields that a query does not ask for are checked as well.
+        "columnPruning": "false",
+    }
+    return spark.read.schema(schema).options(**options).csv(path)
+
+
+def write_csv(df: DataFrame, path: str, null_text: str = "") -> None:
+    """CSV that ``read_csv`` with the same ``null_text`` reads back.
+
+    Text equal to ``null_text`` comes back as NULL: with the default, empty text.
+    """
+    df.write.options(**_CSV, nullValue=null_text, emptyValue='""' if null_text else "").csv(path)
 
 
 class DocumentTables:
@@ -77,13 +110,18 @@ class DocumentTables:
 
     @classmethod
     def load(
-        cls, spark: SparkSession, paths: dict[str, str], fmt: str = "parquet"
+        cls, spark: SparkSession, paths: dict[str, str | tuple[str, str]], fmt: str = "parquet"
     ) -> "DocumentTables":
-        """Tables stored under ``paths``; a path ending in ``.csv`` is read as CSV."""
+        """Tables stored under ``paths``, each a path or (path, format).
+
+        A path that ends in ``.csv`` is read as CSV; a folder of CSV files is
+        given as ``(path, "csv")``.
+        """
 
-        def source(name: str, path: str) -> Callable[[], DataFrame]:
-            if path.endswith(".csv"):
+        def source(name: str, path: str, kind: str) -> Callable[[], DataFrame]:
+            if kind == "csv" or path.endswith(".csv"):
                 return lambda: read_csv(spark, path, schemas.ALL[name])
-            return lambda: read_table(spark, path, fmt=fmt)
+            return lambda: read_table(spark, path, fmt=kind)
 
-        return cls(**{name: source(name, path) for name, path in paths.items()})
+        given = {name: (path, fmt) if isinstance(path, str) else path for name, path in paths.items()}
+        return cls(**{name: source(name, *at) for name, at in given.items()})

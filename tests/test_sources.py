@@ -7,8 +7,9 @@ from datetime import date, datetime
 import pytest
 
 from ledgerloom import schemas
-from ledgerloom.sources import sinks
+from ledgerloom.sources import sinks, tables
 from ledgerloom.sources.tables import DocumentTables, SchemaMismatch, conform, read_csv, read_table
+from tests.conftest import SF_DIR
 
 
 def test_conform_prunes_orders_and_casts(spark):
@@ -98,3 +99,47 @@ def test_sanitize(spark):
     assert sinks.sanitize_columns(df).columns == ["AR_Billing_Site", "a_b_c_d_e_f_g_h", "ok"]
     with pytest.raises(ValueError, match="a_b"):
         sinks.sanitize_columns(spark.createDataFrame([(1, 2)], "`a b` int, a_b int"))
+
+
+UNTIDY = [("a", 'say "hi", ok', "two\nlines"), ("b", "", None), ("c", " padded ", "x,y"), ("d", '""', "\\ back"), ("e", "é\r\nz", "")]
+
+
+@pytest.mark.parametrize("null_text", ["", "\\N"])
+def test_csv_round_trip(spark, tmp_path, null_text):
+    df = spark.createDataFrame(UNTIDY, schemas.CATEGORY)
+    tables.write_csv(df, f"{tmp_path}/c", null_text)
+    got = {tuple(row) for row in tables.read_csv(spark, f"{tmp_path}/c", schemas.CATEGORY, null_text).collect()}
+    want = {tuple(v if v != "" or null_text else None for v in row) for row in UNTIDY}
+    assert got == want
+
+
+def test_csv_as_spreadsheets_write_it(spark, tmp_path):
+    header = ",".join(f'"{name}"' for name in schemas.CATEGORY.names)
+    (tmp_path / "one.csv").write_text(header + '\r\nA,"say ""hi"", ok",s\r\nB,"first\nsecond",\r\n')
+    (tmp_path / "two.csv").write_text(header + "\nC,,last\n")
+    loaded = DocumentTables.load(spark, {"category": (str(tmp_path), "csv")})
+    assert {tuple(row) for row in loaded.category.collect()} == {
+        ("A", 'say "hi", ok', "s"), ("B", "first\nsecond", None), ("C", None, "last"),
+    }
+
+
+def test_malformed_csv_fails(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text(",".join(schemas.CATEGORY.names) + "\nA,b,c,d\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        tables.read_csv(spark, str(tmp_path), schemas.CATEGORY).select(schemas.CATEGORY.names[0]).collect()
+
+
+def test_schema_evolution_rejects_a_changed_type(spark, tmp_path):
+    sinks.overwrite(spark.range(3).selectExpr("id AS a"), f"{tmp_path}/t")
+    with pytest.raises(sinks.ChangedType, match="a"):
+        sinks.overwrite(spark.range(3).selectExpr("string(id) AS a"), f"{tmp_path}/t", evolve_schema=True)
+
+
+def test_scratch_is_removed(spark):
+    from pathlib import Path
+
+    from __spark_entry__ import QUERIES
+
+    root = Path(sinks.scratch_path(spark, "x").removeprefix("file:")).parent
+    assert QUERIES["lookup_csv"](spark, SF_DIR).count() > 0
+    assert not list(root.glob("category-*"))
