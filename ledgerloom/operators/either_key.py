@@ -1,10 +1,11 @@
 """Left join on ``key_a = key OR key_b = key`` without a nested loop.
 
 Written as an OR, the join has no equality to hash on and Spark compares every
-pair of rows.  Here each left row first learns which of its keys exist on the
-right (two equi-joins to the distinct keys, which add no rows), keeps only
-those keys, and then takes part in one equi-join.  A row whose keys are both
-absent keeps one NULL key and so comes out once with NULLs.
+pair of rows.  A pair matches by the first key, or by the second where that is
+another key; rows that match by neither come out once with NULLs.  These are two
+inner joins and two anti joins on plain columns: each side has an exchange of its
+own, so Spark can divide the rows of a hot key, and rows without a match leave
+before the right side's columns are added.
 """
 
 from __future__ import annotations
@@ -16,13 +17,10 @@ def either_key_left_join(
     left: DataFrame, right: DataFrame, key_a: str, key_b: str, right_key: str
 ) -> DataFrame:
     """``right`` must not share column names with ``left``."""
-    known = right.select(right_key).filter(F.col(right_key).isNotNull()).distinct()
-
-    def probe(df: DataFrame, key: str, flag: str) -> DataFrame:
-        keys = known.select(F.col(right_key).alias(f"__{flag}"))
-        return df.join(keys, F.col(key) == F.col(f"__{flag}"), "left")
-
-    flagged = probe(probe(left, key_a, "a"), key_b, "b")
-    hits = F.array_distinct(F.filter(F.array("__a", "__b"), lambda k: k.isNotNull()))
-    probed = flagged.withColumn("__key", F.explode_outer(hits)).drop("__a", "__b")
-    return probed.join(right, F.col("__key") == F.col(right_key), "left").drop("__key")
+    by_a, by_b = (F.col(key) == F.col(right_key) for key in (key_a, key_b))
+    first = left.join(right, by_a)
+    second = left.filter(~F.col(key_a).eqNullSafe(F.col(key_b))).join(right, by_b)
+    keys = right.select(right_key)
+    neither = left.join(keys, by_a, "left_anti").join(keys, by_b, "left_anti")
+    blank = [F.lit(None).cast(field.dataType).alias(field.name) for field in right.schema]
+    return first.unionByName(second).unionByName(neither.select("*", *blank))

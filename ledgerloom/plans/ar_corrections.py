@@ -28,8 +28,15 @@ def correction_lookup(ref_correction: DataFrame) -> DataFrame:
     )
 
 
-def _without_end(text: Column, end: str) -> Column:
-    return F.left(text, F.length(text) - F.lit(len(end)))
+def _stem(key: Column, field: str) -> Column:
+    """The part of a key before its field; NULL where that is all the key holds.
+
+    A document without company, code and number has keys that are bare field
+    names, since joining texts leaves NULLs out.
+    """
+    end = f"-{field}"
+    cut = F.left(key, F.length(key) - F.lit(len(end)))
+    return F.when(key.endswith(end), cut)
 
 
 def with_corrections(keyed: DataFrame, corrections: DataFrame) -> DataFrame:
@@ -40,11 +47,14 @@ def with_corrections(keyed: DataFrame, corrections: DataFrame) -> DataFrame:
     both, and "either key matches" is one equality.  ``corrections`` holds each
     (key, value) once, so distinct rows stay distinct.
     """
-    endings = [f"-{field}" for field in (SITE_FIELD, INVOICE_FIELD)]
+    fields = (SITE_FIELD, INVOICE_FIELD)
     key = F.col("InterimKey")
-    stem = F.coalesce(*[F.when(key.endswith(end), _without_end(key, end)) for end in endings])
+    # A bare field name has a stem of its own that no text can be.
+    bare = F.when(key.isin(*fields), F.lit("\0"))
+    stem = F.coalesce(*[_stem(key, field) for field in fields], bare)
     lookup = corrections.distinct().withColumn("__stem", stem).filter("__stem is not null")
-    joined = keyed.withColumn("__own_stem", _without_end(F.col(SITE_KEY), endings[0]))
+    own = F.coalesce(_stem(F.col(SITE_KEY), SITE_FIELD), F.lit("\0"))
+    joined = keyed.withColumn("__own_stem", own)
     return joined.join(lookup, F.col("__own_stem") == F.col("__stem"), "left").drop(
         "__own_stem", "__stem"
     )

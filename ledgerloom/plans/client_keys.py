@@ -19,16 +19,22 @@ def client_key(site: Column, code: Column) -> Column:
 def parent_counts(tables: DocumentTables) -> DataFrame:
     """Cross-reference codes per (parent, name).
 
-    Codes are counted per client first, on the join key; the joined rows
-    themselves are never built.
+    Codes are counted per client and site first; the joined rows themselves are
+    never built.  The site keeps the counts apart from the join key, so that the
+    join has an exchange on both sides and Spark can divide a hot client.  Clients
+    without a code join nothing and bypass it.
     """
-    per_client = tables.client_xref.groupBy(F.col("m_code").alias("xref_code")).agg(
+    counts = tables.client_xref.groupBy(F.col("m_code").alias("xref_code"), "site_id").agg(
         F.count("c_code").alias("codes")
+    ).drop("site_id")
+    coded = tables.client_master.filter("m_code is not null")
+    joined = coded.join(counts, F.col("m_code") == F.col("xref_code"), "left").select(PARENT, NAME, "codes")
+    others = tables.client_master.filter("m_code is null").select(
+        PARENT, NAME, F.lit(None).cast("long").alias("codes")
     )
-    joined = tables.client_master.join(per_client, F.col("m_code") == F.col("xref_code"), "left")
-    return joined.groupBy(F.col(PARENT).alias("parent_id"), F.col(NAME).alias("parent_name")).agg(
-        F.coalesce(F.sum("codes"), F.lit(0).cast("long")).alias("parent_row_count")
-    )
+    return joined.unionByName(others).groupBy(
+        F.col(PARENT).alias("parent_id"), F.col(NAME).alias("parent_name")
+    ).agg(F.coalesce(F.sum("codes"), F.lit(0).cast("long")).alias("parent_row_count"))
 
 
 def ranked_parents(tables: DocumentTables) -> DataFrame:
@@ -62,8 +68,9 @@ def client_keys(
     ).distinct()
     linked = F.col("m_code") == F.col("xref_code")
     matched = master.join(keys, linked, "inner").select(master["*"], "ClientKey")
-    clients = tables.client_xref.select(F.col("m_code").alias("xref_code")).distinct()
-    unmatched = master.join(clients, linked, "left_anti").withColumn(
+    clients = tables.client_xref.select(F.col("m_code").alias("xref_code"))
+    without = master.filter("m_code is not null").join(clients, linked, "left_anti")
+    unmatched = without.unionByName(master.filter("m_code is null")).withColumn(
         "ClientKey", F.lit(None).cast("string")
     )
     return matched.unionByName(unmatched).select(

@@ -59,10 +59,17 @@ def customer_lines(
     heads = tables.dochead.filter(F.col("docdate") >= F.lit(cfg.first_day))
     if drop_cdc_deletes:
         heads = heads.filter(F.col("cdc_operation_type") != CDC_DELETE)
-    per_document = with_copies(with_document_key(heads), list(KEY), "head_copies")
-    copies = once if dedup else F.col("line_copies") * F.col("head_copies")
-    return document_join(grouped, per_document).select(
-        *RAW_KEY, customer, copies.alias("ar_copies")
+    heads = with_document_key(heads)
+    if dedup:
+        found = document_join(grouped, heads.select(*KEY), "left_semi")
+        return found.select(*RAW_KEY, customer, once.alias("ar_copies"))
+    # Counted by day as well, so that the join below has an exchange on both sides
+    # and Spark can divide a document with very many customer elements.
+    per_day = with_copies(heads, [*KEY, "docdate"], "head_copies")
+    return (
+        document_join(grouped, per_day)
+        .groupBy(*RAW_KEY, customer)
+        .agg(F.sum(F.col("line_copies") * F.col("head_copies")).alias("ar_copies"))
     )
 
 

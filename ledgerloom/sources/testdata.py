@@ -119,14 +119,14 @@ def el2_element(nation: DataFrame) -> DataFrame:
 
 
 def el3_element(supplier: DataFrame) -> DataFrame:
-    """Each customer on levels 2 and 3; two numbers have no entry, some of MAI two names."""
+    """Each customer on levels 2 and 3; two numbers have an old code, some of MAI two names."""
     levels = "if(code = 'MAI' AND number = 3, array(2, 3, 3), array(2, 3))"
-    rows = customer_numbers(supplier).filter("number NOT IN (6, 13)").selectExpr(
+    rows = customer_numbers(supplier).selectExpr(
         "code", "prefix", "number", f"posexplode({levels}) AS (pos, level)"
     )
     return rows.selectExpr(
         "code AS el3_cmpcode",
-        "concat(prefix, number) AS el3_code",
+        "concat(if(number IN (6, 13), 'old', ''), prefix, number) AS el3_code",
         "level AS el3_elmlevel",
         "concat('Customer ', prefix, number, '/', pos) AS el3_name",
     )
@@ -141,20 +141,22 @@ def client_master(customer: DataFrame) -> DataFrame:
 
 
 def client_xref(orders: DataFrame) -> DataFrame:
-    return orders.filter("o_orderstatus = 'F'").selectExpr(
-        "string(o_custkey) AS m_code",
+    """Orders of one status are those of a client; the others have a code that no client has."""
+    return orders.selectExpr(
+        "concat(if(o_orderstatus = 'F', '', '-'), o_custkey) AS m_code",
         "if(o_orderkey % 10 = 0, concat('S', o_orderkey), concat(o_orderkey % 40, 'S')) AS site_id",
         "string(o_orderkey) AS c_code",
     )
 
 
 def ref_correction(orders: DataFrame) -> DataFrame:
-    """Corrections of urgent and high-priority orders; some orders have two."""
+    """Corrections of urgent and high-priority orders, some with two; the others name another field."""
     site, number = literal(SITE_FIELD), literal(INVOICE_FIELD)
     fields = (
         "CASE concat(o_orderpriority, o_orderstatus)"
         f" WHEN '1-URGENTP' THEN array({site}, {number}) WHEN '1-URGENTF' THEN array({site})"
-        f" WHEN '2-HIGHP' THEN array({site}, {site}) WHEN '2-HIGHF' THEN array({number}, {number}) END"
+        f" WHEN '2-HIGHP' THEN array({site}, {site}) WHEN '2-HIGHF' THEN array({number}, {number})"
+        " ELSE array('Remark') END"
     )
     rows = orders.selectExpr(
         "o_orderkey AS k",
@@ -174,21 +176,23 @@ def ref_correction(orders: DataFrame) -> DataFrame:
 
 
 def map_entity(nation: DataFrame) -> DataFrame:
-    """One company is missing, one has two sites."""
+    """One company has another name, one has two sites."""
     sites = "explode(if(code = 'JAPAN', array('1', '2'), array('1'))) AS n"
-    return company(nation).filter("code != 'HEG'").selectExpr("code", sites).selectExpr(
-        "code AS CODA",
+    return company(nation).selectExpr("code", sites).selectExpr(
+        "if(code = 'HEG', 'HEG old', code) AS CODA",
         "concat('Site ', code, ' ', n) AS gpm_site",
         "if(code != 'INDY', concat(left(code, 3), '-'), NULL) AS cForia",
     )
 
 
 def map_ic_entity(supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    """Partners of delivering sites; suppliers of the last nations have none."""
+    """Partners of delivering sites; those of the last nations' suppliers deliver nothing."""
     by_site = [f"concat('{c}PT', lpad(string(s_suppkey), 4, '0'))" for c in ("BAS", "WAR", "MAI")]
     by_code = [f"concat('{c}X', s_suppkey)" for c in ("ALLENTOWN", "MP", "CLINTRAK")]
-    partners = supplier.filter("s_nationkey < 20").selectExpr(
-        f"explode(array({', '.join(by_site + by_code)})) AS `InvoiceCmp-OriginatingIC`",
+    partners = supplier.selectExpr(
+        "*", f"explode(array({', '.join(by_site + by_code)})) AS site"
+    ).selectExpr(
+        "if(s_nationkey < 20, site, concat('old', site)) AS `InvoiceCmp-OriginatingIC`",
         "concat('Omni ', s_suppkey % 9) AS `IC_Partner-OMNI`",
         "if(s_suppkey % 10 != 0, concat('partner', s_suppkey % 5), NULL) AS `IC_Partner-CODA`",
     )
@@ -201,13 +205,13 @@ def map_ic_entity(supplier: DataFrame, nation: DataFrame) -> DataFrame:
 
 
 def category(supplier: DataFrame) -> DataFrame:
-    """Categories for some of the customer prefixes; one key is stored twice."""
+    """Categories; those of some customer prefixes have an old key, one key is stored twice."""
     copies = "if(code = 'BAS' AND number = 4, array('a', 'b'), array('a'))"
-    rows = customer_numbers(supplier).filter("prefix IN ('ICOM', 'X', 'D')").selectExpr(
+    rows = customer_numbers(supplier).selectExpr(
         "code", "prefix", "number", f"explode({copies}) AS copy"
     )
     return rows.selectExpr(
-        "concat(code, prefix, number) AS `Facility|GLCode-CPQREF`",
+        "concat(if(prefix IN ('ICOM', 'X', 'D'), '', 'old'), code, prefix, number) AS `Facility|GLCode-CPQREF`",
         "concat('Category ', prefix) AS `AI Enhanced - CPQ Category`",
         "concat('Sub ', number % 4, copy) AS `AI Enhanced - CPQ SubCategory`",
     )

@@ -31,6 +31,7 @@ def with_ctes(needs: tuple[str, ...], body: str, given: tuple[str, ...] = ()) ->
     return f"WITH {clauses}\n{body}" if clauses else body
 
 
+# Fixed values of the test tables.
 _COMPANIES = (
     "['ALLENTOWN','MAI','MP','BAS','WAR','CLINTRAK','SINGAPORE',"
     "'INDY','HEG','SUZHOU','CHINA','JAPAN','KOREA','OTHERCO']"
@@ -97,10 +98,10 @@ FROM (SELECT DISTINCT s_suppkey % 20 AS number FROM supplier),
      (SELECT unnest(['ICOM','X','IF','D','C']) AS prefix)""")
 
 _cte("el3_element", ("customer_numbers",), """
-SELECT code AS el3_cmpcode, prefix || number AS el3_code, lvl AS el3_elmlevel,
+SELECT code AS el3_cmpcode, CASE WHEN number IN (6, 13) THEN 'old' ELSE '' END || prefix || number AS el3_code, lvl AS el3_elmlevel,
        'Customer ' || prefix || number || '/' || pos AS el3_name
 FROM customer_numbers, (VALUES (2, 0), (3, 1), (3, 2)) AS levels(lvl, pos)
-WHERE number NOT IN (6, 13) AND (pos < 2 OR (code = 'MAI' AND number = 3))""")
+WHERE pos < 2 OR (code = 'MAI' AND number = 3)""")
 
 _cte("client_master", (), """
 SELECT c_custkey::varchar AS m_code, c_nationkey::varchar AS client_ultimate_parent_id,
@@ -108,10 +109,10 @@ SELECT c_custkey::varchar AS m_code, c_nationkey::varchar AS client_ultimate_par
 FROM customer""")
 
 _cte("client_xref", (), """
-SELECT o_custkey::varchar AS m_code,
+SELECT CASE WHEN o_orderstatus = 'F' THEN o_custkey::varchar ELSE '-' || o_custkey END AS m_code,
        CASE WHEN o_orderkey % 10 = 0 THEN 'S' || o_orderkey ELSE (o_orderkey % 40) || 'S' END AS site_id,
        o_orderkey::varchar AS c_code
-FROM orders WHERE o_orderstatus = 'F'""")
+FROM orders""")
 
 _cte("ref_correction", (), f"""
 SELECT Instance, DocCode, Title, Field,
@@ -134,33 +135,42 @@ FROM (
       ('2-HIGH', 'P', 'ServiceDeliverySite', 1),
       ('2-HIGH', 'F', 'ServiceDeliverySiteInvoiceNumber', 0),
       ('2-HIGH', 'F', 'ServiceDeliverySiteInvoiceNumber', 1)) AS f(prio, status, Field, pos)
-    ON o_orderpriority = prio AND o_orderstatus = status)""")
+    ON o_orderpriority = prio AND o_orderstatus = status
+  UNION ALL
+  SELECT o_orderkey, ({_COMPANIES})[o_orderkey % 14 + 1], ({_CODES})[o_orderkey % 5 + 1],
+         CASE WHEN ({_COMPANIES})[o_orderkey % 14 + 1]
+                   IN ('ALLENTOWN','MAI','CHINA','SINGAPORE','CLINTRAK','MP')
+              THEN CASE WHEN o_orderkey % 4 = 0 THEN 'CN' ELSE 'R1' END || o_orderkey
+              ELSE o_orderkey::varchar END,
+         'Remark', 0
+  FROM orders
+  WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH') OR o_orderstatus NOT IN ('P', 'F'))""")
 
 _cte("map_entity", ("company",), """
-SELECT code AS CODA, 'Site ' || code || ' ' || n AS gpm_site,
+SELECT CASE WHEN code = 'HEG' THEN 'HEG old' ELSE code END AS CODA, 'Site ' || code || ' ' || n AS gpm_site,
        CASE WHEN code <> 'INDY' THEN left(code, 3) || '-' END AS cForia
 FROM company, (VALUES ('1'), ('2')) AS v(n)
-WHERE code <> 'HEG' AND (n = '1' OR code = 'JAPAN')""")
+WHERE n = '1' OR code = 'JAPAN'""")
 
 _cte("map_ic_entity", ("company",), """
-SELECT c || CASE WHEN c IN ('BAS','WAR','MAI') THEN 'PT' || lpad(s_suppkey::varchar, 4, '0')
+SELECT CASE WHEN s_nationkey < 20 THEN '' ELSE 'old' END || c || CASE WHEN c IN ('BAS','WAR','MAI') THEN 'PT' || lpad(s_suppkey::varchar, 4, '0')
                  ELSE 'X' || s_suppkey END AS "InvoiceCmp-OriginatingIC",
        'Omni ' || (s_suppkey % 9) AS "IC_Partner-OMNI",
        CASE WHEN s_suppkey % 10 <> 0 THEN 'partner' || (s_suppkey % 5) END AS "IC_Partner-CODA"
 FROM supplier, (VALUES ('BAS'),('WAR'),('MAI'),('ALLENTOWN'),('MP'),('CLINTRAK')) AS v(c)
-WHERE s_nationkey < 20
 UNION ALL
 SELECT code || code, 'Omni ' || code, code FROM company""")
 
 _cte("category", ("customer_numbers",), """
-SELECT code || prefix || number AS "Facility|GLCode-CPQREF",
+SELECT CASE WHEN prefix IN ('ICOM','X','D') THEN '' ELSE 'old' END || code || prefix || number AS "Facility|GLCode-CPQREF",
        'Category ' || prefix AS "AI Enhanced - CPQ Category",
        'Sub ' || (number % 4) || c AS "AI Enhanced - CPQ SubCategory"
 FROM customer_numbers, (VALUES ('a'), ('b')) AS v(c)
-WHERE prefix IN ('ICOM','X','D') AND (c = 'a' OR (code = 'BAS' AND number = 4))""")
+WHERE c = 'a' OR (code = 'BAS' AND number = 4)""")
 
 # receivables ---------------------------------------------------------------
 
+# The document codes that are left out, and the number of each company's site.
 _EXCLUDED = (
     "('DISPERSE','MATCHING','PCANCEL','PINV','PINVDBT','RECEIPTS','Y/E-PROC-BS','CPAY','CREC',"
     "'OBAL','PCRN','REVAL','REVALR','YE-PROC-BS','PINV_XL','PINVDBT_XL','PINV2','PINV1','ACCLTBI',"

@@ -53,15 +53,15 @@ def test_either_key_cases(spark):
 
 def test_corrections_by_stem_is_or_join(spark):
     mart = spark.createDataFrame(
-        [("c", "d", " 1 "), ("c", "d", None), ("c", "d", "-x"), ("c", None, "d-1")],
+        [("c", "d", " 1 "), ("c", "d", None), ("c", "d", "-x"), ("c", None, "d-1"), (None, None, None), ("", None, None)],
         "cmpcode string, doccode string, InvoiceNumber string",
     )
     keyed = corrections.with_correction_keys(mart)
     lookup = spark.createDataFrame(
         [(f"{stem}-{field}", value)
-         for stem in ("c-d-1", "c-d", "c-d--x", "-c-d")
+         for stem in ("c-d-1", "c-d", "c-d--x", "-c-d", "")
          for field in ("ServiceDeliverySite", "ServiceDeliverySiteInvoiceNumber", "Site")
-         for value in ("v", None)] + [(None, "v"), ("ServiceDeliverySite", "v")],
+         for value in ("v", None)] + [(None, "v"), ("ServiceDeliverySite", "v"), ("ServiceDeliverySiteInvoiceNumber", "w")],
         "InterimKey string, FieldValue string",
     )
     either = (F.col(corrections.SITE_KEY) == F.col("InterimKey")) | (
