@@ -52,21 +52,20 @@ def summed_amount(
     times = F.lit(1) if copies is None else F.col(copies)
     if not exact:
         return F.sum(scaled_amount(value, places, mode) * times)
-    # The place that has a rule of its own is left out of the others.
     own = f"coalesce({places}, 0) = 0" if mode == "zero" else f"{places} = 0"
-    other = f"CASE WHEN NOT ({own}) THEN {places} END"
     whole = f"CAST({value} AS DECIMAL(19,0))" + ("" if copies is None else f" * CAST({copies} AS DECIMAL(10,0))")
     fine = f"CAST({whole} AS DECIMAL(21,0))"
     itself = "CAST(0 AS DECIMAL(38,6))" if mode == "zero" else f"CAST({whole} AS DECIMAL(38,6))"
-    coarse = f"CASE WHEN {own} THEN {itself} ELSE CAST({_shifted(whole, other, COARSE_PLACES, 'DECIMAL(11,6)')} AS DECIMAL(38,6)) END"
+    coarse = f"CASE WHEN {own} THEN {itself} ELSE CAST({_shifted(whole, places, COARSE_PLACES, 'DECIMAL(11,6)')} AS DECIMAL(38,6)) END"
     beyond = f"{places} < {COARSE_PLACES[0]} OR {places} > {FINE_PLACES[-1]}"
     parts = [
         F.sum(F.expr(coarse)).cast("double"),
-        F.sum(F.expr(_shifted(fine, other, FINE_PLACES, "DECIMAL(16,16)"))).cast("double"),
+        F.sum(F.expr(_shifted(fine, places, FINE_PLACES, "DECIMAL(16,16)"))).cast("double"),
         F.sum(F.when(F.expr(beyond), scaled_amount(value, places, mode) * times)),
     ]
-    total = reduce(lambda a, b: a + b, [F.coalesce(part, F.lit(0.0)) for part in parts])
-    return F.when(F.coalesce(*parts).isNotNull(), total)
+    # NULL only if all are; as a function over an array this is little generated code.
+    start = F.lit(None).cast("double")
+    return F.aggregate(F.array(*parts), start, lambda total, part: F.coalesce(total + part, total, part))
 
 
 def joined_text(*parts: Column) -> Column:

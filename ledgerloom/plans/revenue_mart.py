@@ -18,7 +18,7 @@ from ledgerloom.functions import invoice
 from ledgerloom.functions.columns import summed_amount
 from ledgerloom.operators.aggregates import earliest_value, with_copies
 from ledgerloom.operators.keys import KEY, RAW_KEY, document_join, with_document_key
-from ledgerloom.operators.lookups import is_small, lookup_join
+from ledgerloom.operators.lookups import SPREAD, is_small, lookup_join
 from ledgerloom.sources.tables import DocumentTables
 
 ACCOUNT_LEVEL = 2
@@ -213,6 +213,7 @@ def revenue_mart(
         _companies(tables, job_defaults(tables, default_nulls)),
         {"cmpcode": "code"},
         how="inner",
+        spread=SPREAD,
         spread_by=spread_by,
         sized_by=tables.company,
         unique=unique_lookups,

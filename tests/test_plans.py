@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators import duplicates
+from ledgerloom.operators.either_key import either_key_left_join
 from ledgerloom.plans import ar_keys, ar_mart, client_keys, revenue_mart
 from ledgerloom.plans.revenue_classify import revenue_classify
 from ledgerloom.sources.tables import DocumentTables
@@ -63,7 +64,7 @@ NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
 def test_no_nested_loops_and_no_python(stored, conf, name):
     conf(NO_BROADCAST)
     plan = explain(PLANS[name](stored))
-    for node in ("NestedLoop", "Cartesian", "EvalPython", "InPandas", "InArrow", "CollectLimit"):
+    for node in ("NestedLoop", "Cartesian", "EvalPython", "InPandas", "InArrow", "CollectLimit", "Broadcast"):
         assert node not in plan
 
 
@@ -201,3 +202,90 @@ def test_hot_key_of_duplicates_is_split(spark, conf):
     assert "SortMergeJoin(skew=true)" in final_plan(rekeyed)
     assert rekeyed.filter("new_key_global_identifier like 'S-%'").count() == 2000
     assert rekeyed.count() == 6000
+
+
+def skewed_joins(plan):
+    """(split joins, all sort-merge joins) of a plan that has run."""
+    return plan.count("SortMergeJoin(skew=true)"), plan.count("SortMergeJoin")
+
+
+def test_hot_first_key_of_the_either_key_join_is_split(spark, conf):
+    conf(SKEW)
+    left = spark.range(0, 9000, 1, 8).selectExpr(
+        "id", "if(id % 3 = 0, 'hot', concat('a', id)) AS k1", "concat('b', id % 700) AS k2", "repeat('x', 40) AS pad"
+    )
+    right = spark.range(0, 900, 1, 4).selectExpr("if(id = 0, 'hot', concat('b', id)) AS rk", "id AS v")
+    joined = either_key_left_join(left, right, "k1", "k2", "rk")
+    plan = final_plan(joined)
+    assert skewed_joins(plan)[0] >= 2  # pairs by the first key, rows without
+    assert joined.filter("k1 = 'hot' AND rk = 'hot'").count() == 3000
+    want = left.join(right, (F.col("k1") == F.col("rk")) | (F.col("k2") == F.col("rk")), "left")
+    assert joined.count() == want.count()
+
+
+@pytest.fixture(scope="module")
+def many_customers(spark, make):
+    """One document with a third of all lines, each with a customer element of its own."""
+    lines = spark.range(0, 9000, 1, 8).select(
+        F.expr("if(id % 3 = 0, 'BAS', concat('C', id % 7))").alias("cmpcode"),
+        F.expr("if(id % 3 = 0, 'SINV', concat('K', id % 5))").alias("doccode"),
+        F.expr("if(id % 3 = 0, '1', string(id % 500))").alias("docnum"),
+        F.lit(84).alias("statpay"),
+        *[F.lit(200).cast("long").alias(c) for c in ("valuedoc", "valuehome")],
+        *[F.lit(2).alias(c) for c in ("valuedoc_dp", "valuehome_dp")],
+        F.lit("0211").alias("el2"),
+        F.expr("concat('D', id)").alias("el3"),
+        *[F.lit("x").alias(c) for c in ("el4", "ref1", "ref2", "ref3", "ref4", "ref5")],
+    )
+    heads = [
+        {"cmpcode": f" C{c}", "doccode": f"K{k}", "docnum": str(n), "docdate": date(2020, 1, 1), "cdc_operation_type": "I"}
+        for c in range(7) for k in range(5) for n in range(0, 500, 9)
+    ]
+    own = [
+        {"cmpcode": "BAS", "doccode": "SINV", "docnum": "1", "docdate": date(2020, 1, d), "cdc_operation_type": "I"}
+        for d in (1, 1, 2)
+    ]
+    return DocumentTables(docline=lines, dochead=make("dochead", heads + own))
+
+
+@pytest.mark.parametrize("dedup", [False, True])
+def test_document_of_many_customers_is_split(many_customers, conf, dedup):
+    conf(SKEW)
+    customers = revenue_mart.customer_lines(many_customers, dedup=dedup)
+    assert skewed_joins(final_plan(customers))[0] >= 1
+    own = customers.filter("cmpcode = 'BAS'").groupBy("ar_copies").count().collect()
+    assert [(row.ar_copies, row["count"]) for row in own] == [(1 if dedup else 3, 3000)]
+
+
+def test_hot_client_is_split_and_clients_without_code_bypass(spark, conf):
+    conf(SKEW)
+    master = spark.range(0, 9000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 'hot' ELSE string(id) END AS m_code",
+        "concat('p', id) AS client_ultimate_parent_id", "concat('n', id) AS global_ultimate_business_name",
+    )
+    xref = spark.range(0, 3000, 1, 4).selectExpr(
+        "if(id < 5, 'hot', string(id)) AS m_code", "concat(id, 'S') AS site_id", "string(id) AS c_code"
+    )
+    t = DocumentTables(client_master=master, client_xref=xref)
+    counts = client_keys.parent_counts(t)
+    assert skewed_joins(final_plan(counts))[0] >= 1
+    got = {row.parent_id: row.parent_row_count for row in counts.collect()}
+    assert len(got) == 9000 and got["p0"] == 0 and got["p1"] == 5 and got["p8"] == 1 and got["p8999"] == 0
+    keys = client_keys.client_keys(t, strict=False)
+    assert skewed_joins(final_plan(keys))[0] >= 1
+    assert keys.filter("ClientKey IS NULL").count() == 3000 + sum(i % 3 == 2 and not 5 <= i < 3000 for i in range(9000))
+
+
+def test_an_exploding_lookup_is_not_broadcast_by_its_planned_size(spark, tmp_path):
+    from ledgerloom.operators import lookups
+
+    path = str(tmp_path / "lookup")
+    spark.range(10).selectExpr("string(id) AS code", "array_repeat('name', 100000) AS names").write.parquet(path)
+    lookup = spark.read.parquet(path).selectExpr("code", "explode(names) AS name")
+    assert lookups.planned_bytes(lookup) is None
+    joined = lookups.lookup_join(spark.range(5).selectExpr("string(id) AS c"), lookup, {"c": "code"})
+    assert "ResolvedHint" not in explain(joined, "extended")
+    bounded = lookups.lookup_join(
+        spark.range(5).selectExpr("string(id) AS c"), lookup, {"c": "code"}, sized_by=spark.read.parquet(path).select("code")
+    )
+    assert "ResolvedHint" in explain(bounded, "extended")
