@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.llm.common import filtered, map_batches, python_workers, stored
+from ledgerloom.llm.common import bounded, filtered, map_batches, python_workers, stored
 
 _TOKEN = re.compile(r"[^\W_]+")
 
@@ -24,7 +24,8 @@ class Settings:
     endings of a known stem still count. ``prior`` is the Dirichlet weight of a
     feature in each class. Features below ``least_odds`` or ``least_z`` or in fewer
     than ``least_texts`` or ``least_share`` of the toxic texts are left out, and at most ``features`` are kept,
-    strongest first: that bounds the model. Any other token costs ``drift``.
+    strongest first: that bounds the model. Any other token costs ``drift``. Of more
+    than ``label_rows`` labels a seeded part of about that many is learned from.
     """
 
     stems: tuple[int, ...] = (4, 5, 6)
@@ -35,6 +36,7 @@ class Settings:
     least_share: float = 0.002
     features: int = 50_000
     drift: float = 0.7
+    label_rows: int = 150_000
 
 
 @dataclass(frozen=True)
@@ -162,7 +164,7 @@ def _counts(rows: DataFrame, s: Settings) -> DataFrame:
 
 def _learn(rows: DataFrame, s: Settings) -> tuple[dict[str, float], list[float], float]:
     """Scores of the kept features, their rates of use in clean text, and the clean tokens."""
-    counts = stored(_counts(rows, s))
+    counts = stored(_counts(rows, s).filter((F.col("feature") == "") | (F.col("texts1") >= s.least_texts)))
     totals = counts.filter("feature = ''").first()
     if totals is None or not totals.texts0 or not totals.texts1:
         return {}, [], 0.0
@@ -229,12 +231,25 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
     Rows with a NULL id, label or text teach nothing; of equal texts with equal
     labels one does. Without both classes the model finds nothing: every score is
     the same.
+
+    The labels learned from are bounded, so they are sent to the documents, whose
+    texts are never shuffled.
     """
     known = labels.select(F.col("doc_id").alias("l_id"), F.col("toxic").cast("int").alias("toxic")).filter(
         F.col("toxic").isin(0, 1) & training(F.col("l_id"))
     ).distinct()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter("text is not null")
-    rows = rows.filter(training(F.col("doc_id"))).join(known, F.col("doc_id") == F.col("l_id")).select("text", "toxic").distinct()
+    n = known.count()
+    if n > settings.label_rows:
+        part = int((1 << 30) * settings.label_rows / n)
+        known = known.filter(F.pmod(F.xxhash64("l_id", F.lit(29)), F.lit(1 << 30)) < part)
+    text_of = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter("text is not null")
+    text_of = text_of.filter(training(F.col("doc_id")))
+
+    def with_labels(labelled: DataFrame) -> DataFrame:
+        return text_of.join(bounded(labelled, min(n, settings.label_rows)), F.col("doc_id") == F.col("l_id"))
+
+    first = with_labels(known).groupBy(F.xxhash64("text"), "toxic").agg(F.min("doc_id").alias("l_id")).select("l_id", "toxic")
+    rows = with_labels(stored(first.distinct())).select("text", "toxic")
     scores, rates, clean_tokens = _learn(rows, settings)
     model = Model(scores, settings)
     if not scores:
