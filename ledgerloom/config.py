@@ -182,3 +182,28 @@ class RevenueConfig:
     invoice_number: tuple[SourceRule, ...] = REVENUE_INVOICE_NUMBER
     purchase_order: tuple[SourceRule, ...] = REVENUE_PURCHASE_ORDER
     protocol: tuple[SourceRule, ...] = REVENUE_PROTOCOL
+
+
+@dataclass(frozen=True)
+class KeyConfig:
+    """Names and marks that the reconciliation keys are made with."""
+
+    company_display: dict = field(default_factory=lambda: dict(COMPANY_DISPLAY))
+    site_display_pattern: tuple[str, str] = SITE_DISPLAY_PATTERN
+    cancel_mark: str = CANCEL_MARK
+    corrected_suffix: str = CORRECTED_SUFFIX
+    unknown: str = UNKNOWN
+    own_warehouse_key: str = OWN_WAREHOUSE_KEY
+    own_warehouse_prefix: str = OWN_WAREHOUSE_PREFIX
+
+
+@dataclass(frozen=True)
+class ClassifyConfig:
+    """Companies, customers and marks of pass-through revenue."""
+
+    by_initial: tuple[str, ...] = (PASS_THROUGH_BY_INITIAL,)
+    by_customer: tuple[str, ...] = PASS_THROUGH_BY_CUSTOMER
+    marks: tuple[str, ...] = PASS_THROUGH_MARKS
+    company: str = PASS_THROUGH_COMPANY
+    keys: tuple[str, ...] = PASS_THROUGH_KEYS
+    source_name: str = SOURCE_NAME

@@ -119,49 +119,55 @@ def job_or_default(job: Column, default: Column) -> Column:
     return F.coalesce(blank_to_null(job), default)
 
 
-def pass_through_flag(company: str = "cmpcode", customer: str = "el3") -> Column:
+def pass_through_flag(
+    company: str = "cmpcode", customer: str = "el3", cfg: C.ClassifyConfig = C.ClassifyConfig()
+) -> Column:
     return F.expr(first_match(
         [
             (f"{customer} IS NULL", "'Other'"),
-            (any_of(company, (C.PASS_THROUGH_BY_INITIAL,)), f"left({customer}, 1)"),
-            (any_of(company, C.PASS_THROUGH_BY_CUSTOMER), f"concat({company}, {customer})"),
+            (any_of(company, cfg.by_initial), f"left({customer}, 1)"),
+            (any_of(company, cfg.by_customer), f"concat({company}, {customer})"),
         ],
         "'Other'",
     ))
 
 
-def pass_through_class(flag: str = "Pass_Through_Flag") -> Column:
-    tests = [f"contains({flag}, {literal(mark)})" for mark in C.PASS_THROUGH_MARKS]
-    tests += [starts(flag, C.PASS_THROUGH_COMPANY), any_of(flag, C.PASS_THROUGH_KEYS)]
+def pass_through_class(
+    flag: str = "Pass_Through_Flag", cfg: C.ClassifyConfig = C.ClassifyConfig()
+) -> Column:
+    tests = [f"contains({flag}, {literal(mark)})" for mark in cfg.marks]
+    tests += [starts(flag, cfg.company), any_of(flag, cfg.keys)]
     return F.expr(first_match([(" OR ".join(tests), "'PT'")], "'Not classified as PT'"))
 
 
 # reconciliation keys -------------------------------------------------------
 
-def company_display(company: str = "cmpcode") -> Column:
-    return F.expr(code_map(company, C.COMPANY_DISPLAY, company))
+def company_display(company: str = "cmpcode", cfg: C.KeyConfig = C.KeyConfig()) -> Column:
+    return F.expr(code_map(company, cfg.company_display, company))
 
 
-def cancellation_key(code: Column, prefix: Column, number: Column) -> Column:
-    cancelled = F.lower(code).contains(C.CANCEL_MARK)
+def cancellation_key(
+    code: Column, prefix: Column, number: Column, cfg: C.KeyConfig = C.KeyConfig()
+) -> Column:
+    cancelled = F.lower(code).contains(cfg.cancel_mark)
     return F.when(cancelled, F.concat(code, F.lit("c"))).otherwise(joined_text(prefix, number))
 
 
 def global_invoice_key(
     company: Column, number: Column, kind: Column, entity_key: Column,
-    partner: Column, delivery_number: Column,
+    partner: Column, delivery_number: Column, cfg: C.KeyConfig = C.KeyConfig(),
 ) -> Column:
     own = joined_text(company, F.lit("-"), number)
-    unsited = delivery_number.endswith(C.CORRECTED_SUFFIX) | (delivery_number == C.UNKNOWN)
-    warehouse = joined_text(F.lit(C.OWN_WAREHOUSE_PREFIX), delivery_number)
+    unsited = delivery_number.endswith(cfg.corrected_suffix) | (delivery_number == cfg.unknown)
+    warehouse = joined_text(F.lit(cfg.own_warehouse_prefix), delivery_number)
     return (
         F.when(unsited, own)
-        .when(entity_key == C.OWN_WAREHOUSE_KEY, warehouse)
+        .when(entity_key == cfg.own_warehouse_key, warehouse)
         .when(kind == "IC", own)
         .otherwise(joined_text(F.upper(partner), F.lit("-"), delivery_number))
     )
 
 
-def site_display(site: Column) -> Column:
-    pattern, replacement = C.SITE_DISPLAY_PATTERN
+def site_display(site: Column, cfg: C.KeyConfig = C.KeyConfig()) -> Column:
+    pattern, replacement = cfg.site_display_pattern
     return F.regexp_replace(site, pattern, replacement)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.config import UNKNOWN, ReceivablesConfig
+from ledgerloom.config import KeyConfig, ReceivablesConfig
 from ledgerloom.functions import invoice
 from ledgerloom.functions.columns import joined_text
 from ledgerloom.operators.lookups import lookup_join
@@ -18,11 +18,11 @@ def with_partners(
     """Entity and intercompany partner of each invoice that has a number."""
     numbered = corrected.filter(F.col("InvoiceNumber") != "")
     entities = tables.map_entity.select("CODA", "gpm_site", "cForia")
-    partners = tables.map_ic_entity.withColumnsRenamed({
-        "InvoiceCmp-OriginatingIC": "InvoiceCmp_OriginatingIC",
-        "IC_Partner-OMNI": "IC_Partner_OMNI",
-        "IC_Partner-CODA": "IC_Partner_CODA",
-    })
+    partners = tables.map_ic_entity.select(
+        F.col("InvoiceCmp-OriginatingIC").alias("site"),
+        F.col("IC_Partner-OMNI").alias("IC_Partner_OMNI"),
+        F.col("IC_Partner-CODA").alias("own_partner"),
+    )
     spread_by = ("InvoiceNumber", "doccode", "InvoiceDate", "PO")
     sited = lookup_join(
         numbered, entities, {"cmpcode": "CODA"}, spread_by=spread_by, unique=unique_lookups
@@ -30,27 +30,28 @@ def with_partners(
     return lookup_join(
         sited,
         partners,
-        {"_InvoiceSite_DeliverySite": "InvoiceCmp_OriginatingIC"},
+        {"_InvoiceSite_DeliverySite": "site"},
         spread_by=spread_by,
         unique=unique_lookups,
     )
 
 
-def reconciliation_keys(matched: DataFrame) -> DataFrame:
+def reconciliation_keys(matched: DataFrame, cfg: KeyConfig = KeyConfig()) -> DataFrame:
     """Derive the keys and give the columns their reporting names."""
     ready = matched.withColumns({
-        "company_display": invoice.company_display(),
-        "partner": F.coalesce("IC_Partner_CODA", F.lit(UNKNOWN)),
+        "company_display": invoice.company_display(cfg=cfg),
+        "partner": F.coalesce("own_partner", F.lit(cfg.unknown)),
     })
     number = F.col("InvoiceNumber")
     delivery_number = F.col("ServiceDeliverySiteInvoiceNumber")
     global_key = invoice.global_invoice_key(
         F.col("company_display"), number, F.col("InvoiceType"), F.col("ICEntityMapKey"),
-        F.col("partner"), delivery_number,
+        F.col("partner"), delivery_number, cfg,
     )
+    # The names of the reporting columns.
     return ready.select(
         "SiteID",
-        invoice.site_display(F.col("company_display")).alias("AR Billing Site"),
+        invoice.site_display(F.col("company_display"), cfg).alias("AR Billing Site"),
         "doccode",
         F.col("InvoiceDate").alias("Invoice_Date"),
         number.alias("AR_Invoice_Number"),
@@ -66,14 +67,14 @@ def reconciliation_keys(matched: DataFrame) -> DataFrame:
         F.col("statpay").alias("Stat_Pay"),
         "valuehome",
         "valuedoc",
-        invoice.site_display(F.col("ServiceDeliverySite")).alias("AR Originating Site"),
+        invoice.site_display(F.col("ServiceDeliverySite"), cfg).alias("AR Originating Site"),
         delivery_number.alias("AR_Originating_Invoice"),
         "_InvoiceSite_DeliverySite",
         "gpm_site",
         "cForia",
         "IC_Partner_OMNI",
         F.col("partner").alias("IC_Partner_CODA"),
-        invoice.cancellation_key(F.col("doccode"), F.col("cForia"), number).alias("_keyCforia"),
+        invoice.cancellation_key(F.col("doccode"), F.col("cForia"), number, cfg).alias("_keyCforia"),
         global_key.alias("_key_global_identifier"),
         joined_text(F.col("SiteID"), F.lit("-"), number).alias("_key_AR_CODA"),
     )
@@ -84,6 +85,7 @@ def ar_keys(
     cfg: ReceivablesConfig = ReceivablesConfig(),
     by_field: bool = False,
     unique_lookups: bool = False,
+    keys: KeyConfig = KeyConfig(),
 ) -> DataFrame:
     """Corrected receivables with reconciliation keys.
 
@@ -91,4 +93,4 @@ def ar_keys(
     ``distinct()`` the result where each row should appear once.
     """
     corrected = ar_corrections(tables, cfg, by_field=by_field)
-    return reconciliation_keys(with_partners(corrected, tables, unique_lookups))
+    return reconciliation_keys(with_partners(corrected, tables, unique_lookups), keys)

@@ -70,7 +70,8 @@ def documents(
     """Headers with their receivable totals and job element.
 
     Both line aggregates shrink the line table before it meets the headers, and
-    all three frames are joined on the same key columns: one exchange each.
+    all three frames are joined on the same key columns.  Each is aggregated on the
+    stored key parts before it is joined on the trimmed ones: two exchanges each.
     """
     in_scope = tables.docline.filter(F.trim("cmpcode").isin(*cfg.companies))
     unpaid = in_scope.filter(F.col("statpay") != cfg.paid_status)
@@ -118,6 +119,7 @@ def ar_mart(
     })
     if drop_reimbursed:
         sited = sited.filter(none_contained(F.col("ServiceDeliverySiteInvoiceNumber"), **REIMBURSED))
+    # The names of the mart's columns.
     return sited.select(
         "SiteID",
         "cmpcode",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.config import SOURCE_NAME
+from ledgerloom.config import ClassifyConfig
 from ledgerloom.functions import invoice
 from ledgerloom.functions.columns import currency_text, day
 from ledgerloom.operators.lookups import lookup_join
@@ -16,6 +16,7 @@ def revenue_classify(
     tables: DocumentTables,
     null_currency: str | None = "$nu",
     unique_lookups: bool = False,
+    cfg: ClassifyConfig = ClassifyConfig(),
 ) -> DataFrame:
     """Add texts, keys, pass-through flags, entity and category to a revenue mart."""
     company, customer = F.col("cmpcode"), F.col("el3")
@@ -28,9 +29,9 @@ def revenue_classify(
         "valuedoc_formatted": currency_text(F.col("valuedoc"), null_currency),
         "valuehome_formatted": currency_text(F.col("valuehome"), null_currency),
         "Key_global_identifier": F.concat("SiteID", "InvoiceNumber", "el3"),
-        "Pass_Through_Flag": invoice.pass_through_flag(),
+        "Pass_Through_Flag": invoice.pass_through_flag(cfg=cfg),
         "Site_GL_CODE": F.upper(F.concat(company, customer)),
-    }).withColumn("Pass_Through_Flag2", invoice.pass_through_class())
+    }).withColumn("Pass_Through_Flag2", invoice.pass_through_class(cfg=cfg))
     spread_by = ("Global_Identifier", "docnum", "el2", "CustomerNumber")
     entities = tables.map_entity.select("CODA", F.col("CODA").alias("MAP_Entity_CODA"))
     mapped = lookup_join(
@@ -58,5 +59,5 @@ def revenue_classify(
         code,
         "CPQ Category",
         "CPQ SubCategory",
-        F.lit(SOURCE_NAME).alias("Source"),
+        F.lit(cfg.source_name).alias("Source"),
     )

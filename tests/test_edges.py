@@ -7,7 +7,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.config import ReceivablesConfig, RevenueConfig
+from ledgerloom.config import ClassifyConfig, KeyConfig, ReceivablesConfig, RevenueConfig
 from ledgerloom.functions import columns, invoice
 from ledgerloom.operators import duplicates
 from ledgerloom.operators.aggregates import earliest_value
@@ -383,3 +383,27 @@ def test_correction_of_one_field(make_tables):
     names = ("New_ServiceDeliverySite", "New_ServiceDeliverySiteInvoiceNumber", "_InvoiceSite_DeliverySite")
     assert ar_corrections(t).select(*names).collect() == [("PT9", "PT9", "BASPT9")]
     assert ar_corrections(t, by_field=True).select(*names).collect() == [("PT9", "99", "BASPT9")]
+
+
+def test_keys_and_classes_of_other_companies(spark):
+    keys = KeyConfig(
+        company_display={"NORTH": "North Co"}, cancel_mark="void", corrected_suffix="-Z", unknown="?",
+        own_warehouse_key="NORTHHUB", own_warehouse_prefix="HUB-", site_display_pattern=(" Co", ""),
+    )
+    rows = [("NORTH", "SVOID", "7", "IX", "a", "p", "n1"), ("NORTH", "S", "7", "IX", "NORTHHUB", "p", "n2"), ("SOUTH", "S", "7", "IX", "a", "p", "n3-Z")]
+    got = column(
+        spark, rows, "cmpcode string, doccode string, number string, kind string, entity string, partner string, delivery string",
+        invoice.site_display(invoice.company_display(cfg=keys), keys),
+        invoice.cancellation_key(F.col("doccode"), F.lit("pre-"), F.col("number"), keys),
+        invoice.global_invoice_key(
+            F.col("cmpcode"), F.col("number"), F.col("kind"), F.col("entity"), F.col("partner"), F.col("delivery"), keys),
+    )
+    assert got == [("North", "SVOIDc", "P-n1"), ("North", "pre-7", "HUB-n2"), ("SOUTH", "pre-7", "SOUTH-7")]
+    cfg = ClassifyConfig(by_initial=("NORTH",), by_customer=("SOUTH",), marks=("Q",), company="WEST", keys=("SOUTHx",))
+    flags = column(
+        spark, [("NORTH", "Q1"), ("SOUTH", "x"), ("SOUTH", "y"), ("BAS", "ICOM1")], "cmpcode string, el3 string",
+        invoice.pass_through_flag(cfg=cfg).alias("f"),
+    )
+    assert [flag for flag, in flags] == ["Q", "SOUTHx", "SOUTHy", "Other"]
+    classes = column(spark, flags, "Pass_Through_Flag string", invoice.pass_through_class(cfg=cfg))
+    assert [kind for kind, in classes] == ["PT", "PT", *["Not classified as PT"] * 2]
