@@ -123,3 +123,63 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files source/lang/id; every one with a notice speaks for its directory."""
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
     return licences.scan(_table(spark, sf_dir, "documents"), path=path, declares=F.lit(True))
+
+
+def _templates() -> str:
+    rows = (f"({i}, '{code}', '{text}')" for i, (code, text) in enumerate(licences.TEMPLATES))
+    return ", ".join(rows)
+
+
+def _words(text: str) -> str:
+    return f"list_filter(list_distinct(string_split_regex(lower({text}), '[^a-z0-9]+')), lambda w: w <> '')"
+
+
+SQL["op10_licences"] = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, concat_ws('/', source, lang, CAST(doc_id AS VARCHAR)) AS path, coalesce(text, '') AS text
+  FROM documents
+), template_words AS (
+  SELECT id, code, unnest({_words('text')}) AS word FROM (VALUES {_templates()}) AS t(id, code, text)
+), found AS (
+  SELECT word, count(*) AS n FROM (SELECT unnest({_words('text')}) AS word FROM docs)
+  WHERE word IN (SELECT word FROM template_words) GROUP BY word
+), weights AS (
+  SELECT word, ln((1 + (SELECT count(*) FROM docs)) / (1 + coalesce(n, 0))) + 1 AS idf
+  FROM (SELECT DISTINCT word FROM template_words) LEFT JOIN found USING (word)
+), template_norms AS (
+  SELECT id, code, sqrt(sum(idf * idf)) AS norm FROM template_words JOIN weights USING (word) GROUP BY ALL
+), lines AS (
+  SELECT rid, unnest(list_transform(string_split(text, chr(10)), lambda x, i: {{'line': i - 1, 'text': x}}), recursive := true) FROM docs
+), line_words AS (
+  SELECT rid, line, unnest({_words('text')}) AS word FROM lines
+), weighed AS (
+  SELECT rid, line, word, coalesce(idf, ln((SELECT 1 + count(*) FROM docs)) + 1) AS idf FROM line_words LEFT JOIN weights USING (word)
+), line_norms AS (
+  SELECT rid, line, sqrt(sum(idf * idf)) AS norm FROM weighed GROUP BY ALL
+), dots AS (
+  SELECT rid, line, id, sum(idf * idf) AS dot FROM weighed JOIN template_words USING (word) GROUP BY ALL
+), scored AS (
+  SELECT d.rid, d.line, t.code, round(d.dot / t.norm / l.norm, 9) AS score
+  FROM dots d JOIN template_norms t USING (id) JOIN line_norms l ON l.rid = d.rid AND l.line = d.line
+), best AS (
+  SELECT * FROM scored WHERE score >= 0.6
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, line, code) = 1
+), own AS (
+  SELECT docs.rid, doc_id, path, code, score, line,
+         CASE WHEN contains(path, '/') THEN regexp_replace(path, '/[^/]*$', '') ELSE '' END AS directory
+  FROM docs LEFT JOIN best USING (rid)
+), stated AS (
+  SELECT directory AS ancestor, code AS licence FROM own WHERE code IS NOT NULL GROUP BY directory, code
+  QUALIFY row_number() OVER (PARTITION BY directory ORDER BY count(*) DESC, code) = 1
+), above AS (
+  SELECT DISTINCT directory, unnest(list_transform(range(0, len(string_split(directory, '/')) + 1),
+         lambda i: array_to_string(string_split(directory, '/')[1:i], '/'))) AS ancestor
+  FROM own
+), nearest AS (
+  SELECT directory, arg_max(licence, length(ancestor)) AS licence, arg_max(ancestor, length(ancestor)) AS ancestor
+  FROM above JOIN stated USING (ancestor) GROUP BY directory
+)
+SELECT doc_id, path, coalesce(code, licence) AS licence, score, CAST(line AS INTEGER) AS line,
+       CASE WHEN code IS NULL THEN ancestor END AS inherited_from
+FROM own LEFT JOIN nearest USING (directory)
+"""
