@@ -289,3 +289,11 @@ def test_an_exploding_lookup_is_not_broadcast_by_its_planned_size(spark, tmp_pat
         spark.range(5).selectExpr("string(id) AS c"), lookup, {"c": "code"}, sized_by=spark.read.parquet(path).select("code")
     )
     assert "ResolvedHint" in explain(bounded, "extended")
+
+
+def test_rekey_reads_its_inputs_once(stored, conf):
+    """Counts and rows come from the same keyed invoices; the plan that ran reuses their exchanges."""
+    conf(NO_BROADCAST)
+    plan = final_plan(duplicates.rekey_duplicates(ar_keys.ar_keys(stored)))
+    final = plan.split("+- == Final Plan ==")[-1]
+    assert len(re.findall(r"FileScan parquet", final)) <= 9
