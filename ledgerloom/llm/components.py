@@ -10,7 +10,7 @@ from ledgerloom.llm.common import stored
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node with a link; component is its smallest node.
 
-    Alternates two steps until nothing changes: every node's larger neighbours are
+    Alternates two steps until all components are stars: every node's larger neighbours are
     hung onto its smallest neighbour, then its smaller ones. Each step keeps the
     components and brings every node nearer to its smallest; a chain of n nodes
     takes about log n rounds. Minima are combined before the shuffle and the joins
@@ -21,22 +21,20 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         links.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v"))
         .filter(F.col("u") != F.col("v")).distinct()
     )
-    mark = _mark(edges)
-    while mark[0]:
+    while not _stars(edges):
         edges = stored(_small_star(stored(_large_star(edges))))
-        new = _mark(edges)
-        if new == mark:
-            break
-        mark = new
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """A number of edges and a sum of their hashes: equal for equal tables."""
-    hashed = F.xxhash64("u", "v").cast("decimal(20,0)")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(hashed)).first())
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node that hangs on another hangs on one, and nothing hangs on it."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    sides = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return sides.filter("up > 1 or (up > 0 and down > 0)").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.llm.common import bounded, map_batches, python_workers, stored
 from ledgerloom.llm.components import components
@@ -109,10 +110,9 @@ def _similar(p: NearDup):
     return keep
 
 
-def _first_pairs(classes: DataFrame, buckets: DataFrame, n_buckets: int, p: NearDup) -> DataFrame:
+def _first_pairs(hits: DataFrame, classes: DataFrame, p: NearDup) -> DataFrame:
     """Each class with the smallest one of every table key it shares."""
-    hits = _members(classes, p).join(bounded(buckets, n_buckets), "key").filter("node != low")
-    pairs = hits.select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
+    pairs = hits.filter("node != low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
     return _screened(pairs, classes, p)
 
 
@@ -127,50 +127,47 @@ def _screened(pairs: DataFrame, classes: DataFrame, p: NearDup) -> DataFrame:
     return map_batches(sized.select("a", "b", "s_a", "s_b"), _similar(p), "a long, b long")
 
 
-def _left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, p: NearDup) -> DataFrame:
-    """Pairs of classes that share a table key and are in different components so far.
+def _blocks(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of every group of ``by`` that spans several components, dealt so that any two of them meet.
 
-    The members of a key are dealt into blocks, and every two blocks meet in a group
-    of at most 2 * ``BLOCK`` rows, which is read as a stream and compared on sketches
-    there. Pairs within a component are left out: linking them would change nothing.
+    Groups are cut into blocks, and every two blocks meet in a group (i, j) of at most
+    2 * ``BLOCK`` rows, which lie together in a sorted stream.
     """
-    named = members.join(labels, F.col("node") == F.col("l_node"), "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")
-    )
-    open_keys = stored(
-        named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
-        # With two members the only pair has been compared.
-        .filter("x != y and n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    groups = stored(
+        rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
+        .filter("x != y").select(*by, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    n_open = open_keys.count()
     block = F.pmod(F.hash("node"), F.col("blocks"))
     meets = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.struct(F.least(other, block).alias("i"), F.greatest(other, block).alias("j")),
     )
-    rows = (
-        named.join(bounded(open_keys, n_open), "key")
-        .join(classes.select("node", "n_shingles", "sketch"), "node")
-        .withColumn("block", block)
-        .withColumn("meet", F.explode(meets))
-        .select("key", F.col("meet.i").alias("i"), F.col("meet.j").alias("j"), "block", "node", "component", "n_shingles", "sketch")
-    )
-    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    met = rows.join(bounded(groups, groups.count()), by).withColumn("block", block).withColumn("meet", F.explode(meets))
+    key = [*by, "i", "j"]
+    rest = [c for c in rows.columns if c not in by]
+    return met.withColumns({"i": F.col("meet.i"), "j": F.col("meet.j")}).select(*key, "block", *rest).repartition(*key).sortWithinPartitions(*key)
+
+
+def _met(dealt: DataFrame, keys: int, likely: Callable[[dict, int], np.ndarray]) -> DataFrame:
+    """The pairs of a dealt group that are in different components and ``likely``.
+
+    ``likely`` gets the columns of a group as arrays and a row, and says which of the
+    rows after it can be similar to it.
+    """
+    names = dealt.columns
 
     def compare(group: list[tuple]) -> Iterator[tuple[int, int]]:
-        node = np.array([g[4] for g in group])
-        part = np.array([g[5] for g in group])
-        size = np.array([g[6] for g in group])
-        side = np.array([g[3] for g in group])
-        sketch = np.frombuffer(b"".join(g[7] for g in group), np.uint8).reshape(-1, p.hashes)
-        across = group[0][1] != group[0][2]
+        columns = {c: np.array([g[k] for g in group]) for k, c in enumerate(names) if c != "sketch" and k >= keys}
+        if "sketch" in names:
+            at = names.index("sketch")
+            columns["sketch"] = np.frombuffer(b"".join(g[at] for g in group), np.uint8).reshape(len(group), -1)
+        node, part, side = columns["node"], columns["component"], columns["block"]
+        across = group[0][keys - 2] != group[0][keys - 1]
         for k in range(len(group) - 1):
-            rest = slice(k + 1, None)
-            ok = (part[rest] != part[k]) & ((sketch[rest] == sketch[k]).sum(axis=1) >= p.least_equal)
-            ok &= 100 * np.minimum(size[rest], size[k]) >= p.percent * np.maximum(size[rest], size[k])
+            ok = likely(columns, k) & (part[k + 1:] != part[k])
             if across:
-                ok &= side[rest] != side[k]
-            for other in node[rest][ok]:
+                ok &= side[k + 1:] != side[k]
+            for other in node[k + 1:][ok]:
                 yield (int(max(other, node[k])), int(min(other, node[k])))
 
     def stream(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +175,7 @@ def _left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, p: Nea
         found: set[tuple[int, int]] = set()
         for part in parts:
             for row in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                if held and held[0][:3] != row[:3]:
+                if held and held[0][:keys] != row[:keys]:
                     found.update(compare(held))
                     held = []
                 held.append(row)
@@ -188,8 +185,158 @@ def _left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, p: Nea
         found.update(compare(held))
         yield _pairs(found)
 
-    python_workers(rows.sparkSession)
-    return dealt.mapInArrow(stream, "a long, b long").distinct()
+    python_workers(dealt.sparkSession)
+    return dealt.mapInArrow(stream, "a long, b long")
+
+
+#: Times that members are profiled against one of their key before the rest are compared on sketches.
+ROUNDS = 1
+
+
+def _left_over(shared: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame, p: NearDup) -> DataFrame:
+    """Pairs that share a table key, are in different components so far, and can be similar.
+
+    The members of a key are profiled against one of them, and those near it are
+    compared by what they differ in (``_by_differences``). Members far from it are
+    compared on their sketches, or with more ``ROUNDS`` profiled against the smallest
+    of their own first. By the triangle inequality of the distance
+    1 - similarity, similar texts differ in their distance from a third by at most
+    1 - percent / 100, so with zones that overlap by that much every pair is seen.
+    """
+    # With two members the only pair has been compared.
+    members = shared.filter("n > 2").join(labels, F.col("node") == F.col("l_node"), "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component")
+    )
+    found: list[DataFrame] = []
+    for _ in range(ROUNDS):
+        members, pairs = _round(members, classes, texts, p)
+        found.append(pairs)
+
+    def alike(c: dict, k: int) -> np.ndarray:
+        n, x = c["n_shingles"], c["sketch"]
+        ok = 100 * np.minimum(n[k + 1:], n[k]) >= p.percent * np.maximum(n[k + 1:], n[k])
+        return ok & ((x[k + 1:] == x[k]).sum(axis=1) >= p.least_equal)
+
+    sketched = _blocks(members, ["key"]).join(classes.select(F.col("node").alias("c_node"), "n_shingles", "sketch"), F.col("node") == F.col("c_node"))
+    sketched = sketched.drop("c_node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    found.append(_met(sketched, 3, alike))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _round(members: DataFrame, classes: DataFrame, texts: DataFrame, p: NearDup) -> tuple[DataFrame, DataFrame]:
+    """The members far from the smallest one of their key, and pairs among those near it."""
+    keys = members.groupBy("key").agg(
+        F.min(F.struct("node", "component")).alias("low"), F.min("component").alias("x"), F.max("component").alias("y")
+    ).filter("x != y")
+    keys = stored(keys.select("key", F.col("low.node").alias("low"), F.col("low.component").alias("low_component")))
+    hits = stored(members.join(bounded(keys, keys.count()), "key").filter("node != low"))
+    pairs = hits.select(F.col("node").alias("a"), F.col("low").alias("b"), "component", "low_component").distinct()
+    near_equal = p.hashes // 4
+
+    def equal(part: pa.RecordBatch) -> pa.RecordBatch:
+        x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(part.num_rows, -1) for c in ("s_a", "s_b"))
+        close = (x == y).sum(axis=1) >= near_equal if part.num_rows else []
+        names = ["a", "b", "component", "low_component"]
+        return pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(close, pa.bool_())], [*names, "close"])
+
+    left, right = (classes.select(F.col("node").alias(c), F.col("sketch").alias(f"s_{c}")) for c in ("a", "b"))
+    seen = stored(map_batches(
+        pairs.join(left, "a").join(right, "b").select("a", "b", "component", "low_component", "s_a", "s_b"), equal,
+        "a long, b long, component long, low_component long, close boolean",
+    ))
+
+    def differ(a: int, b: int, own: np.ndarray, base: np.ndarray, extra: int) -> tuple:
+        both = overlap(own, base)
+        union = len(own) + len(base) - both
+        near, far = 100 * both >= (p.percent - 35) * union, 100 * both < 65 * union
+        added = own[~np.isin(own, base, assume_unique=True)] if near else own[:0]
+        lacking = base[~np.isin(base, own, assume_unique=True)] if near else own[:0]
+        return a, b, near, far, len(own), len(base), added.view(np.int64).tolist(), lacking.view(np.int64).tolist()
+
+    ids = pa.list_(pa.int64())
+    profiles = stored(_beside(
+        seen.filter("close").select("a", "b", F.lit(0).cast("long").alias("extra")), classes, texts, p, differ,
+        [("a", pa.int64()), ("b", pa.int64()), ("near", pa.bool_()), ("far", pa.bool_()), ("n", pa.int64()), ("of", pa.int64()), ("added", ids), ("lacking", ids)],
+        "a long, b long, near boolean, far boolean, n long, of long, added array<long>, lacking array<long>",
+    ))
+    near = profiles.filter("near").join(seen.select("a", "b", "component"), ["a", "b"]).select("a", "b", "component", "n", "of", "added", "lacking")
+    # The one of the key is a member that does not differ.
+    lows = profiles.filter("near").groupBy("b").agg(F.first("of").alias("of")).join(seen.select("b", F.col("low_component").alias("component")).distinct(), "b")
+    none = F.array().cast("array<long>")
+    lows = lows.select(F.col("b").alias("a"), "b", "component", F.col("of").alias("n"), "of", none.alias("added"), none.alias("lacking"))
+    close = _by_differences(near.unionByName(lows), p)
+    distant = seen.filter("not close").select("a", "b").unionByName(profiles.filter("far").select("a", "b"))
+    far = hits.join(distant, (F.col("node") == F.col("a")) & (F.col("low") == F.col("b"))).select("key", "node", "component")
+    return far, close
+
+
+def _by_differences(near: DataFrame, p: NearDup) -> DataFrame:
+    """Pairs of different components that can be similar, from what members add to and lack of a text b.
+
+    The differences of most members are made part of the reference set: a common
+    centre z. Let a member x lack R and add A relative to z. Two members share
+    |z| - |Rx| - |Ry| + c shingles, where c counts the differences they have in common,
+    so they are similar only if whole * c >= F(x) + F(y) - whole * |z| with
+    whole = 100 + percent and F(x) = percent * |x| + whole * |Rx|.
+
+    Let m have the least F. If that bound is 0 or less for any pair, it is for both
+    with m: such members are paired with m alone. Every other pair has a member
+    outside m's set, which bounds the other F from below and so gives each member
+    the least c it needs: the pair must share one of its first |R| + |A| - c + 1
+    differences, rarest first.
+    """
+    whole, q = 100 + p.percent, p.percent
+    near = stored(near)
+    sizes = stored(near.groupBy("b").agg(F.count(F.lit(1)).alias("members")))
+    groups = sizes.count()
+
+    def listed(added: str, lacking: str) -> Column:
+        return F.explode(F.concat(
+            F.transform(added, lambda e: F.struct(e.alias("element"), F.lit(True).alias("adds"))),
+            F.transform(lacking, lambda e: F.struct(e.alias("element"), F.lit(False).alias("adds"))),
+        ))
+
+    uses = near.select("b", listed("added", "lacking").alias("e")).groupBy("b", "e.element", "e.adds").agg(F.count(F.lit(1)).alias("uses"))
+    uses = stored(uses.join(bounded(sizes, groups), "b"))
+    most = uses.filter("2 * uses > members").groupBy("b").agg(
+        F.collect_list(F.when(F.col("adds"), F.col("element"))).alias("more"), F.collect_list(F.when(~F.col("adds"), F.col("element"))).alias("less")
+    )
+    none = F.array().cast("array<long>")
+    # A row of ``most`` holds as many numbers as a document has shingles.
+    centred = near.join(bounded(most, 100 * groups), "b", "left").withColumns({"more": F.coalesce("more", none), "less": F.coalesce("less", none)}).select(
+        "a", "b", "component", "n",
+        (F.col("of") + F.size("more") - F.size("less")).alias("z"),
+        F.concat(F.array_except("added", "more"), F.array_except("less", "lacking")).alias("adds"),
+        F.concat(F.array_except("lacking", "less"), F.array_except("more", "added")).alias("lacks"),
+    )
+    centred = stored(centred.withColumn("f", q * F.col("n") + whole * F.size("lacks")))
+    least = stored(centred.groupBy("b").agg(F.min(F.struct("f", "a")).alias("m")))
+    known = centred.join(bounded(least, groups), "b")
+    bound = F.col("f") + F.col("m.f") - whole * F.col("z")
+    sure = known.filter((bound <= 0) & (F.col("a") != F.col("m.a"))).select(
+        F.greatest("a", "m.a").alias("a"), F.least("a", "m.a").alias("b")
+    )
+    d = F.size("adds") + F.size("lacks")
+    needed = F.when(bound <= 0, F.floor((F.col("f") - F.col("m.f")) / whole) + 1).otherwise(F.ceil(bound / whole))
+    rarity = uses.select("b", "element", F.least("uses", F.col("members") - F.col("uses")).alias("uses"))
+    order = Window.partitionBy("b", "node").orderBy("uses", "element")
+    postings = (
+        known.select("b", F.col("a").alias("node"), "component", "n", (2 * F.col("f") - whole * F.col("z")).alias("f"), d.alias("d"),
+                     needed.alias("needed"), F.explode(F.concat("adds", "lacks")).alias("element"))
+        .filter("d >= needed")
+        .join(rarity, ["b", "element"])
+        .withColumn("rest", F.col("d") - F.row_number().over(order) + 1)
+        .filter("rest >= needed")
+        .select("b", "element", "node", "component", "n", "f", "rest")
+    )
+
+    def share(c: dict, k: int) -> np.ndarray:
+        n, rest = c["n"], c["rest"]
+        ok = 100 * np.minimum(n[k + 1:], n[k]) >= q * np.maximum(n[k + 1:], n[k])
+        # If this is the first difference in common, at most the rest of the shorter list is.
+        return ok & (2 * whole * np.minimum(rest[k + 1:], rest[k]) >= c["f"][k + 1:] + c["f"][k])
+
+    return sure.unionByName(_met(_blocks(stored(postings), ["b", "element"]), 4, share))
 
 
 def _pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
@@ -197,47 +344,57 @@ def _pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, p: NearDup) -> DataFrame:
-    """The pairs whose whole shingle sets are similar enough.
+def _beside(
+    pairs: DataFrame, classes: DataFrame, texts: DataFrame, p: NearDup,
+    visit: Callable[[int, int, np.ndarray, np.ndarray, int], tuple | None], columns: list[tuple[str, pa.DataType]], schema: str,
+) -> DataFrame:
+    """``visit`` (a, b, set of a, set of b, extra) for every pair, where it returns a row.
 
-    ``pairs`` (a, b) is stored. Each b gets a copy of its text for every ``FAN`` of its
-    partners; the partners of a copy follow it in a sorted stream, so one set is held
+    ``pairs`` (a, b, extra) is stored. Each b gets a copy of its text for every ``FAN`` of
+    its partners; the partners of a copy follow it in a sorted stream, so one set is held
     at a time.
     """
     fans = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("fans"))
-    key = classes.select("node", "h1", "h2")
-    dealt = stored(
-        pairs.join(fans, "b")
-        .withColumn("fan", F.pmod(F.hash("a"), F.col("fans")))
-        .select("a", "b", "fan")
-    )
-    wanted = dealt.select(F.col("a").alias("node"), "b", "fan", F.lit(1).alias("turn")).unionByName(
-        dealt.select(F.col("b").alias("node"), "b", "fan", F.lit(0).alias("turn")).distinct()
-    ).join(key, "node")
-    n = wanted.count()
-    # A document that repeats an id has several texts; its class tells which is meant.
-    rows = bounded(wanted, n).join(texts, F.col("node") == F.col("t_id")).select(
-        "b", "fan", "turn", "node", "h1", "h2", "text"
+    dealt = stored(pairs.join(fans, "b").select("a", "b", "extra", F.pmod(F.hash("a"), F.col("fans")).alias("fan")))
+    wanted = dealt.select(F.col("a").alias("node"), "b", "fan", F.lit(1).alias("turn"), "extra").unionByName(
+        dealt.select(F.col("b").alias("node"), "b", "fan", F.lit(0).alias("turn"), F.lit(0).cast("long").alias("extra")).distinct()
+    ).join(classes.select("node", "h1", "h2"), "node")
+    rows = bounded(wanted, 2 * dealt.count()).join(texts, F.col("node") == F.col("t_id")).select(
+        "b", "fan", "turn", "node", "extra", "h1", "h2", "text"
     ).repartition("b", "fan").sortWithinPartitions("b", "fan", "turn")
 
+    def batch(found: list[tuple]) -> pa.RecordBatch:
+        by_column = list(zip(*found, strict=True)) if found else [()] * len(columns)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(by_column, columns, strict=True)], [c for c, _ in columns])
+
     def stream(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, base = None, None
         for part in parts:
-            found: set[tuple[int, int]] = set()
-            for b, fan, turn, node, h1, h2, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            found: dict[tuple[int, int], tuple] = {}
+            for b, fan, turn, node, extra, h1, h2, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 own = shingle_set(text, p.words)
+                # A document that repeats an id has several texts; its class tells which is meant.
                 if set_key(own) != (h1, h2):
                     continue
                 if not turn:
                     at, base = (b, fan), own
-                elif at == (b, fan):
-                    both = overlap(own, base)
-                    if 100 * both >= p.percent * (len(own) + len(base) - both):
-                        found.add((node, b))
-            yield _pairs(found)
+                elif at == (b, fan) and (row := visit(node, b, own, base, extra)) is not None:
+                    found[node, b] = row
+            yield batch(list(found.values()))
 
     python_workers(rows.sparkSession)
-    return rows.mapInArrow(stream, "a long, b long")
+    return rows.mapInArrow(stream, schema)
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, p: NearDup) -> DataFrame:
+    """The pairs (a, b), a stored table, whose whole shingle sets are similar enough."""
+
+    def linked(a: int, b: int, own: np.ndarray, base: np.ndarray, extra: int) -> tuple | None:
+        both = overlap(own, base)
+        return (a, b) if 100 * both >= p.percent * (len(own) + len(base) - both) else None
+
+    with_extra = pairs.select("a", "b", F.lit(0).cast("long").alias("extra"))
+    return _beside(with_extra, classes, texts, p, linked, [("a", pa.int64()), ("b", pa.int64())], "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -251,8 +408,8 @@ def near_duplicates(
     compared with each other. Classes meet in the tables of ``NearDup``:
 
     1. each is compared with the smallest class of every table key it shares;
-    2. keys whose members are still in several components have the rest of their
-       pairs compared, in blocks.
+    2. keys whose members are still in several components have their other pairs
+       compared by what the members differ in from that class (``_left_over``).
 
     So any pair that shares a table key ends in one component if it is linked,
     whatever the size of its group; candidates are confirmed on whole sets. Empty
@@ -272,16 +429,14 @@ def near_duplicates(
     buckets = stored(
         _members(classes, p).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low")).filter("n > 1")
     )
-    n_buckets = buckets.count()
-    first = stored(_first_pairs(classes, buckets.select("key", "low"), n_buckets, p))
-    links = stored(confirmed(first, classes, texts, p))
-    labels = components(links)
-    open_members = _members(classes, p).join(bounded(buckets.filter("n > 2").select("key"), n_buckets), "key")
-    more = _left_over(open_members, labels.select(F.col("node").alias("l_node"), "component"), classes, p)
-    rest = stored(more.join(first, ["a", "b"], "left_anti"))
+    hits = stored(_members(classes, p).join(bounded(buckets, buckets.count()), "key"))
+    first = stored(_first_pairs(hits, classes, p))
+    labels = components(confirmed(first, classes, texts, p))
+    more = _left_over(hits, classes, labels.select(F.col("node").alias("l_node"), "component"), texts, p)
+    rest = stored(_screened(more.join(first, ["a", "b"], "left_anti"), classes, p))
     if not rest.isEmpty():
-        links = links.unionByName(stored(confirmed(rest, classes, texts, p)))
-        labels = components(links)
+        known = labels.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = components(known.unionByName(confirmed(rest, classes, texts, p)))
     named = classes.join(labels.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left").select(
         "h1", "h2", F.coalesce("component", "node").alias("component_id")
     )
