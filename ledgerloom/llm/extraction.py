@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerloom.llm.common import map_batches
 
 # A comment, a declaration, a tag with quoted or bare attributes, or a run of text.
-_PART = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][-\w:]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.DOTALL)
+_PART = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(/?)([a-zA-Z][-\w:]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.DOTALL)
 _NAMES = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
 #: Elements whose content is not text, and those that are void.
