@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.llm.common import bounded, map_batches, python_workers, stored
 from ledgerloom.llm.components import components
@@ -17,13 +17,14 @@ from ledgerloom.llm.components import components
 class Forest:
     """Trees, rows of a leaf, the part of a node on each side of a split that goes to both
     children, and the rows on which splits are fitted (``fit_rows`` at most; every row is indexed).
+    At most as many rows are centres of the cells of large components.
     """
 
     trees: int = 8
     leaf_rows: int = 256
     spill: float = 0.06
     fit_rows: int = 20_000
-    #: Rows of a block when a leaf is compared.
+    #: Rows of a block when a leaf or a cell is compared.
     block: int = 2_048
     seed: int = 23
 
@@ -109,10 +110,12 @@ def near_vectors(
     Rows are linked when their cosine, in double precision, is ``least`` or more.
     n_links counts the other rows linked directly, component_id is the smallest id
     reachable by links. Equal vectors form a class that stands for all its rows.
-    Classes meet in the leaves of the forest, where all pairs are compared; a leaf
-    with more than ``block`` rows is dealt into blocks of which every two meet. A
-    pair that shares several leaves counts in the smallest one only, so link
-    counts are summed without listing pairs.
+    Classes meet in the leaves of the forest, whose links give the components. As a
+    link lies within a component, all pairs of a component are then compared and
+    counted, each once: n_links misses no link between rows of a component, however
+    the leaves have cut a large group of near copies (see ``_in_components``). A
+    leaf or cell with more than ``block`` rows is dealt into blocks of which every
+    two meet.
 
     Vectors that are NULL, zero or hold NULL or non-finite numbers link with nothing,
     nor do vectors of different lengths. Rows without an id link with nothing and
@@ -135,8 +138,9 @@ def near_vectors(
     ))
     n = classes.count()
     found = stored(_in_leaves(classes, n, least, p))
-    more = found.groupBy("node").agg(F.sum("links").alias("more"), F.min("low").alias("low"))
-    labels = components(found.filter("low < node").select(F.col("node").alias("a"), F.col("low").alias("b")))
+    labels = stored(components(found.select(F.col("node").alias("a"), F.col("low").alias("b"))))
+    members = stored(classes.select("node", "copies", "vector").join(labels, "node"))
+    more = _in_components(members, least, p).groupBy("node").agg(F.sum("links").alias("more"))
     named = (
         classes.select("h1", "h2", "node", "copies")
         .join(more, "node", "left")
@@ -163,7 +167,7 @@ def _fit(classes: DataFrame, n: int, p: Forest) -> Fitted:
 
 
 def _in_leaves(classes: DataFrame, n: int, least: float, p: Forest) -> DataFrame:
-    """(node, links, low): links counted in a leaf, and the smallest node linked there."""
+    """(node, low): what the links found in a leaf connect, as links to one node of each connected part."""
     shared = classes.sparkSession.sparkContext.broadcast(_fit(classes, n, p))
 
     def place(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -178,85 +182,176 @@ def _in_leaves(classes: DataFrame, n: int, least: float, p: Forest) -> DataFrame
             for i, found in zip(at, fitted.leaves(own), strict=True):
                 leaves[i] = [(x << 16) + min(width, 65535) for x in sorted(found)]
         return pa.RecordBatch.from_arrays(
-            [part.column("node"), part.column("copies"), part.column("vector"), pa.array(leaves, pa.list_(pa.int64()))],
-            ["node", "copies", "vector", "leaves"],
+            [part.column("node"), part.column("vector"), pa.array(leaves, pa.list_(pa.int64()))], ["node", "vector", "leaves"]
         )
 
     kind = classes.schema["vector"].dataType.simpleString()
-    placed = map_batches(
-        classes.select("node", "copies", "vector"), place, f"node long, copies long, vector {kind}, leaves array<long>"
-    )
+    placed = map_batches(classes.select("node", "vector"), place, f"node long, vector {kind}, leaves array<long>")
     sizes = stored(placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(
         F.ceil(F.count(F.lit(1)) / p.block).cast("int").alias("blocks")
     ))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    meets = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda other: F.struct(F.least(other, block).alias("i"), F.greatest(other, block).alias("j")),
-    )
     dealt = (
         placed.withColumn("leaf", F.explode("leaves"))
         .join(bounded(sizes, sizes.count()), "leaf")
         .withColumn("block", block)
-        .withColumn("meet", F.explode(meets))
-        .select("leaf", F.col("meet.i").alias("i"), F.col("meet.j").alias("j"), "block", "node", "copies", "vector", "leaves")
+        .withColumn("meet", F.explode(_meets(F.col("blocks"))))
+        .select(F.lit(0).alias("part"), "leaf", "meet.i", "meet.j", "block", "node", "vector")
         .repartition("leaf", "i", "j").sortWithinPartitions("leaf", "i", "j")
     )
 
+    def connected(group: list[tuple]) -> list[tuple]:
+        node, label = [g[5] for g in group], np.arange(len(group))
+        for x, y, hit in _hits(group, 6, least):
+            a, b = np.nonzero(hit)
+            _merge(label, x[a], y[b])
+        return [(node[k], node[to]) for k, to in enumerate(label.tolist()) if k != to]
+
+    return _by_group(dealt, connected, ["node", "low"])
+
+
+def _in_components(members: DataFrame, least: float, p: Forest) -> DataFrame:
+    """(node, links): the rows linked with each member of a component, in parts to be summed.
+
+    A large component is divided among centres drawn from its members. A member has
+    its home in the cell of its nearest centre p, and is a guest in the cell of a
+    later centre q if it lies near enough to the plane half way between p and q for
+    a link to reach across: rows behind that plane are at least (x.p - x.q) / |p - q|
+    away, and linked rows are at most sqrt(2 - 2 least) apart. So each linked pair
+    meets once, as two rows at home or as a row at home and a guest. Wide
+    components, such as chains, compare near cells only; a group of near copies
+    compares all its pairs, as most are links.
+    """
+    large = members.groupBy("component").count().filter(F.col("count") > p.block)
+    rows = large.agg(F.sum("count")).first()[0] or 0
+    part = min(1.0 / p.block, 0.9 * p.fit_rows / max(1, rows))
+    chosen = F.pmod(F.xxhash64("node", F.lit(p.seed)), F.lit(1 << 30)) < int(part * (1 << 30))
+    taken = members.filter(chosen).join(large, "component", "left_semi").select("component", "node", "vector").limit(p.fit_rows)
+    centres: dict[int, list] = {}
+    for r in sorted(taken.collect(), key=lambda r: r.node) if rows else []:
+        centres.setdefault(r.component, []).append(r.vector)
+    fixed = {}
+    for component, vectors in centres.items():
+        unit = _unit(vectors)
+        fixed[component] = unit, np.sqrt(np.maximum(0, 2 - 2 * unit @ unit.T))
+    shared = members.sparkSession.sparkContext.broadcast(fixed)
+    reach = float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-9
+
+    def place(part: pa.RecordBatch) -> pa.RecordBatch:
+        of, vectors = part.column("component").to_pylist(), part.column("vector").to_pylist()
+        cells = [[0]] * len(of)
+        at: dict[int, list[int]] = {}
+        for i, component in enumerate(of):
+            if component in shared.value:
+                at.setdefault(component, []).append(i)
+        for component, own in at.items():
+            unit, apart = shared.value[component]
+            near = _unit([vectors[i] for i in own]) @ unit.T
+            home = near.argmax(axis=1)
+            guest = near.max(axis=1, keepdims=True) - near <= reach * apart[home] + 1e-9
+            guest &= np.arange(len(unit)) > home[:, None]
+            for i, first, more in zip(own, home.tolist(), guest, strict=True):
+                cells[i] = [first, *np.flatnonzero(more).tolist()]
+        return pa.RecordBatch.from_arrays([*part.columns, pa.array(cells, pa.list_(pa.int32()))], [*part.schema.names, "cells"])
+
+    kind = members.schema["vector"].dataType.simpleString()
+    placed = map_batches(
+        members.select("component", "node", "copies", "vector"), place,
+        f"component long, node long, copies long, vector {kind}, cells array<int>",
+    )
+    lying = placed.select("*", F.posexplode("cells").alias("place", "cell")).withColumn("home", F.col("place") == 0)
+    # Cells of one block, nearly all, need no row here.
+    sizes = stored(
+        lying.groupBy(F.col("component").alias("s_component"), F.col("cell").alias("s_cell"))
+        .agg((F.ceil(F.count_if("home") / p.block)).cast("int").alias("homes"), F.ceil(F.count_if(~F.col("home")) / p.block).cast("int").alias("guests"))
+        .filter("homes > 1 or guests > 0")
+    )
+    homes, guests, key = F.coalesce("homes", F.lit(1)), F.coalesce("guests", F.lit(0)), F.xxhash64("node")
+    sided = (
+        lying.join(bounded(sizes, sizes.count()), (F.col("component") == F.col("s_component")) & (F.col("cell") == F.col("s_cell")), "left")
+        .withColumns({"homes": homes, "guests": guests}).filter("homes > 0")
+        .withColumn("block", F.when(F.col("home"), F.pmod(key, F.col("homes"))).otherwise(F.col("homes") + F.pmod(key, F.col("guests"))).cast("int"))
+    )
+    # A row at home meets all blocks of its cell, a guest those of rows at home.
+    others = F.when(F.col("home"), F.col("homes") + F.col("guests")).otherwise(F.col("homes"))
+    dealt = (
+        sided.withColumn("meet", F.explode(_meets(others)))
+        .select("component", "cell", "meet.i", "meet.j", "block", "node", "vector", "copies")
+        .repartition("component", "cell", "i", "j").sortWithinPartitions("component", "cell", "i", "j")
+    )
+
+    def counted(group: list[tuple]) -> list[tuple]:
+        copies, links = np.array([g[7] for g in group], float), np.zeros(len(group))
+        for x, y, hit in _hits(group, 6, least):
+            one = hit.astype(float)
+            links[x] += one @ copies[y]
+            links[y] += copies[x] @ one
+        return [(g[5], int(k)) for g, k in zip(group, links.tolist(), strict=True) if k]
+
+    return _by_group(dealt, counted, ["node", "links"])
+
+
+def _meets(others: Column) -> Column:
+    """The pairs (i, j) of the row's own block with each of the first ``others`` blocks."""
+    block = F.col("block")
+    return F.transform(
+        F.sequence(F.lit(0), others - 1),
+        lambda other: F.struct(F.least(other, block).alias("i"), F.greatest(other, block).alias("j")),
+    )
+
+
+def _by_group(dealt: DataFrame, run: Callable[[list[tuple]], list[tuple]], names: list[str]) -> DataFrame:
+    """``run`` on each run of rows that are equal in the first four columns."""
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [() for _ in names]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
     def stream(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for part in parts:
-            out: list[tuple[int, int, int]] = []
+            out: list[tuple] = []
             for row in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                if held and held[0][:3] != row[:3]:
-                    out += _compared(held, least)
+                if held and held[0][:4] != row[:4]:
+                    out += run(held) if len(held) > 1 else []
                     held = []
                 held.append(row)
-            yield _found(out)
-        yield _found(_compared(held, least))
-
-    python_workers(classes.sparkSession)
-    return dealt.mapInArrow(stream, "node long, links long, low long")
-
-
-def _found(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [(), (), ()]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "links", "low"])
-
-
-def _compared(group: list[tuple], least: float, rows: int = 256) -> list[tuple[int, int, int]]:
-    """The links among the rows of a leaf, or between two of its blocks."""
-    if len(group) < 2:
-        return []
-    leaf, i, j = group[0][:3]
-    node, copies, side = (np.array([g[k] for g in group]) for k in (4, 5, 3))
-    unit = _unit([g[6] for g in group])
-    longest = max(len(g[7]) for g in group)
-    leaves = np.full((len(group), longest), -1, np.int64)
-    for k, g in enumerate(group):
-        leaves[k, :len(g[7])] = g[7]
-    links, low = np.zeros(len(group), np.int64), node.copy()
-    for start in range(0, len(group), rows):
-        cos = unit[start:start + rows] @ unit.T
-        x, y = np.nonzero(cos >= least - 1e-9)
-        x = x + start
-        later = x < y
-        x, y = x[later], y[later]
-        if i != j:
-            across = side[x] != side[y]
-            x, y = x[across], y[across]
+            yield batch(out)
+        yield batch(run(held) if len(held) > 1 else [])
+
+    python_workers(dealt.sparkSession)
+    return dealt.mapInArrow(stream, ", ".join(f"{name} long" for name in names))
+
+
+def _hits(group: list[tuple], vector: int, least: float, rows: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(x, y, which of x by y are linked), over all pairs of a block, or of two blocks with i and j in columns 2 and 3."""
+    i, j = group[0][2:4]
+    unit = _unit([g[vector] for g in group])
+    side = np.array([g[4] for g in group])
+    xs = np.flatnonzero(side == i)
+    for start in range(0, len(xs), rows):
+        x = xs[start:start + rows]
+        y = np.flatnonzero(side == j) if i != j else xs[start:]
+        if not len(y):
+            return
+        cos = unit[x] @ unit[y].T
+        hit = cos >= least
         # Products of a matrix may differ in the last bit from those of one pair.
-        exact = np.einsum("ij,ij->i", unit[x], unit[y]) >= least
-        x, y = x[exact], y[exact]
-        np.minimum.at(low, x, node[y])
-        np.minimum.at(low, y, node[x])
-        # The smallest leaf that both are in counts the pair.
-        first = np.ones(len(x), bool)
-        for k in range(longest):
-            shared = leaves[x, k]
-            earlier = (shared >= 0) & (shared < leaf) & (leaves[y] == shared[:, None]).any(axis=1)
-            first &= ~earlier
-        np.add.at(links, x[first], copies[y[first]])
-        np.add.at(links, y[first], copies[x[first]])
-    some = (links > 0) | (low < node)
-    return list(zip(node[some].tolist(), links[some].tolist(), low[some].tolist(), strict=True))
+        a, b = np.nonzero(np.abs(cos - least) < 1e-9)
+        for at in range(0, len(a), 1 << 16):
+            k, m = a[at:at + (1 << 16)], b[at:at + (1 << 16)]
+            hit[k, m] = np.einsum("ij,ij->i", unit[x[k]], unit[y[m]]) >= least
+        yield x, y, hit if i != j else np.triu(hit, 1)
+
+
+def _merge(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Join the parts that x and y lie in; a label is the smallest row of its part."""
+    while True:
+        a, b = label[x], label[y]
+        differ = a != b
+        if not differ.any():
+            return
+        x, y, a, b = x[differ], y[differ], a[differ], b[differ]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label[label] != label).any():
+            label[:] = label[label]

@@ -42,3 +42,30 @@ def test_like_brute_force(spark, rows, forest):
 def test_empty(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert near_vectors(table).count() == 0
+
+
+@pytest.mark.parametrize("forest", [Forest(), Forest(fit_rows=400, block=100)])
+def test_all_links_of_a_large_group(spark, forest):
+    rng = np.random.default_rng(1)
+    size = 10_500 if forest == Forest() else 900
+    hot = rng.standard_normal(64)
+    v = np.concatenate([hot + 0.2 * rng.standard_normal((size, 64)), rng.standard_normal((2000, 64))]).astype("f4")
+    unit = v.astype("f8") / np.linalg.norm(v.astype("f8"), axis=1, keepdims=True)
+    want = [int(n) - 1 for at in range(0, len(v), 500) for n in (unit[at:at + 500] @ unit.T >= 0.95).sum(axis=1)]
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r.n_links for r in near_vectors(table, params=forest).collect()}
+    assert [got[i] for i in range(len(v))] == want
+
+
+def test_a_long_chain_is_one_component(spark):
+    # Quarter turns from axis to axis in steps of 18 degrees: a row is linked with its two neighbours only.
+    v = np.zeros((295, 60))
+    for k in range(295):
+        angle = k % 5 * np.pi / 10
+        v[k, k // 5], v[k, k // 5 + 1] = np.cos(angle), np.sin(angle)
+    ids = np.random.default_rng(3).permutation(295).tolist()
+    rows = [(i, x.tolist()) for i, x in zip(ids, v, strict=True)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = near_vectors(table, params=Forest(leaf_rows=512, block=50)).collect()
+    assert {r.component_id for r in got} == {0}
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in got) == expected(rows)
