@@ -16,8 +16,17 @@ from ledgerloom.llm.common import map_batches
 _PART = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(/?)([a-zA-Z][-\w:]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.DOTALL)
 _NAMES = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
-#: Elements whose content is not text, and those that are void.
-_RAW = {"script", "style", "noscript", "template", "iframe", "svg", "canvas", "object", "math", "head", "textarea", "select"}
+# A title that is not closed ends at the next tag.
+_TITLE_END = re.compile(r"[^<]*(?:</title\s*>)?", re.IGNORECASE)
+#: Elements whose content is no markup up to their end tag, those whose content is not shown, and those that are void.
+_RAW = {"script", "style", "textarea"}
+_HIDDEN = {"noscript", "template", "iframe", "svg", "canvas", "object", "math", "head", "select"}
+#: The hidden ones that are read up to their end tag if none of their kind opens before it, and those that keep an outer p or li open.
+_SKIPPED = {tag: re.compile(rf"<(/?){tag}(?![-\w:])[^<>]*>", re.IGNORECASE) for tag in ("noscript", "iframe")}
+_SCOPE = {"object", "template", "select"}
+#: What a head may hold, and the parts of svg and math that may hold HTML.
+_IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
+_HTML_IN = {"foreignobject", "desc", "annotation-xml", "mi", "mo", "mn", "ms", "mtext"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Elements that end a block.
 _BLOCK = {
@@ -59,8 +68,11 @@ def _side(tag: str, attributes: str) -> tuple[bool, bool]:
 def blocks(html: str) -> list[Block]:
     """The text blocks of a page in order, with the words in links and what they lie in.
 
-    Tags that are not closed end with the element around them. A header inside an
-    article's own element is part of it; other headers, menus and the like are not.
+    Tags that are not closed end with the element around them, those of hidden
+    elements too; only script, style and textarea reach to the end of the page. A
+    head ends at the first tag or text that cannot stand in it, svg and math also
+    with '/>' or before a block of HTML. A header inside an article's own element is
+    part of it; other headers, menus and the like are not.
     """
     out: list[Block] = []
     parts: list[str] = []
@@ -68,6 +80,8 @@ def blocks(html: str) -> list[Block]:
     # (tag, inside a part around the article, inside the main part, a link)
     stack: list[tuple[str, bool, bool, bool]] = []
     heading = False
+    # Where the outermost hidden element lies in the stack, if one is open.
+    hidden: int | None = None
 
     def end() -> None:
         nonlocal link_words
@@ -78,11 +92,30 @@ def blocks(html: str) -> list[Block]:
             out.append(Block(text, len(text.split()), link_words, side, main, heading))
         link_words = 0
 
+    def implied(tag: str) -> int | None:
+        ends = _IMPLIED.get(tag)
+        for i in range(len(stack) - 1, -1, -1) if ends else ():
+            if stack[i][0] in ends:
+                return i
+            if stack[i][0] in ("ul", "ol", "dl", "table", "div", "article", "section", "body"):
+                return None
+        return None
+
+    def leave(depth: int) -> None:
+        nonlocal hidden
+        del stack[depth:]
+        if hidden is not None and depth <= hidden:
+            hidden = None
+
     at = 0
     while match := _PART.match(html, at):
         at = match.end()
         closing, tag, attributes, text = match.groups()
         if text is not None:
+            if hidden is not None and stack[-1][0] == "head" and hidden == len(stack) - 1 and text.strip():
+                leave(hidden)
+            if hidden is not None:
+                continue
             text = entities.unescape(text)
             parts.append(text)
             if stack and stack[-1][3]:
@@ -93,18 +126,57 @@ def blocks(html: str) -> list[Block]:
         tag = tag.lower()
         if closing:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if tag in _BLOCK:
+            if tag in _BLOCK and (hidden is None or (depth is not None and depth < hidden)):
                 end()
                 heading = False
             if depth is not None:
-                del stack[depth:]
+                leave(depth)
             continue
+        if hidden is not None:
+            outer = stack[hidden][0]
+            if outer == "head":
+                if tag == "body" or (hidden == len(stack) - 1 and tag not in _IN_HEAD):
+                    leave(hidden)
+            elif outer in ("svg", "math"):
+                if attributes.endswith("/"):
+                    continue
+                if tag in _BLOCK and not any(x[0] in _HTML_IN for x in stack[hidden + 1:]):
+                    leave(hidden)
         if tag in _RAW:
             stop = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(html, at)
-            if tag in _BLOCK or tag == "head":
-                end()
             at = stop.end() if stop else len(html)
-            parts.append(" ")
+            if hidden is None:
+                parts.append(" ")
+            continue
+        if tag == "title" and hidden is not None and stack[hidden][0] == "head":
+            stop = _TITLE_END.match(html, at)
+            at = stop.end()
+            continue
+        if tag in _HIDDEN:
+            if tag == "head":
+                end()
+            if hidden is None:
+                parts.append(" ")
+            if tag in ("svg", "math") and attributes.endswith("/"):
+                continue
+            stop = _SKIPPED[tag].search(html, at) if tag in _SKIPPED else None
+            if stop and stop[1]:
+                at = stop.end()
+                continue
+            if hidden is None:
+                hidden = len(stack)
+            stack.append((tag, *(stack[-1][1:] if stack else (False, False, False))))
+            continue
+        if hidden is not None and tag not in _VOID:
+            i = implied(tag)
+            if i is not None and (i > hidden or stack[hidden][0] not in _SCOPE):
+                if i < hidden:
+                    end()
+                leave(i)
+            if hidden is not None:
+                stack.append((tag, *stack[-1][1:]))
+                continue
+        if hidden is not None:
             continue
         if tag == "br":
             parts.append(" ")
@@ -115,12 +187,8 @@ def blocks(html: str) -> list[Block]:
             continue
         if tag in _BLOCK:
             end()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in _IMPLIED.get(tag, ()):
-                    del stack[i:]
-                    break
-                if stack[i][0] in ("ul", "ol", "dl", "table", "div", "article", "section", "body"):
-                    break
+            if (i := implied(tag)) is not None:
+                leave(i)
             heading = tag[0] == "h" and tag[1:].isdigit()
         side, main = _side(tag, attributes)
         over = stack[-1] if stack else ("", False, False, False)

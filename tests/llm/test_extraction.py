@@ -37,3 +37,27 @@ def test_odd_pages(spark, tree):
     assert texts.count(("4", LONG)) == 2 and ("None", LONG) in texts and ("1", "") in texts and ("6", LONG) in texts
     assert all(r.n_chars == len(r.text) for r in got)
     assert extraction.extract(pages.limit(0), tree).count() == 0
+
+
+@pytest.mark.parametrize("page", [
+    "<html><head><title>x</title><meta charset=utf-8><body><article>{}</article></body></html>",
+    "<html><head><title>x</title><noscript><div>no</div></noscript><article>{}</article>",
+    "<html><head><title>x<body><article>{}</article>",
+    "<head><script>var a;</script>{}",
+    "<body><svg viewBox='0 0 1 1'/><article>{}</article>",
+    "<body><math/><article>{}</article><math></math>",
+    "<body><div><svg><path d=1><circle/></div><article>{}</article><svg><text>no</text></svg>",
+    "<body><svg><path d=1><article>{}</article>",
+    *(f"<body><div><{tag}><b>no</b></div><article>{{}}</article>" for tag in ("select", "object", "canvas", "iframe", "noscript", "template", "svg", "math")),
+    *(f"<body><div><{tag}><b>no</b></div><article>{{}}</article><{tag}>no</{tag}>" for tag in ("select", "object", "canvas", "iframe", "noscript", "template")),
+    "<body><ul><li><canvas><li>{}</ul>",
+    "<body><p><object><p>no</p><object>no</object>no</object>{}</p>",
+    "<body><select><option>no<option>no</select><p>{}",
+])
+def test_hidden_elements_take_no_text_with_them(page):
+    assert [b.text for b in extraction.blocks(page.format(LONG))] == [LONG]
+
+
+@pytest.mark.parametrize("tag", ["script", "style", "textarea"])
+def test_raw_text_without_an_end_reaches_to_the_end(tag):
+    assert [b.text for b in extraction.blocks(f"<p>{LONG}<{tag}>a<p>b</p>")] == [LONG]
