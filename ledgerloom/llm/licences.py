@@ -51,6 +51,31 @@ def document_counts(docs: DataFrame, text_col: str, vocabulary: list[str]) -> tu
     return counts.pop("", 0), counts
 
 
+def _windows(lines: Column, at: Column, longest: int) -> Column:
+    """The windows of two and more lines that hold the line ``at``: no line of them is
+    blank, and without their last line they have fewer than ``longest`` words."""
+
+    def fits(start: Column, end: Column) -> Column:
+        """Whether the lines from ``start`` until before ``end`` are not blank and have too few words."""
+        n = F.aggregate(F.slice(lines, start + 1, end - start), F.lit(0), lambda s, u: F.when(F.size(u["words"]) > 0, s + F.size(u["words"])).otherwise(longest))
+        return n < longest
+
+    first, last = F.greatest(at - longest + 1, F.lit(0)), F.size(lines) - 1
+    starts = F.filter(F.sequence(first, at), lambda i: fits(i, at))
+
+    def from_start(i: Column) -> Column:
+        ends = F.filter(
+            F.sequence(at, F.least(at + longest, last)),
+            lambda e: (e > i) & (F.size(F.element_at(lines, e + 1)["words"]) > 0) & fits(i, e),
+        )
+        return F.transform(ends, lambda e: F.struct(
+            (e - i + 1).alias("size"), i.alias("line"),
+            F.array_distinct(F.flatten(F.transform(F.slice(lines, i + 1, e - i + 1), lambda u: u["words"]))).alias("words"),
+        ))
+
+    return F.flatten(F.transform(starts, from_start))
+
+
 def strong_words(vector: dict[str, float], least: float) -> set[str]:
     """The words without which no text reaches the cosine ``least`` to a template of unit length.
 
@@ -73,10 +98,12 @@ def notices(
 ) -> DataFrame:
     """doc_id, path, and code, score and line of the best notice of each row (NULL if none reaches ``least``).
 
-    Every line of a text, and the whole text of a file named like a licence, is
-    compared with each template. A word weighs ln((1 + rows) / (1 + rows with it)) + 1
-    once per line; words of no template weigh as if no row had them. Ties go to the
-    first line, then the smallest code. Texts without a word that some template
+    Every line of a text, every window of adjacent lines that are not blank, and the
+    whole text of a file named like a licence, is compared with each template. A
+    window takes lines until it has as many words as the longest template, so a
+    notice wrapped over lines is seen whole. Its words are those of all its lines. A word weighs ln((1 + rows) / (1 + rows with it)) + 1
+    once per line or window; words of no template weigh as if no row had them. Ties go
+    to the fewest lines, the first line, then the smallest code. Texts without a word that some template
     needs to reach ``least`` are left unsplit; that loses nothing.
     """
     sets = [(code, _words(text)) for code, text in templates]
@@ -104,15 +131,22 @@ def notices(
         norm = F.sqrt(F.aggregate(unit_["words"], F.lit(0.0), lambda s, w: s + weigh(w) * weigh(w)))
         return F.transform(table, lambda t: F.struct(
             (-F.round(F.aggregate(unit_["words"], F.lit(0.0), lambda s, w: s + weigh(w) * F.coalesce(t["v"][w], F.lit(0.0))) / norm, 9)).alias("minus"),
-            unit_["line"].alias("line"), t["code"].alias("code"),
+            unit_["size"].alias("size"), unit_["line"].alias("line"), t["code"].alias("code"),
         ))
 
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct(i.alias("line"), _distinct_words(line).alias("words")))
+    lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct(F.lit(1).alias("size"), i.alias("line"), _distinct_words(line).alias("words")))
+    longest = max((sum(map(bool, re.split(_NOT_WORD, t.lower()))) for _, t in templates), default=0)
     named = F.element_at(F.split(F.col("path"), "/"), -1).rlike(LICENCE_FILE)
-    whole = F.array(F.struct(F.lit(0).alias("line"), _distinct_words(text).alias("words")))
-    units = F.when(named, F.concat(lines, whole)).otherwise(lines)
-    likely = F.filter(units, lambda u: F.arrays_overlap(u["words"], needed))
+    whole = F.array(F.struct(F.lit(1).alias("size"), F.lit(0).alias("line"), _distinct_words(text).alias("words")))
+
+    def with_windows(all_: Column) -> Column:
+        strong_lines = F.filter(all_, lambda u: F.arrays_overlap(u["words"], needed))
+        return F.concat(strong_lines, F.flatten(F.transform(strong_lines, lambda u: _windows(all_, u["line"], longest))))
+
+    # An array of one binds the lines, so that they are split once.
+    units = F.flatten(F.transform(F.array(lines), with_windows))
+    likely = F.when(named, F.concat(units, F.filter(whole, lambda u: F.arrays_overlap(u["words"], needed)))).otherwise(units)
     best = F.array_min(F.flatten(F.transform(likely, compare)))
     base = docs.select(
         F.col(id_col).alias("doc_id"),

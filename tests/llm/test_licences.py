@@ -89,3 +89,18 @@ def test_strong_words_lose_nothing():
     vector = {"a": 0.1, "b": 0.2, "c": 0.5, "d": math.sqrt(1 - 0.3)}
     assert licences.strong_words(vector, 0.6) == {"d"}
     assert licences.strong_words(vector, 0.5) == {"c", "d"}
+
+
+@pytest.mark.parametrize("width", [1, 4, 7])
+@pytest.mark.parametrize("mark", ["", "# "])
+def test_wrapped_headers(spark, prose, width, mark):
+    plain = " ".join(prose(40, 1))
+    rows = [(0, plain)]
+    for k, (_, text) in enumerate(licences.TEMPLATES, 1):
+        parts = text.split()
+        header = [" ".join(parts[i:i + width]) for i in range(0, len(parts), width)]
+        rows.append((k, "\n".join([plain, mark, *(mark + line for line in header), mark, plain])))
+    files = spark.createDataFrame([(*r, "s/x.py") for r in rows], "doc_id long, text string, path string")
+    got = {r.doc_id: (r.code, r.score, r.line) for r in licences.notices(files).collect()}
+    assert got[0] == (None, None, None)
+    assert [got[k] for k in range(1, len(rows))] == [(code, pytest.approx(1, abs=1e-6), 2) for code, _ in licences.TEMPLATES]
