@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import common, extraction, licences, mixing, neardup, packing, quality, sharding, tokens, toxicity, vectors
+from ledgerloom.llm import common, extraction, licences, mixing, neardup, packing, quality, search, sharding, tokens, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -183,3 +183,37 @@ SELECT doc_id, path, coalesce(code, licence) AS licence, score, CAST(line AS INT
        CASE WHEN code IS NULL THEN ancestor END AS inherited_from
 FROM own LEFT JOIN nearest USING (directory)
 """
+
+
+@_query
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL["op13_search"] = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS terms FROM documents WHERE text IS NOT NULL
+), sized AS (
+  SELECT rid, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM docs WHERE len(terms) > 0
+), stats AS (
+  SELECT CAST(count(*) AS BIGINT) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM sized
+), postings AS (
+  SELECT rid, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT rid, doc_id, n, unnest(terms) AS term FROM sized) GROUP BY ALL
+), asked AS (
+  SELECT item, item_id, term, CAST(count(*) AS BIGINT) AS times
+  FROM (SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark WHERE text IS NOT NULL)
+  GROUP BY ALL
+), weighed AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * all_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM postings, stats WHERE term IN (SELECT term FROM asked) GROUP BY term, all_docs
+), scored AS (
+  SELECT item, item_id, rid, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * all_docs) // all_terms))))) AS BIGINT) AS score
+  FROM postings JOIN asked USING (term) JOIN weighed USING (term), stats GROUP BY item, item_id, rid, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
