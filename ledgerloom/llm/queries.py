@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import common, extraction, licences, mixing, neardup, packing, quality, search, sharding, tokens, toxicity, vectors
+from ledgerloom.llm import common, extraction, licences, mixing, neardup, negatives, packing, quality, search, sharding, tokens, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -217,3 +217,32 @@ WITH docs AS (
 SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
 FROM scored WHERE score > 0 QUALIFY rank <= 10
 """
+
+
+@_query
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), anchors=F.col("vec_id") % 50 == 0, relabel=label)
+
+
+SQL["op11_negatives"] = """
+WITH rows_ AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.rid, a.vec_id AS anchor_id, b.rid AS other, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows_ a JOIN rows_ b ON a.rid <> b.rid AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT rid, anchor_id, other_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY rid ORDER BY score DESC, other_id, other) AS slot
+  FROM scored WHERE same QUALIFY slot <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.rid, slot ORDER BY score DESC, other_id, other) AS INTEGER) AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON p.rid = s.rid AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
