@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import common, extraction, licences, mixing, neardup, negatives, packing, quality, search, sharding, tokens, toxicity, vectors
+from ledgerloom.llm import common, extraction, licences, mixing, neardup, negatives, packing, personal, quality, search, sharding, tokens, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -185,6 +185,11 @@ FROM own LEFT JOIN nearest USING (directory)
 """
 
 
+@_query
+def op12_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_data(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
