@@ -91,7 +91,7 @@ def test_learned_contexts_find_unseen_identifiers(make_docs, rows):
         assert set(parts) <= set(more) and len(more) == len(parts) + r.n_found
         assert [r[f"n_{k}"] for k in KINDS] == [sum(x.startswith(k) for x in parts) for k in KINDS]
         assert more == sorted(more, key=lambda x: (KINDS.index(x.split(":")[0]), int(x.split(":")[1])))
-        for x in set(more) - set(parts):
+        for x in [x for x in more if x not in parts]:
             kind, a, b = x.split(":")
             found.setdefault(r.doc_id, []).append((kind, text[r.doc_id][int(a):int(b)]))
     assert found == {
