@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,7 +21,7 @@ from ledgerloom.plans import ar_mart as ar
 from ledgerloom.plans import client_keys as clients
 from ledgerloom.plans import revenue_mart as revenue
 from ledgerloom.plans.revenue_classify import revenue_classify
-from ledgerloom.sources import sinks, tables, testdata
+from ledgerloom.sources import by_document, sinks, tables, testdata
 from ledgerloom.sources.tables import DocumentTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -266,6 +267,16 @@ def job_default_row_number(t):
     return revenue.job_defaults(t, "first")
 
 
+@_query
+def job_default_reduced(t):
+    return revenue.job_defaults(t, "ignore", reduced=True)
+
+
+@_query
+def revenue_mart_reduced(t):
+    return _cents(revenue.revenue_mart(t, reduce_history=True))
+
+
 def _revenue_b(t: DocumentTables) -> DataFrame:
     return revenue.revenue_mart(
         t, dedup_ar_lines=True, drop_cdc_deletes=False, default_nulls="first"
@@ -350,6 +361,37 @@ def full_row_duplicates(t):
     return aggregates.duplicate_report(_cents(keys.ar_keys(t)))
 
 
+# tables stored by document --------------------------------------------------------
+
+def _by_document(t: DocumentTables, build: Callable[[DocumentTables], DataFrame]) -> DataFrame:
+    """``build`` on lines and headers that were stored by document; its rows are checkpointed and the tables removed."""
+    spark = t.docline.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    paths = {name: sinks.scratch_path(spark, name) for name in ("docline", "dochead")}
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(sinks.scratch_path(spark, "rows"))
+    try:
+        for name, path in paths.items():
+            by_document.store_by_document(getattr(t, name), path, buckets)
+        by_document.require_alike(spark, *paths.values())
+        opened = {name: by_document.open_by_document(spark, path) for name, path in paths.items()}
+        others = {name: partial(getattr, t, name) for name in schemas.ALL if name not in paths}
+        return build(DocumentTables(**opened, **others)).checkpoint()
+    finally:
+        for path in paths.values():
+            by_document.forget(spark, path)
+
+
+@_query
+def ar_mart_by_document(t):
+    return _by_document(t, lambda stored: _cents(ar.ar_mart(stored)))
+
+
+@_query
+def revenue_mart_by_document(t):
+    return _by_document(t, lambda stored: _cents(revenue.revenue_mart(stored)))
+
+
 # sources and sinks --------------------------------------------------------------
 
 @_query

@@ -8,7 +8,7 @@ from ledgerloom.config import CDC_DELETE, ReceivablesConfig
 from ledgerloom.functions import invoice
 from ledgerloom.functions.columns import none_contained, summed_amount
 from ledgerloom.operators.aggregates import filtered_max, sum_max
-from ledgerloom.operators.keys import KEY, RAW_KEY, document_join, with_document_key
+from ledgerloom.operators.keys import KEY, company_of, document_columns, document_join, with_document_key
 from ledgerloom.operators.lookups import lookup_join
 from ledgerloom.sources.tables import DocumentTables
 
@@ -27,7 +27,7 @@ def receivable_totals(docline: DataFrame, cfg: ReceivablesConfig = ReceivablesCo
     lines = docline.filter(F.col("el2").startswith(cfg.account_prefix))
     return sum_max(
         lines,
-        [*RAW_KEY, "statpay"],
+        [*document_columns(docline), "statpay"],
         {
             "valuedoc": summed_amount("valuedoc", "valuedoc_dp", "zero", exact),
             "valuehome": summed_amount("valuehome", "valuehome_dp", "zero", exact),
@@ -39,7 +39,7 @@ def receivable_totals(docline: DataFrame, cfg: ReceivablesConfig = ReceivablesCo
 def job_attributes(docline: DataFrame, cfg: ReceivablesConfig = ReceivablesConfig()) -> DataFrame:
     """Largest non-empty job element of the other lines, per document."""
     other = ~F.col("el2").startswith(cfg.account_prefix) & (F.col("el4") != "")
-    return filtered_max(docline, other, list(RAW_KEY), "el4")
+    return filtered_max(docline, other, document_columns(docline), "el4")
 
 
 def document_heads(
@@ -71,9 +71,10 @@ def documents(
 
     Both line aggregates shrink the line table before it meets the headers, and
     all three frames are joined on the same key columns.  Each is aggregated on the
-    stored key parts before it is joined on the trimmed ones: two exchanges each.
+    stored key parts before it is joined on the trimmed ones: two exchanges each, or
+    none where the tables are stored by document.
     """
-    in_scope = tables.docline.filter(F.trim("cmpcode").isin(*cfg.companies))
+    in_scope = tables.docline.filter(company_of(tables.docline).isin(*cfg.companies))
     unpaid = in_scope.filter(F.col("statpay") != cfg.paid_status)
     totals = with_document_key(receivable_totals(unpaid, cfg)).select(
         *KEY, F.col("cmpcode").alias("line_company"), "statpay", "valuedoc", "valuehome",

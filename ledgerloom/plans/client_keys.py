@@ -10,6 +10,8 @@ from ledgerloom.sources.tables import DocumentTables
 
 PARENT = "client_ultimate_parent_id"
 NAME = "global_ultimate_business_name"
+#: Stand-in keys of clients without a code.
+STAND_INS = 10_000
 
 
 def client_key(site: Column, code: Column) -> Column:
@@ -22,17 +24,19 @@ def parent_counts(tables: DocumentTables) -> DataFrame:
     Codes are counted per client and site first; the joined rows themselves are
     never built.  The site keeps the counts apart from the join key, so that the
     join has an exchange on both sides and Spark can divide a hot client.  Clients
-    without a code join nothing and bypass it.
+    without a code join nothing: they get a stand-in key, made from their content, that no
+    code can be and that deals them over all tasks.
     """
-    counts = tables.client_xref.groupBy(F.col("m_code").alias("xref_code"), "site_id").agg(
+    counts = tables.client_xref.filter("m_code is not null").groupBy(F.col("m_code").alias("code"), "site_id").agg(
         F.count("c_code").alias("codes")
-    ).drop("site_id")
-    coded = tables.client_master.filter("m_code is not null")
-    joined = coded.join(counts, F.col("m_code") == F.col("xref_code"), "left").select(PARENT, NAME, "codes")
-    others = tables.client_master.filter("m_code is null").select(
-        PARENT, NAME, F.lit(None).cast("long").alias("codes")
     )
-    return joined.unionByName(others).groupBy(
+    counts = counts.select(F.concat(F.lit("="), "code").alias("xref_code"), "codes")
+    alone = F.concat(F.lit("-"), F.pmod(F.xxhash64(PARENT, NAME), F.lit(STAND_INS)).cast("string"))
+    own = F.coalesce(F.concat(F.lit("="), "m_code"), alone)
+    joined = tables.client_master.select(PARENT, NAME, own.alias("own_code")).join(
+        counts, F.col("own_code") == F.col("xref_code"), "left"
+    )
+    return joined.groupBy(
         F.col(PARENT).alias("parent_id"), F.col(NAME).alias("parent_name")
     ).agg(F.coalesce(F.sum("codes"), F.lit(0).cast("long")).alias("parent_row_count"))
 

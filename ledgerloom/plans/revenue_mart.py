@@ -9,16 +9,18 @@ the sums are multiplied instead.
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.config import CDC_DELETE, RevenueConfig
 from ledgerloom.functions import invoice
 from ledgerloom.functions.columns import summed_amount
 from ledgerloom.operators.aggregates import earliest_value, with_copies
-from ledgerloom.operators.keys import KEY, RAW_KEY, document_join, with_document_key
-from ledgerloom.operators.lookups import SPREAD, is_small, lookup_join
+from ledgerloom.operators.keys import KEY, RAW_KEY, document_columns, document_join, with_document_key
+from ledgerloom.operators.lookups import SPREAD, is_small, lookup_join, planned_bytes
+from ledgerloom.operators.reduction import likely_in
 from ledgerloom.sources.tables import DocumentTables
 
 ACCOUNT_LEVEL = 2
@@ -51,7 +53,7 @@ def customer_lines(
     lines = tables.docline.filter(account.startswith(cfg.customer_prefix) | extra).filter(
         F.col("statpay") != cfg.paid_status
     )
-    grouped = with_document_key(with_copies(lines, [*RAW_KEY, "el3"], "line_copies"))
+    grouped = with_document_key(with_copies(lines, [*document_columns(lines), "el3"], "line_copies"))
     once = F.lit(1).cast("long")
     customer = F.col("el3").alias("customer_el3")
     if dedup and not drop_cdc_deletes and not check_heads:
@@ -73,8 +75,8 @@ def customer_lines(
     )
 
 
-def revenue_lines(docline: DataFrame, cfg: RevenueConfig = RevenueConfig()) -> DataFrame:
-    """Lines on revenue accounts; all conditions are on the line, so they reach the scan."""
+def is_revenue(cfg: RevenueConfig = RevenueConfig()) -> Column:
+    """Whether a line is on a revenue account; all conditions are on the line."""
     company, account = F.col("cmpcode"), F.col("el2")
     on_account = (
         account.startswith(cfg.account_prefix)
@@ -86,7 +88,12 @@ def revenue_lines(docline: DataFrame, cfg: RevenueConfig = RevenueConfig()) -> D
         cfg.foreign_job_prefix
     )
     excluded = F.col("doccode").isin(*cfg.excluded_codes)
-    return docline.filter(on_account & ~recharge & ~foreign_job & ~excluded)
+    return on_account & ~recharge & ~foreign_job & ~excluded
+
+
+def revenue_lines(docline: DataFrame, cfg: RevenueConfig = RevenueConfig()) -> DataFrame:
+    """Lines on revenue accounts; the conditions reach the scan."""
+    return docline.filter(is_revenue(cfg))
 
 
 def head_rows(dochead: DataFrame) -> DataFrame:
@@ -122,18 +129,31 @@ def revenue_groups(tables: DocumentTables, cfg: RevenueConfig = RevenueConfig())
     return base.groupBy(*LINE_KEYS).agg(*amounts)
 
 
-def job_defaults(tables: DocumentTables, nulls: str = "ignore") -> DataFrame:
+def job_defaults(
+    tables: DocumentTables,
+    nulls: str = "ignore",
+    needed: Column | None = None,
+    reduced: bool | None = None,
+) -> DataFrame:
     """Job element of the earliest document per company.
 
     Lines and headers are both brought to one row per document first; the
     earliest job of a document is its smallest on the earliest header day.
+
+    ``reduced`` first finds for each company a day by which its default must have
+    come up (``_last_possible_day``) and shuffles only documents up to that day
+    (``_early``); by default where the lines are larger than ``REDUCE_FROM``, as it costs
+    another pass over lines and headers.  ``needed`` is a condition on lines: companies
+    without such a line may then be left out.
     """
-    jobs = (
-        tables.docline.filter(F.col("el4") != "")
-        .groupBy(*RAW_KEY)
-        .agg(F.min("el4").alias("el4"))
-    )
-    days = with_document_key(tables.dochead).groupBy(*KEY).agg(
+    lines, heads = tables.docline.filter(F.col("el4") != ""), with_document_key(tables.dochead)
+    if reduced is None:
+        size = planned_bytes(tables.docline)
+        reduced = size is not None and size > REDUCE_FROM
+    if reduced:
+        lines, heads = _early(tables, lines, heads, nulls, F.lit(True) if needed is None else needed)
+    jobs = lines.groupBy(*document_columns(lines)).agg(F.min("el4").alias("el4"))
+    days = heads.groupBy(*KEY).agg(
         F.min("docdate").alias("docdate"),
         F.count(F.when(F.col("docdate").isNull(), 1)).alias("undated"),
     )
@@ -147,6 +167,61 @@ def job_defaults(tables: DocumentTables, nulls: str = "ignore") -> DataFrame:
     return earliest_value(dated, ["cmpcode"], "docdate", "el4", "default_el4", nulls)
 
 
+#: Lines of so many bytes, by Spark's estimate, are worth another pass.
+REDUCE_FROM = 1024**3
+#: Documents looked up for each company, and days kept for all companies together.
+LOOKED_UP, DAYS = 32, 4096
+NEVER = date(9999, 12, 31)
+
+
+def _day_slot(company: Column) -> Column:
+    return F.pmod(F.xxhash64(company), F.lit(DAYS))
+
+
+def _last_possible_day(
+    tables: DocumentTables, heads: DataFrame, needed: Column
+) -> DataFrame:
+    """(slot, last_day): the default of a company in a slot comes up by that day.
+
+    One document with a job out of every slice of a company's numbers, the smallest of
+    each, is looked up; the default cannot come after the earliest day of
+    these.  Companies without a dated one have no such day.  A slot holds the
+    companies that share a hash, so the table has at most ``DAYS`` rows whatever the
+    number of companies, and a last day that is too late only leaves more rows.
+    """
+    has_job = F.col("el4") != ""
+    wanted = F.coalesce(needed, F.lit(False))
+    picked = (
+        with_document_key(tables.docline.filter(has_job | wanted))
+        .groupBy("cmpcode", F.pmod(F.xxhash64("docnum"), F.lit(LOOKED_UP)).alias("slice"))
+        .agg(F.min(F.when(has_job, F.struct(*KEY))).alias("document"), F.max(wanted).alias("needed"))
+    )
+    named = picked.select("cmpcode", "needed", "document.*")
+    found = likely_in(heads.filter("docdate is not null").select(*KEY, "docdate"), named.filter("key_number is not null"), list(KEY))
+    days = document_join(named, found, "left").groupBy("cmpcode").agg(
+        F.max("needed").alias("needed"), F.min("docdate").alias("docdate")
+    )
+    slot = _day_slot(F.trim("cmpcode")).alias("day_slot")
+    return days.filter("needed").groupBy(slot).agg(F.max(F.coalesce("docdate", F.lit(NEVER))).alias("last_day"))
+
+
+def _early(
+    tables: DocumentTables, lines: DataFrame, heads: DataFrame, nulls: str, needed: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Lines and headers of the documents that can give a default."""
+    bounds = F.broadcast(_last_possible_day(tables, heads, needed))
+    by_day = F.col("docdate") <= F.col("last_day")
+    undated = F.col("docdate").isNull() & (F.lit(nulls == "first") | (F.col("last_day") == F.lit(NEVER)))
+    early = (
+        heads.select(*KEY, "docdate")
+        .join(bounds, _day_slot(F.col("key_company")) == F.col("day_slot"))
+        .filter(by_day | undated)
+        .select(*KEY, "docdate")
+    )
+    keyed = with_document_key(lines.select(*RAW_KEY, "el4"))
+    return likely_in(keyed, early.select(*KEY).distinct(), list(KEY)).select(*RAW_KEY, "el4"), early
+
+
 def _customers(el3_element: DataFrame) -> DataFrame:
     level = el3_element.filter(F.col("el3_elmlevel") == CUSTOMER_LEVEL)
     return with_copies(level, ["el3_cmpcode", "el3_code", "el3_name"], "el3_copies")
@@ -182,13 +257,16 @@ def revenue_mart(
     drop_cdc_deletes: bool = True,
     default_nulls: str = "ignore",
     unique_lookups: bool = False,
+    reduce_history: bool | None = None,
 ) -> DataFrame:
     """The mart in either published form.
 
     Defaults: customer lines count as often as they occur, deleted headers give
     no customer, undated documents give no default job.  The other form is
     ``dedup_ar_lines=True, drop_cdc_deletes=False, default_nulls="first"``.
+    ``reduce_history`` is ``reduced`` of ``job_defaults``.
     """
+    blank_job = F.coalesce(F.col("el4") == "", F.lit(True))
     # A revenue group comes from a dated header of the same document already.
     customers = lookup_join(
         customer_lines(tables, cfg, dedup_ar_lines, drop_cdc_deletes, check_heads=False),
@@ -210,7 +288,7 @@ def revenue_mart(
     )
     complete = lookup_join(
         with_account,
-        _companies(tables, job_defaults(tables, default_nulls)),
+        _companies(tables, job_defaults(tables, default_nulls, is_revenue(cfg) & blank_job, reduce_history)),
         {"cmpcode": "code"},
         how="inner",
         spread=SPREAD,

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom import schemas
+from ledgerloom.operators.keys import KEY
+from ledgerloom.sources.by_document import open_by_document
 
 
 class SchemaMismatch(ValueError):
@@ -15,7 +17,7 @@ class SchemaMismatch(ValueError):
 
 
 def conform(df: DataFrame, schema: StructType, name: str = "table") -> DataFrame:
-    """Keep the declared columns, in order, with their declared types.
+    """Keep the declared columns, in order, with their declared types, and a stored document key.
 
     Column pruning reaches the scan.  A time part of ``docdate`` is cut here,
     once, so that later comparisons are between days.
@@ -30,6 +32,8 @@ def conform(df: DataFrame, schema: StructType, name: str = "table") -> DataFrame
         if stored[field.name] != field.dataType:
             column = column.cast(field.dataType).alias(field.name)
         columns.append(column)
+    if {"cmpcode", *KEY} <= {*df.columns}:
+        columns += KEY
     return df.select(*columns)
 
 
@@ -115,12 +119,14 @@ class DocumentTables:
         """Tables stored under ``paths``, each a path or (path, format).
 
         A path that ends in ``.csv`` is read as CSV; a folder of CSV files is
-        given as ``(path, "csv")``.
+        given as ``(path, "csv")``, a table stored by document as ``(path, "by_document")``.
         """
 
         def source(name: str, path: str, kind: str) -> Callable[[], DataFrame]:
             if kind == "csv" or path.endswith(".csv"):
                 return lambda: read_csv(spark, path, schemas.ALL[name])
+            if kind == "by_document":
+                return lambda: open_by_document(spark, path)
             return lambda: read_table(spark, path, fmt=kind)
 
         given = {name: (path, fmt) if isinstance(path, str) else path for name, path in paths.items()}

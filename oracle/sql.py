@@ -515,6 +515,10 @@ SELECT cmpcode, doccode, docnum, el2, el3, el4, ref2 FROM docline WHERE {_REVENU
     "job_default_row_number": (("job_defaults_first",), "SELECT * FROM job_defaults_first"),
     "revenue_mart_a": (("revenue_a",), "SELECT * FROM revenue_a"),
     "revenue_mart_b": (("revenue_b",), "SELECT * FROM revenue_b"),
+    "job_default_reduced": (("job_defaults",), "SELECT * FROM job_defaults"),
+    "revenue_mart_reduced": (("revenue_a",), "SELECT * FROM revenue_a"),
+    "ar_mart_by_document": (("ar_mart",), "SELECT * FROM ar_mart"),
+    "revenue_mart_by_document": (("revenue_a",), "SELECT * FROM revenue_a"),
     "revenue_classify": (("revenue_flags", "map_entity", "category"), """
 SELECT r.* EXCLUDE (Pass_Through_Flag, Site_GL_CODE),
   CASE WHEN valuedoc IS NULL THEN '$nu' ELSE printf('$%,.2f', valuedoc) END AS valuedoc_formatted,

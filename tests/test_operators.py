@@ -9,8 +9,10 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import aggregates, lookups
+from ledgerloom.operators import either_key
 from ledgerloom.operators.either_key import either_key_left_join
 from ledgerloom.operators.keys import document_join, with_document_key
+from ledgerloom.operators.reduction import likely_in
 from ledgerloom.plans import ar_corrections as corrections
 
 KEYS = st.sampled_from(["a", "b", "c", None])
@@ -51,6 +53,33 @@ def test_either_key_cases(spark):
     ])
 
 
+def test_either_key_copies(spark, monkeypatch):
+    """Equal rows on both sides, matched, missed, and missed by one key only."""
+    monkeypatch.setattr(either_key, "COPIES", 3)
+    a = spark.createDataFrame(
+        [(1, "a", "z")] * 7 + [(2, "y", "z")] * 8 + [(3, None, None)] * 4 + [(4, "y", None)] * 6 + [(5, "y", "y")] * 3
+        + [(6, "z", "b")] * 2, "id int, k1 string, k2 string",
+    )
+    b = spark.createDataFrame([("a", "v")] * 5 + [("b", None)] + [(None, "n")] * 2, "rk string, value string")
+    plain = a.join(b, (a.k1 == b.rk) | (a.k2 == b.rk), "left")
+    got = either_key_left_join(a, b, "k1", "k2", "rk")
+    assert got.columns == plain.columns
+    assert multiset(got) == multiset(plain) and sum(multiset(got).values()) == 35 + 8 + 4 + 6 + 3 + 2
+
+
+@pytest.mark.parametrize("words", [1, 4, 1 << 12])
+def test_likely_in_keeps_every_match(spark, words):
+    big = spark.range(4000).selectExpr("string(id) AS k", "id % 7 AS n", "id")
+    small = spark.createDataFrame([(str(3 * i), 3 * i % 7) for i in range(30)] + [(None, 1)], "k string, n long")
+    kept = likely_in(big, small, ["k", "n"], words)
+    assert kept.columns == big.columns
+    wanted = multiset(big.join(small, ["k", "n"], "left_semi").select(*big.columns))
+    assert sum(wanted.values()) == 30 and not wanted - multiset(kept)
+    if words > 1000:
+        assert kept.count() < 40
+    assert likely_in(big, small.limit(0), ["k", "n"], words).count() == 0
+
+
 def test_corrections_by_stem_is_or_join(spark):
     mart = spark.createDataFrame(
         [("c", "d", " 1 "), ("c", "d", None), ("c", "d", "-x"), ("c", None, "d-1"), (None, None, None), ("", None, None)],

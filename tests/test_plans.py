@@ -217,12 +217,58 @@ def test_hot_first_key_of_the_either_key_join_is_split(spark, conf):
     right = spark.range(0, 900, 1, 4).selectExpr("if(id = 0, 'hot', concat('b', id)) AS rk", "id AS v")
     joined = either_key_left_join(left, right, "k1", "k2", "rk")
     plan = final_plan(joined)
-    assert skewed_joins(plan)[0] >= 2  # pairs by the first key, rows without
+    assert skewed_joins(plan) == (1, 1)  # the only join
     assert joined.filter("k1 = 'hot' AND rk = 'hot'").count() == 3000
     want = left.join(right, (F.col("k1") == F.col("rk")) | (F.col("k2") == F.col("rk")), "left")
     assert joined.count() == want.count()
 
 
+def test_either_key_reads_its_inputs_once(spark, stored, conf):
+    conf(NO_BROADCAST)
+    from ledgerloom.plans import ar_corrections
+
+    mart = ar_corrections.with_correction_keys(ar_mart.ar_mart(stored))
+    lookup = ar_corrections.correction_lookup(stored.ref_correction)
+    plan = explain(either_key_left_join(mart, lookup, ar_corrections.SITE_KEY, ar_corrections.INVOICE_KEY, "InterimKey"))
+    assert len(scans(plan, "ref_correction")) == 1
+    assert len(re.findall(r"\(\d+\) Scan parquet", plan)) == len(re.findall(r"\(\d+\) Scan parquet", explain(mart))) + 1
+
+
+def test_job_defaults_shuffle_only_early_documents(spark, make, conf):
+    """Lines and headers are cut down, without an exchange of their own, before they are grouped by document."""
+    conf(NO_BROADCAST)
+    days = 2000
+    heads = spark.range(0, 20 * days, 1, 8).selectExpr(
+        "concat('C', id % 20) AS cmpcode", "'S' AS doccode", "string(id) AS docnum",
+        f"date_add(date'2015-01-01', int(pmod(xxhash64(id), {days}))) AS docdate", "'USD' AS curdoc", "'I' AS cdc_operation_type",
+    )
+    lines = spark.range(0, 20 * days, 1, 8).select(
+        F.expr("concat(if(id % 3 = 0, ' ', ''), 'C', id % 20) AS cmpcode"), F.lit("S").alias("doccode"), F.expr("concat(' ', id) AS docnum"),
+        F.lit(84).alias("statpay"), *[F.lit(200).cast("long").alias(c) for c in ("valuedoc", "valuehome")],
+        *[F.lit(2).alias(c) for c in ("valuedoc_dp", "valuehome_dp")], F.expr("if(id % 20 < 5, '40100', '0211') AS el2"), F.lit("D").alias("el3"),
+        F.expr("if(id % 7 = 0, '', concat('J', id)) AS el4"), *[F.lit("x").alias(c) for c in ("ref1", "ref2", "ref3", "ref4", "ref5")],
+    )
+    t = DocumentTables(docline=lines, dochead=heads)
+
+    def defaults(**options):
+        return {tuple(row) for row in revenue_mart.job_defaults(t, **options).collect()}
+
+    want = defaults(reduced=False)
+    assert len(want) > 20 and defaults(reduced=True) == want
+    assert defaults(reduced=True, nulls="first") == defaults(reduced=False, nulls="first")
+    blank = revenue_mart.is_revenue() & (F.col("el4") == "")
+    some = defaults(reduced=True, needed=blank)
+    assert some <= want and {c for c, _ in some} >= {"C0", " C0"} and len(some) < len(want)
+
+    early_lines, early_heads = revenue_mart._early(t, lines.filter("el4 <> ''"), revenue_mart.with_document_key(heads), "ignore", F.lit(True))
+    assert early_heads.count() < 20 * days / 8 and early_lines.count() < 20 * days / 8
+    # Both keep the 8 partitions of their tables: only bounded tables are exchanged for them.
+    conf({"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "3"})
+    for frame in (early_lines, early_heads):
+        plan = frame.select("*")._jdf.queryExecution().executedPlan()
+        assert plan.outputPartitioning().numPartitions() == 8
+
+
 @pytest.fixture(scope="module")
 def many_customers(spark, make):
     """One document with a third of all lines, each with a customer element of its own."""
@@ -257,6 +303,11 @@ def test_document_of_many_customers_is_split(many_customers, conf, dedup):
     assert [(row.ar_copies, row["count"]) for row in own] == [(1 if dedup else 3, 3000)]
 
 
+def test_clients_are_read_once(stored):
+    plan = explain(client_keys.parent_counts(stored))
+    assert len(scans(plan, "client_master")) == 1 and len(scans(plan, "client_xref")) == 1
+
+
 def test_hot_client_is_split_and_clients_without_code_bypass(spark, conf):
     conf(SKEW)
     master = spark.range(0, 9000, 1, 8).selectExpr(
