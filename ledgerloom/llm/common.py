@@ -34,6 +34,24 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that nothing reads any more."""
+    file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if file.isDefined():
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as set it apart from the columns of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def python_workers(spark: SparkSession) -> None:
     """Lower the rows of an Arrow batch to ``BATCH_ROWS`` unless the session has set a number,
     and let local workers import this package (on a cluster submit it with --py-files).
@@ -82,36 +100,25 @@ def numbered(df: DataFrame, by: list[str], name: str) -> DataFrame:
     for each group and partition, the counts are summed along the partitions, and
     a row's number is that sum plus its place in its own partition.
     """
-    part, place = "__partition", "__place"
+    part, place, n, start, local = fresh(df, "partition", "place", "n", "start", "local")
     rows = stored(df).withColumns({part: F.spark_partition_id(), place: F.monotonically_increasing_id()})
-    groups = [F.col(column) for column in by]
     ahead = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    start = (
+    starts = (
         rows.groupBy(*by, part)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__start", F.coalesce(F.sum("__n").over(ahead), F.lit(0)))
+        .agg(F.count(F.lit(1)).alias(n))
+        .withColumn(start, F.coalesce(F.sum(n).over(ahead), F.lit(0)))
     )
-    inside = Window.partitionBy(*by, part).orderBy(place)
-    local = rows.withColumn("__local", F.row_number().over(inside) - 1)
+    if by:
+        inside = Window.partitionBy(*by, part).orderBy(place)
+        rows = rows.withColumn(local, F.row_number().over(inside) - 1)
+    else:
+        rows = rows.withColumn(local, F.col(place).bitwiseAND(F.lit(_ROW_IN_PARTITION)))
     same = F.col(f"l.{part}") == F.col(f"r.{part}")
     for column in by:
         same &= F.col(f"l.{column}").eqNullSafe(F.col(f"r.{column}"))
-    kept = [F.col(f"l.{column}") for column in df.columns]
-    return local.alias("l").join(start.alias("r"), same).select(
-        *kept, (F.col("r.__start") + F.col("l.__local")).cast("long").alias(name)
-    ) if groups else _numbered_all(rows, df.columns, part, place, name)
-
-
-def _numbered_all(rows: DataFrame, columns: list[str], part: str, place: str, name: str) -> DataFrame:
-    """``numbered`` for a single group, in the order of the partitions."""
-    ahead = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    start = (
-        rows.groupBy(part)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__start", F.coalesce(F.sum("__n").over(ahead), F.lit(0)))
-    )
-    local = F.col(place).bitwiseAND(F.lit(_ROW_IN_PARTITION))
-    return rows.join(start, part).select(*columns, (F.col("__start") + local).cast("long").alias(name))
+    kept = [F.col(f"l.`{column}`") for column in df.columns]
+    number = (F.col(f"r.{start}") + F.col(f"l.{local}")).cast("long").alias(name)
+    return rows.alias("l").join(starts.alias("r"), same).select(*kept, number)
 
 
 def numbered_in_order(df: DataFrame, order: list[Column], name: str) -> DataFrame:

@@ -133,23 +133,23 @@ def near_vectors(
         F.when(fine, F.xxhash64("v")).alias("h1"), F.when(fine, F.xxhash64(F.lit(1), "v")).alias("h2"),
     ))
     usable = rows.filter("fine")
+    # A class is a node of its own, not one of its ids: an id with two vectors is in two classes.
     classes = stored(usable.groupBy("h1", "h2").agg(
-        F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector"),
-    ))
+        F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector"),
+    )).withColumn("node", F.monotonically_increasing_id())
     n = classes.count()
     found = stored(_in_leaves(classes, n, least, p))
     labels = stored(components(found.select(F.col("node").alias("a"), F.col("low").alias("b"))))
     members = stored(classes.select("node", "copies", "vector").join(labels, "node"))
     more = _in_components(members, least, p).groupBy("node").agg(F.sum("links").alias("more"))
-    named = (
-        classes.select("h1", "h2", "node", "copies")
-        .join(more, "node", "left")
-        .join(labels.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left")
-        .select(
-            "h1", "h2",
-            (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).cast("long").alias("n_links"),
-            F.coalesce("component", "node").alias("component_id"),
-        )
+    labelled = classes.select("h1", "h2", "node", "copies", F.col("least").alias("own")).join(
+        labels.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left"
+    )
+    smallest = labelled.groupBy("component").agg(F.min("own").alias("component_id")).filter("component is not null")
+    named = labelled.join(more, "node", "left").join(smallest, "component", "left").select(
+        "h1", "h2",
+        (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).cast("long").alias("n_links"),
+        F.coalesce("component_id", "own").alias("component_id"),
     )
     matched = usable.join(named, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
     alone = rows.filter("not fine").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

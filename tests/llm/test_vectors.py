@@ -39,6 +39,17 @@ def test_like_brute_force(spark, rows, forest):
     assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in got) == expected(rows)
 
 
+def test_two_classes_with_one_smallest_id(spark):
+    rng = np.random.default_rng(12)
+    a, b = rng.standard_normal((2, 32))
+    near = [(1, a), (1, b), (5, a + 0.01), (6, b + 0.01), (7, rng.standard_normal(32))]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in near], "vec_id long, embedding array<double>")
+    got = near_vectors(table).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == [
+        (1, 1, 1, True), (1, 1, 1, True), (5, 1, 1, False), (6, 1, 1, False), (7, 0, 7, True)
+    ]
+
+
 def test_empty(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert near_vectors(table).count() == 0
