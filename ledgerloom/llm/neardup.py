@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerloom.llm.common import bounded, map_batches, python_workers, stored
+from ledgerloom.llm.common import bounded, fresh, map_batches, python_workers, release, stored
 from ledgerloom.llm.components import components
 from ledgerloom.llm.shingles import MinHasher, overlap, set_key, shingle_set
 
@@ -358,8 +358,8 @@ def _beside(
     dealt = stored(pairs.join(fans, "b").select("a", "b", "extra", F.pmod(F.hash("a"), F.col("fans")).alias("fan")))
     wanted = dealt.select(F.col("a").alias("node"), "b", "fan", F.lit(1).alias("turn"), "extra").unionByName(
         dealt.select(F.col("b").alias("node"), "b", "fan", F.lit(0).alias("turn"), F.lit(0).cast("long").alias("extra")).distinct()
-    ).join(classes.select("node", "h1", "h2"), "node")
-    rows = bounded(wanted, 2 * dealt.count()).join(texts, F.col("node") == F.col("t_id")).select(
+    ).join(classes.select("node", "least", "h1", "h2"), "node")
+    rows = bounded(wanted, 2 * dealt.count()).join(texts, F.col("least") == F.col("t_id")).select(
         "b", "fan", "turn", "node", "extra", "h1", "h2", "text"
     ).repartition("b", "fan").sortWithinPartitions("b", "fan", "turn")
 
@@ -421,25 +421,27 @@ def near_duplicates(
     p = params
     rows = stored(sketches(docs, p, id_col, text_col))
     usable = rows.filter("n_shingles > 0 and doc_id is not null")
+    # A class is a node of its own, not one of its ids: an id with two texts is in two classes.
     classes = stored(usable.groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"),
+        F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"),
         F.first("halves").alias("halves"), F.first("sketch").alias("sketch"),
-    ))
+    )).withColumn("node", F.monotonically_increasing_id())
     texts = docs.select(F.col(id_col).cast("long").alias("t_id"), F.col(text_col).alias("text"))
-    buckets = stored(
-        _members(classes, p).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low")).filter("n > 1")
-    )
-    hits = stored(_members(classes, p).join(bounded(buckets, buckets.count()), "key"))
+    members = stored(_members(classes, p))
+    buckets = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low")).filter("n > 1"))
+    hits = stored(members.join(bounded(buckets, buckets.count()), "key"))
+    release(members)
     first = stored(_first_pairs(hits, classes, p))
     labels = components(confirmed(first, classes, texts, p))
     more = _left_over(hits, classes, labels.select(F.col("node").alias("l_node"), "component"), texts, p)
     rest = stored(_screened(more.join(first, ["a", "b"], "left_anti"), classes, p))
+    release(hits)
     if not rest.isEmpty():
         known = labels.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         labels = components(known.unionByName(confirmed(rest, classes, texts, p)))
-    named = classes.join(labels.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left").select(
-        "h1", "h2", F.coalesce("component", "node").alias("component_id")
-    )
+    labelled = classes.select("h1", "h2", "least", "node").join(labels.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left")
+    smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id")).filter("component is not null")
+    named = labelled.join(smallest, "component", "left").select("h1", "h2", F.coalesce("component_id", "least").alias("component_id"))
     matched = usable.join(named, ["h1", "h2"]).select("doc_id", "text_key", "n_shingles", "component_id")
     alone = rows.filter("n_shingles = 0 or doc_id is null").select(
         "doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id")
@@ -456,10 +458,11 @@ def drop_near_duplicates(
     an id stay.
     """
     found = stored(near_duplicates(docs, params, id_col, text_col).select("doc_id", "text_key", "kept"))
-    key = [F.col(id_col).cast("long").eqNullSafe(F.col("g_id")), F.xxhash64(text_col) == F.col("g_key")]
+    id_, text_key = fresh(docs, "found_id", "found_key")
+    key = [F.col(id_col).cast("long").eqNullSafe(F.col(id_)), F.xxhash64(text_col) == F.col(text_key)]
 
     def marked(rows: DataFrame) -> DataFrame:
-        few = stored(rows.select(F.col("doc_id").alias("g_id"), F.col("text_key").alias("g_key")))
+        few = stored(rows.select(F.col("doc_id").alias(id_), F.col("text_key").alias(text_key)))
         return bounded(few, few.count())
 
     left = docs.join(marked(found.filter("not kept").distinct()), key, "left_anti")
@@ -467,5 +470,5 @@ def drop_near_duplicates(
     if again.isEmpty():
         return left
     twice = marked(again)
-    one = left.join(twice, key, "left_semi").withColumn("__key", F.xxhash64(text_col)).dropDuplicates([id_col, "__key"]).drop("__key")
+    one = left.join(twice, key, "left_semi").withColumn(text_key, F.xxhash64(text_col)).dropDuplicates([id_col, text_key]).drop(text_key)
     return left.join(twice, key, "left_anti").unionByName(one)

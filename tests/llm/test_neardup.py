@@ -91,6 +91,29 @@ def test_a_repeated_id_with_two_texts(make_docs, prose):
     assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 1), (2, 2), (3, 2)]
 
 
+def test_two_classes_with_one_smallest_id(make_docs, prose):
+    """Each text of id 1 has a near copy of its own, and the classes stay apart."""
+    a, b = (" ".join(prose(200, s)) for s in (11, 12))
+    rows = [(1, a), (1, b), (5, a + " more"), (6, b + " more"), (7, " ".join(prose(50, 13))), (1, None)]
+    got = neardup.near_duplicates(make_docs(rows)).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(1, 1, True)] * 3 + [(5, 1, False), (6, 1, False), (7, 7, True)]
+    left = neardup.drop_near_duplicates(make_docs(rows)).collect()
+    assert sorted((r.doc_id, r.text or "") for r in left) == sorted([(1, ""), (1, a), (1, b), (7, rows[4][1])])
+    # Each text of id 3 is a copy of another document's: one component each, under its own smallest id.
+    got = neardup.near_duplicates(make_docs([(3, a), (3, b), (2, a + " x"), (9, b + " x"), (9, a + " y z")])).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(2, 2, True), (3, 2, False), (3, 3, True), (9, 2, False), (9, 3, False)]
+
+
+@pytest.mark.parametrize("name", ["found_id", "found_key", "node", "h1", "place", "start", "t_id"])
+def test_columns_named_like_helpers(make_docs, prose, name):
+    from pyspark.sql import functions as F
+
+    text = " ".join(prose(40, 1))
+    docs = make_docs([(1, text), (2, text), (2, text), (3, None)]).withColumn(name, F.lit(1))
+    left = neardup.drop_near_duplicates(docs)
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 3]
+
+
 def test_empty(make_docs):
     assert neardup.near_duplicates(make_docs([])).count() == 0
     assert neardup.drop_near_duplicates(make_docs([])).count() == 0
