@@ -277,6 +277,11 @@ def revenue_mart_reduced(t):
     return _cents(revenue.revenue_mart(t, reduce_history=True))
 
 
+@_query
+def revenue_mart_dealt(t):
+    return _cents(revenue.revenue_mart(t, deal_hot_documents=True))
+
+
 def _revenue_b(t: DocumentTables) -> DataFrame:
     return revenue.revenue_mart(
         t, dedup_ar_lines=True, drop_cdc_deletes=False, default_nulls="first"
@@ -358,7 +363,14 @@ def duplicate_report(t):
 
 @_query
 def full_row_duplicates(t):
-    return aggregates.duplicate_report(_cents(keys.ar_keys(t)))
+    """Of the keyed invoices as a stored table, which is what is reported on."""
+    keyed = _cents(keys.ar_keys(t))
+
+    def report(path: str) -> DataFrame:
+        sinks.overwrite(keyed, path)
+        return aggregates.full_row_duplicates(sinks.read_back(keyed.sparkSession, path))
+
+    return _through(keyed.sparkSession, "ar_keys", report)
 
 
 # tables stored by document --------------------------------------------------------
@@ -416,6 +428,21 @@ def sink_roundtrip(t):
     return _through(mart.sparkSession, "ar_mart", table)
 
 
+@_query
+def sink_checked(t):
+    """The mart written with a check of its content, twice: the second time from the table that it replaces."""
+    mart = _cents(ar.ar_mart(t))
+
+    def table(path: str) -> DataFrame:
+        first = sinks.overwrite_checked(mart, path)
+        again = sinks.overwrite_checked(sinks.read_back(mart.sparkSession, path), path)
+        if again != first:
+            raise sinks.ContentMismatch(f"{again} after {first}")
+        return sinks.read_back(mart.sparkSession, path)
+
+    return _through(mart.sparkSession, "ar_mart_checked", table)
+
+
 @_query
 def sink_schema_evolution(t):
     mart = _cents(ar.ar_mart(t))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import date
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 # Decimal places whose amounts are summed exactly, in two ranges: each keeps every
@@ -108,3 +109,24 @@ def to_integer(text: Column, strict: bool = True) -> Column:
 def day(value: Column) -> Column:
     """The calendar day of a date, a timestamp or ISO text with a time part."""
     return F.left(value.cast("string"), F.lit(10)).cast("date")
+
+
+def text_of(name: str) -> str:
+    """The name under which a date that is stored as text is kept beside its date."""
+    return f"{name}_text"
+
+
+def since(df: DataFrame, name: str, first: date) -> DataFrame:
+    """Rows from ``first`` on.
+
+    A cast in a filter keeps it out of the scan.  Where the date is stored as text, the
+    text is therefore bounded as well, by the year: text that begins with
+    the four digits of a year sorts by it, and what a cast also accepts before a year,
+    space or a sign, sorts before all digits and stays.  Years of more than four
+    digits do not occur in documents and are not supported as text.
+    """
+    wanted = F.col(name) >= F.lit(first)
+    if text_of(name) in df.columns:
+        text = F.col(text_of(name))
+        wanted &= (text >= F.lit(f"{first.year:04d}")) | (text < F.lit("0"))
+    return df.filter(wanted)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerloom.operators.reduction import likely_in
+
 
 def sum_max(
     df: DataFrame, keys: list[str], sums: dict[str, Column], maxima: list[str]
@@ -65,3 +67,27 @@ def duplicate_report(df: DataFrame, keys: list[str] | None = None, name: str = "
     """Keys (by default whole rows) that occur more than once."""
     counted = with_copies(df, keys or df.columns, name)
     return counted.filter(F.col(name) > 1)
+
+
+def fingerprint(df: DataFrame, seed: int = 0) -> Column:
+    """64 bits of a row's content; NULLs count by their place."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    blanks = F.concat(*[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])
+    return F.xxhash64(F.lit(seed), blanks, *columns)
+
+
+def full_row_duplicates(
+    df: DataFrame, name: str = "count", prints: tuple[Column, Column] | None = None
+) -> DataFrame:
+    """Rows that occur more than once in all columns.
+
+    Two fingerprints of each row, 16 bytes, are counted first.  Only rows whose
+    fingerprints repeat are shuffled and compared in full, so different
+    rows with the same fingerprints are told apart.  ``df`` is read twice: store it
+    first where it is dear to compute.
+    """
+    first, second = prints or (fingerprint(df), fingerprint(df, 1))
+    marked = df.withColumns({"__first": first, "__second": second})
+    repeated = with_copies(marked, ["__first", "__second"], "__rows").filter("__rows > 1")
+    likely = likely_in(marked, repeated, ["__first", "__second"])
+    return duplicate_report(likely.drop("__first", "__second"), name=name)

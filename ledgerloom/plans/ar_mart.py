@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.config import CDC_DELETE, ReceivablesConfig
 from ledgerloom.functions import invoice
-from ledgerloom.functions.columns import none_contained, summed_amount
+from ledgerloom.functions.columns import none_contained, since, summed_amount
 from ledgerloom.operators.aggregates import filtered_max, sum_max
 from ledgerloom.operators.keys import KEY, company_of, document_columns, document_join, with_document_key
 from ledgerloom.operators.lookups import lookup_join
@@ -47,10 +47,8 @@ def document_heads(
 ) -> DataFrame:
     """Headers in scope, each once.  Copies of a header add nothing to a distinct result."""
     code = F.col("doccode")
-    heads = dochead.filter(
-        F.col("cmpcode").isin(*cfg.companies)
-        & ~code.isin(*cfg.excluded_codes)
-        & (F.col("docdate") >= F.lit(cfg.first_day))
+    heads = since(dochead, "docdate", cfg.first_day).filter(
+        F.col("cmpcode").isin(*cfg.companies) & ~code.isin(*cfg.excluded_codes)
     )
     if drop_cdc_deletes:
         heads = heads.filter(F.col("cdc_operation_type") != CDC_DELETE)

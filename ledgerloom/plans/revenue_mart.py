@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.config import CDC_DELETE, RevenueConfig
 from ledgerloom.functions import invoice
-from ledgerloom.functions.columns import summed_amount
+from ledgerloom.functions.columns import since, summed_amount
 from ledgerloom.operators.aggregates import earliest_value, with_copies
+from ledgerloom.operators.grid import grid_join
 from ledgerloom.operators.keys import KEY, RAW_KEY, document_columns, document_join, with_document_key
 from ledgerloom.operators.lookups import SPREAD, is_small, lookup_join, planned_bytes
 from ledgerloom.operators.reduction import likely_in
@@ -58,7 +59,7 @@ def customer_lines(
     customer = F.col("el3").alias("customer_el3")
     if dedup and not drop_cdc_deletes and not check_heads:
         return grouped.select(*RAW_KEY, customer, once.alias("ar_copies"))
-    heads = tables.dochead.filter(F.col("docdate") >= F.lit(cfg.first_day))
+    heads = since(tables.dochead, "docdate", cfg.first_day)
     if drop_cdc_deletes:
         heads = heads.filter(F.col("cdc_operation_type") != CDC_DELETE)
     heads = with_document_key(heads)
@@ -120,7 +121,7 @@ def with_line_fields(lines: DataFrame, heads: DataFrame, cfg: RevenueConfig) ->
 
 def revenue_groups(tables: DocumentTables, cfg: RevenueConfig = RevenueConfig()) -> DataFrame:
     """Scaled sums per line attributes, before any customer is attached."""
-    heads = head_rows(tables.dochead.filter(F.col("docdate") >= F.lit(cfg.first_day)))
+    heads = head_rows(since(tables.dochead, "docdate", cfg.first_day))
     base = with_line_fields(revenue_lines(tables.docline, cfg), heads, cfg)
     amounts = [
         summed_amount(name, f"{name}_dp", "raw", cfg.exact_amounts, copies="head_copies").alias(name)
@@ -147,10 +148,7 @@ def job_defaults(
     without such a line may then be left out.
     """
     lines, heads = tables.docline.filter(F.col("el4") != ""), with_document_key(tables.dochead)
-    if reduced is None:
-        size = planned_bytes(tables.docline)
-        reduced = size is not None and size > REDUCE_FROM
-    if reduced:
+    if is_large(tables.docline) if reduced is None else reduced:
         lines, heads = _early(tables, lines, heads, nulls, F.lit(True) if needed is None else needed)
     jobs = lines.groupBy(*document_columns(lines)).agg(F.min("el4").alias("el4"))
     days = heads.groupBy(*KEY).agg(
@@ -169,6 +167,13 @@ def job_defaults(
 
 #: Lines of so many bytes, by Spark's estimate, are worth another pass.
 REDUCE_FROM = 1024**3
+
+
+def is_large(docline: DataFrame) -> bool:
+    size = planned_bytes(docline)
+    return size is not None and size > REDUCE_FROM
+
+
 #: Documents looked up for each company, and days kept for all companies together.
 LOOKED_UP, DAYS = 32, 4096
 NEVER = date(9999, 12, 31)
@@ -258,13 +263,16 @@ def revenue_mart(
     default_nulls: str = "ignore",
     unique_lookups: bool = False,
     reduce_history: bool | None = None,
+    deal_hot_documents: bool | None = None,
 ) -> DataFrame:
     """The mart in either published form.
 
     Defaults: customer lines count as often as they occur, deleted headers give
     no customer, undated documents give no default job.  The other form is
     ``dedup_ar_lines=True, drop_cdc_deletes=False, default_nulls="first"``.
-    ``reduce_history`` is ``reduced`` of ``job_defaults``.
+    ``reduce_history`` is ``reduced`` of ``job_defaults``.  ``deal_hot_documents`` deals
+    a document with many revenue groups and many customers in a grid, by default
+    where the lines are larger than ``REDUCE_FROM``.
     """
     blank_job = F.coalesce(F.col("el4") == "", F.lit(True))
     # A revenue group comes from a dated header of the same document already.
@@ -276,7 +284,9 @@ def revenue_mart(
         spread_by=RAW_KEY,
         unique=unique_lookups,
     )
-    grouped = revenue_groups(tables, cfg).join(customers, list(RAW_KEY), "inner")
+    groups = revenue_groups(tables, cfg)
+    grid = is_large(tables.docline) if deal_hot_documents is None else deal_hot_documents
+    grouped = grid_join(groups, customers, list(RAW_KEY)) if grid else groups.join(customers, list(RAW_KEY))
     spread_by = (*RAW_KEY, "el2", "el3", "customer_el3")
     with_account = lookup_join(
         grouped,

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StringType, StructType
 
 from ledgerloom import schemas
+from ledgerloom.functions.columns import text_of
 from ledgerloom.operators.keys import KEY
 from ledgerloom.sources.by_document import open_by_document
 
@@ -20,7 +21,8 @@ def conform(df: DataFrame, schema: StructType, name: str = "table") -> DataFrame
     """Keep the declared columns, in order, with their declared types, and a stored document key.
 
     Column pruning reaches the scan.  A time part of ``docdate`` is cut here,
-    once, so that later comparisons are between days.
+    once, so that later comparisons are between days.  A date that is stored as text is
+    kept as text beside it, for filters that reach the scan (``since``).
     """
     missing = [field.name for field in schema if field.name not in df.columns]
     if missing:
@@ -34,6 +36,9 @@ def conform(df: DataFrame, schema: StructType, name: str = "table") -> DataFrame
         columns.append(column)
     if {"cmpcode", *KEY} <= {*df.columns}:
         columns += KEY
+    for field in schema:
+        if isinstance(field.dataType, DateType) and isinstance(stored[field.name], StringType):
+            columns.append(F.col(f"`{field.name}`").alias(text_of(field.name)))
     return df.select(*columns)
 
 

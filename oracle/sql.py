@@ -516,6 +516,7 @@ SELECT cmpcode, doccode, docnum, el2, el3, el4, ref2 FROM docline WHERE {_REVENU
     "revenue_mart_a": (("revenue_a",), "SELECT * FROM revenue_a"),
     "revenue_mart_b": (("revenue_b",), "SELECT * FROM revenue_b"),
     "job_default_reduced": (("job_defaults",), "SELECT * FROM job_defaults"),
+    "revenue_mart_dealt": (("revenue_a",), "SELECT * FROM revenue_a"),
     "revenue_mart_reduced": (("revenue_a",), "SELECT * FROM revenue_a"),
     "ar_mart_by_document": (("ar_mart",), "SELECT * FROM ar_mart"),
     "revenue_mart_by_document": (("revenue_a",), "SELECT * FROM revenue_a"),
@@ -553,6 +554,7 @@ GROUP BY 1 HAVING count(*) > 1"""),
 SELECT *, count(*) AS "count" FROM ar_keys GROUP BY ALL HAVING count(*) > 1"""),
     "lookup_csv": (("category",), "SELECT * FROM category"),
     "sink_roundtrip": (("ar_mart",), "SELECT * FROM ar_mart"),
+    "sink_checked": (("ar_mart",), "SELECT * FROM ar_mart"),
     "sink_schema_evolution": (("ar_mart",), """
 SELECT *, CAST(NULL AS VARCHAR) AS RetiredColumn FROM ar_mart"""),
     "sanitize_columns": (("ar_keys",), """
