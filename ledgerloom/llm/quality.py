@@ -14,15 +14,20 @@ from ledgerloom.llm.common import filtered, map_batches
 #: Symbols that are counted (fixed by the query contract).
 SYMBOLS = "#*$%&|<>"
 _SYMBOLS = re.compile(rb"[#*$%&|<>]")
-#: Limits of compressed / plain bytes by the bytes of a text, from line to line in
-#: the logarithm of the length: prose compresses the better the longer it is.
+#: Limits of compressed / plain length by the length of a text in narrow bytes (``narrow``), from line
+#: to line in its logarithm: prose compresses the better the longer it is.
 LOW = ((256, 0.47), (512, 0.47), (1_024, 0.46), (2_048, 0.442), (4_096, 0.424), (8_192, 0.405), (16_384, 0.395), (32_768, 0.385), (65_536, 0.375), (131_072, 0.36))
 HIGH = ((64, 1.5), (256, 0.95), (512, 0.85), (1_024, 0.78), (4_096, 0.70), (65_536, 0.65))
-#: Bytes of a chunk, and the limits of its ratio.
+#: The same for chunks. Prose of 512 letters stays below 0.70, random letters and digits above 0.74.
+CHUNK_LOW = ((256, 0.42), (512, 0.42), (1_024, 0.42), (4_096, 0.40))
+CHUNK_HIGH = ((256, 0.80), (512, 0.73), (1_024, 0.68), (2_048, 0.65), (4_096, 0.63))
+#: Bytes of a chunk: a sixteenth of the text, within these.
 CHUNK_BYTES = 4_096
-CHUNK_BAND = (0.42, 0.70)
-#: A text fails if more than this part of its chunks is outside the band.
-BAD_CHUNKS = 0.5
+LEAST_CHUNK = 512
+#: A text fails if chunks of more than this part of it are outside the band.
+BAD_CHUNKS = 0.2
+#: From this part of wide characters on a text has no upper limits, as in scripts of thousands of signs.
+WIDE = 0.2
 
 COLUMNS = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -30,6 +35,38 @@ COLUMNS = (
 )
 
 
+# Fixed layout of narrow bytes: the commonest other characters in one byte, the next in two.
+_ONE, _TWO = 112, 15 * 256
+
+
+def narrow(text: str) -> tuple[bytes, float]:
+    """A text with its own characters renumbered, so that its script does not count, and the part of wide ones.
+
+    ASCII stays. Of the other characters the commonest have one byte each, in whatever
+    script, thousands more have two, any further one four: the same words in Latin, Cyrillic
+    or Devanagari letters give bytes that differ in nothing but the letters' numbers.
+    """
+    if text.isascii():
+        return text.encode(), 0.0
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    found, at, n = np.unique(codes, return_inverse=True, return_counts=True)
+    order = np.lexsort((found, -n, found < 128))
+    rank = np.empty(len(found), np.int64)
+    rank[order] = np.arange(len(found))
+    place = np.where(found < 128, -1, rank)[at]
+    sizes = np.select([place < _ONE, place < _ONE + _TWO], [1, 2], 4)
+    start = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), np.uint8)
+    one, two, four = sizes == 1, sizes == 2, sizes == 4
+    out[start[one]] = np.where(place < 0, codes, 128 + place)[one]
+    rest = place[two] - _ONE
+    out[start[two]], out[start[two] + 1] = 240 + rest // 256, rest % 256
+    out[start[four]] = 255
+    for k in range(3):
+        out[start[four] + k + 1] = (codes[four] >> (8 * k)) & 255
+    return out.tobytes(), float((sizes > 1).mean())
+
+
 @lru_cache(maxsize=1)
 def _compressor():
     import zstandard
@@ -77,18 +114,20 @@ def measure(text: str | None) -> tuple:
     counts = (len(words), chars, len(_SYMBOLS.findall(data)), repeated_lines(data), repeated_words(words))
     if not data:
         return (*counts, None, 0, 0, "ok")
+    data, wide = narrow(text)
     whole = ratio(data)
+    size = max(LEAST_CHUNK, min(CHUNK_BYTES, len(data) // 16))
     # The last chunk takes what is left, so none is short.
-    n = max(1, len(data) // CHUNK_BYTES)
-    cuts = [data[i * CHUNK_BYTES:(i + 1) * CHUNK_BYTES if i < n - 1 else len(data)] for i in range(n)]
-    bad = sum(not CHUNK_BAND[0] <= ratio(c) <= CHUNK_BAND[1] for c in cuts) if n > 1 else 0
+    n = max(1, len(data) // size)
+    cuts = [data[i * size:(i + 1) * size if i < n - 1 else len(data)] for i in range(n)] if n > 1 else []
+    outside = [c for c in cuts if not limit(CHUNK_LOW, len(c)) <= ratio(c) <= (limit(CHUNK_HIGH, len(c)) if wide < WIDE else 9)]
     if whole < limit(LOW, len(data)):
         verdict = "repetitive"
-    elif whole > limit(HIGH, len(data)):
+    elif whole > limit(HIGH, len(data)) and wide < WIDE:
         verdict = "incompressible"
     else:
-        verdict = "bad chunks" if bad > BAD_CHUNKS * n else "ok"
-    return (*counts, whole, n, bad, verdict)
+        verdict = "bad chunks" if sum(map(len, outside)) > BAD_CHUNKS * len(data) else "ok"
+    return (*counts, whole, n, len(outside), verdict)
 
 
 def accepted(measured: tuple) -> bool:
@@ -108,9 +147,13 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Words are runs other than ASCII white space. ``base_failed`` marks fewer than
     50 words or over half of the words in repeated three-word windows. The verdict
     compares zstandard ratios of the whole text with the band of its length, and of
-    its fixed chunks with theirs: low is repetitive, high incompressible. A text is
-    kept if it passes both. NULL counts as the empty text, which fails for its
-    words; rows that repeat an id are judged each. No shuffle: a row is judged alone.
+    its fixed chunks (from 1,024 letters on) with theirs: low is repetitive, high
+    incompressible. Characters are renumbered first (``narrow``), so the bands hold for
+    every script; texts of very many signs are only tested for repetition. A text is kept if
+    it passes both. NULL counts as the empty text, which fails for its words; whole texts
+    count, however long; rows that repeat an id are judged each. Other columns are
+    not read, and ``keep_good`` keeps them as they are. An empty table gives an empty
+    result. No shuffle: a row is judged alone.
     """
 
     def judge(part: pa.RecordBatch) -> pa.RecordBatch:
