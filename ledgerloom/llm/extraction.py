@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,6 +44,19 @@ _SIDE_NAMES = re.compile(
     r"|nav\w*|newsletter|notice|pagination|popup|promo\w*|recommend\w*|related|repl(?:y|ies)|search|share|sharing|sidebar|signup|social|sponsor\w*"
     r"|subscribe|tags?|teaser|toolbar|widget)(?:$|[^a-z])"
 )
+#: The same that are never part of an article, whatever they hold: what readers, shops and other pages say.
+_HARD = {"nav", "footer", "aside", "menu", "dialog", "button", "address"}
+_HARD_NAMES = re.compile(
+    r"(?:^|[^a-z])(?:ads?|advert\w*|breadcrumb\w*|comments?|cookies?|consent|disqus|footer|gdpr|newsletter|pagination|promo\w*"
+    r"|recommend\w*|related|repl(?:y|ies)|sponsor\w*|teaser)(?:$|[^a-z])"
+)
+#: Names that say what a page has or lacks, not what an element is; and the head of an article.
+_STATES = re.compile(r"(?<![-\w])(?:has|no|with|without|js|is)-[-\w]+|(?<![-\w])[-\w]+-(?:open|opened|closed|hidden|enabled|disabled|visible)(?![-\w])")
+_OWN_HEADER = re.compile(r"(?<![a-z])(?:article|content|entry|page|post|story)[-_]*header(?![a-z])")
+#: Elements in which a paragraph or list item ends before another begins.
+_CONTAINERS = ("ul", "ol", "dl", "table", "div", "article", "section", "body")
+#: A side part with so much of a page's words, and no main part beside it, is a wrapper.
+WRAPS, WRAPS_WORDS = 0.6, 40
 _MAIN_NAMES = re.compile(r"(?:^|[^a-z])(?:article|content|entry|main|post|story|text)(?:$|[^a-z])")
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "side", "main", "heading")
@@ -56,13 +70,21 @@ class Block:
     side: bool
     main: bool
     heading: bool
+    #: Soft side parts that it lies in, by number; empty where ``side`` is settled.
+    soft: tuple[int, ...] = ()
 
 
-def _side(tag: str, attributes: str) -> tuple[bool, bool]:
+def _side(tag: str, attributes: str, in_main: bool) -> tuple[bool, bool, bool]:
+    """Whether an element is a side part, one that nothing in it can undo, and a main part."""
     names = " ".join(n.strip("\"'") for n in _NAMES.findall(attributes)).lower() if attributes else ""
-    side = tag in _SIDE or bool(names and _SIDE_NAMES.search(names))
+    names = _STATES.sub(" ", names)
+    if in_main:
+        names = _OWN_HEADER.sub(" ", names)
+    named = tag not in ("html", "body") and bool(names and _SIDE_NAMES.search(names))
+    side = (tag in _SIDE and not (tag == "header" and in_main)) or named
+    hard = side and (tag in _HARD or bool(names and _HARD_NAMES.search(names)))
     main = tag in ("article", "main") or bool(names and _MAIN_NAMES.search(names))
-    return side, main and not side
+    return side, hard, main and not side
 
 
 def blocks(html: str) -> list[Block]:
@@ -73,12 +95,20 @@ def blocks(html: str) -> list[Block]:
     head ends at the first tag or text that cannot stand in it, svg and math also
     with '/>' or before a block of HTML. A header inside an article's own element is
     part of it; other headers, menus and the like are not.
+
+    Names of html and body say nothing of a page's parts. An article or main element in a
+    form, or in a part that only has the name of a side part, is not at the side. The same
+    holds for the text of such a part if it wraps the page: it has most of its words, and
+    no main part lies outside. Time is linear in the page, however many tags are not closed.
     """
     out: list[Block] = []
     parts: list[str] = []
     link_words = 0
-    # (tag, inside a part around the article, inside the main part, a link)
-    stack: list[tuple[str, bool, bool, bool]] = []
+    # (tag, inside a part that is never of an article, inside the main part, a link, other side parts)
+    stack: list[tuple[str, bool, bool, bool, tuple[int, ...]]] = []
+    # Where the open elements of a kind lie in the stack.
+    places: dict[str, list[int]] = {}
+    softs = 0
     heading = False
     # Where the outermost hidden element lies in the stack, if one is open.
     hidden: int | None = None
@@ -88,22 +118,26 @@ def blocks(html: str) -> list[Block]:
         text = _SPACE.sub(" ", "".join(parts)).strip()
         parts.clear()
         if text:
-            side, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            out.append(Block(text, len(text.split()), link_words, side, main, heading))
+            hard, main, soft = (stack[-1][1], stack[-1][2], stack[-1][4]) if stack else (False, False, ())
+            out.append(Block(text, len(text.split()), link_words, hard, main, heading, () if hard else soft))
         link_words = 0
 
+    def last(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
+
     def implied(tag: str) -> int | None:
         ends = _IMPLIED.get(tag)
-        for i in range(len(stack) - 1, -1, -1) if ends else ():
-            if stack[i][0] in ends:
-                return i
-            if stack[i][0] in ("ul", "ol", "dl", "table", "div", "article", "section", "body"):
-                return None
-        return None
+        i = last(ends) if ends else -1
+        return i if i >= 0 and i > last(_CONTAINERS) else None
+
+    def enter(*entry) -> None:
+        places.setdefault(entry[0], []).append(len(stack))
+        stack.append(entry)
 
     def leave(depth: int) -> None:
         nonlocal hidden
-        del stack[depth:]
+        while len(stack) > depth:
+            places[stack.pop()[0]].pop()
         if hidden is not None and depth <= hidden:
             hidden = None
 
@@ -125,7 +159,7 @@ def blocks(html: str) -> list[Block]:
             continue
         tag = tag.lower()
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            depth = places[tag][-1] if places.get(tag) else None
             if tag in _BLOCK and (hidden is None or (depth is not None and depth < hidden)):
                 end()
                 heading = False
@@ -140,7 +174,7 @@ def blocks(html: str) -> list[Block]:
             elif outer in ("svg", "math"):
                 if attributes.endswith("/"):
                     continue
-                if tag in _BLOCK and not any(x[0] in _HTML_IN for x in stack[hidden + 1:]):
+                if tag in _BLOCK and last(_HTML_IN) <= hidden:
                     leave(hidden)
         if tag in _RAW:
             stop = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(html, at)
@@ -165,7 +199,7 @@ def blocks(html: str) -> list[Block]:
                 continue
             if hidden is None:
                 hidden = len(stack)
-            stack.append((tag, *(stack[-1][1:] if stack else (False, False, False))))
+            enter(tag, *(stack[-1][1:] if stack else (False, False, False, ())))
             continue
         if hidden is not None and tag not in _VOID:
             i = implied(tag)
@@ -174,7 +208,7 @@ def blocks(html: str) -> list[Block]:
                     end()
                 leave(i)
             if hidden is not None:
-                stack.append((tag, *stack[-1][1:]))
+                enter(tag, *stack[-1][1:])
                 continue
         if hidden is not None:
             continue
@@ -190,13 +224,29 @@ def blocks(html: str) -> list[Block]:
             if (i := implied(tag)) is not None:
                 leave(i)
             heading = tag[0] == "h" and tag[1:].isdigit()
-        side, main = _side(tag, attributes)
-        over = stack[-1] if stack else ("", False, False, False)
-        if tag == "header" and over[2]:
-            side = False
-        stack.append((tag, over[1] or side, over[2] or main, over[3] or tag == "a"))
+        over = stack[-1] if stack else ("", False, False, False, ())
+        side, hard, main = _side(tag, attributes, over[2])
+        soft = () if tag in ("article", "main") and not side else over[4]
+        if side and not hard:
+            softs += 1
+            # A part within as many others adds nothing: what settles one of them settles it.
+            soft = (*soft, softs) if len(soft) < 8 else soft
+        enter(tag, over[1] or hard, over[2] or main, over[3] or tag == "a", soft)
     end()
-    return out
+    return _settled(out)
+
+
+def _settled(found: list[Block]) -> list[Block]:
+    """Mark blocks in soft side parts as side, but for parts that wrap the page."""
+    words, outside = Counter(), sum(b.words for b in found if b.main and not b.side and not b.soft)
+    for b in found:
+        for s in b.soft:
+            words[s] += b.words
+    total = sum(b.words for b in found)
+    wraps = {s for s, n in words.items() if n >= WRAPS_WORDS and n >= WRAPS * total} if not outside else set()
+    for b in found:
+        b.side = b.side or any(s not in wraps for s in b.soft)
+    return found
 
 
 def table(found: list[Block]) -> np.ndarray:
@@ -304,7 +354,8 @@ def extract(pages: DataFrame, tree: Tree, id_col: str = "page_id", url_col: str
     part named as main or as a side part decide if it is main text. Character
     references are decoded, white space in a block becomes one space, blocks are
     joined by an empty line. NULL and empty pages give an empty text; rows that
-    repeat an id are read each. Pages are read one by one: no shuffle.
+    repeat an id are read each; whole pages count, however long. Other columns are not
+    read. An empty table gives an empty result. Pages are read one by one: no shuffle.
     """
 
     def read(part: pa.RecordBatch) -> pa.RecordBatch:

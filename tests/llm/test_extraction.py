@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from ledgerloom.llm import extraction
@@ -61,3 +63,40 @@ def test_hidden_elements_take_no_text_with_them(page):
 @pytest.mark.parametrize("tag", ["script", "style", "textarea"])
 def test_raw_text_without_an_end_reaches_to_the_end(tag):
     assert [b.text for b in extraction.blocks(f"<p>{LONG}<{tag}>a<p>b</p>")] == [LONG]
+
+
+ARTICLE = "".join(f"<p>The harbour was quiet on morning {i}, and the boats lay still while the tide came slowly in over the flats.</p>" for i in range(4))
+COMMENTS = "<div class=comments><article><p>I was there and it was a wonderful day for the whole family, thank you all for it</p></article></div>"
+
+
+@pytest.mark.parametrize("page", [
+    "<html class='js nav-open'><body><main>{a}</main>{c}",
+    "<body class='single-post has-sidebar'><article>{a}</article>{c}",
+    "<body class='header-fixed no-footer'><div class=content>{a}</div>{c}",
+    "<body><form id=aspnetForm action=/><div id=page>{a}</div></form>",
+    "<body><form id=aspnetForm><div class=content>{a}</div>{c}<input></form>",
+    "<body><div class='sidebar-right header-large'><main>{a}</main>{c}</div>",
+    "<body><div id=search-wrapper>{a}</div>{c}",
+    "<body><article>{a}{c}</article>",
+])
+def test_wrappers_with_side_names(tree, page):
+    text = extraction.main_text(page.format(a=ARTICLE, c=COMMENTS), tree)
+    assert text.count("The harbour was quiet") == 4 and "wonderful" not in text
+
+
+def test_the_header_of_an_article_is_part_of_it(tree):
+    page = f"<body><header><h1>The Daily Example</h1></header><article><div class=article-header><h1>A quiet morning in the harbour</h1></div>{ARTICLE}</article>"
+    text = extraction.main_text(page, tree)
+    assert text.startswith("A quiet morning in the harbour") and "Daily" not in text
+
+
+def test_a_form_beside_the_article_stays_out(tree):
+    page = f"<body><main>{ARTICLE}</main><form><p>Leave your address here and we will send you a letter every month about the harbour and its boats</p></form>"
+    assert "address" not in extraction.main_text(page, tree)
+
+
+@pytest.mark.parametrize("unit", ["<b>", "<b></i>", "<b><p></p>", "<p><div><b>", "<svg><foreignObject><g><p>", "<form>", "<div class=nav>", "<li><b>", "</i>"])
+def test_many_unclosed_tags_take_linear_time(tree, unit):
+    start = time.perf_counter()
+    extraction.main_text("<body>" + unit * (200_000 // unit.count("<")) + "words at the end", tree)
+    assert time.perf_counter() - start < 20
