@@ -84,15 +84,21 @@ def sketches(docs: DataFrame, p: NearDup, id_col: str = "doc_id", text_col: str
 
 
 def _members(classes: DataFrame, p: NearDup) -> DataFrame:
-    """A row for each class and table: the pairs of half keys, hashed."""
-    m = p.half_keys
-    pair = F.transform(
-        F.sequence(F.lit(0), F.lit(m * m - 1)),
-        lambda t: F.xxhash64(
-            t, F.col("halves")[F.floor(t / m).cast("int")], F.col("halves")[(t % m + m).cast("int")]
-        ),
+    """(node, key) for each class and every table in which another class can share its key.
+
+    A key of a table pairs a half key of each collection, so it can be shared only if
+    both halves are. Half keys are counted first, ``2 * half_keys`` rows for a class, and
+    only shared ones are paired: a class that shares none has no row at all.
+    """
+    halves = classes.select("node", F.posexplode("halves").alias("place", "half")).select(
+        "node", (F.col("place") < p.half_keys).alias("first"), F.xxhash64("place", "half").alias("half")
+    )
+    shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("uses")).filter("uses > 1").select("half")
+    kept = halves.join(shared, "half").groupBy("node").agg(
+        *(F.collect_list(F.when(F.col("first") == side, F.col("half"))).alias(name) for name, side in (("a", True), ("b", False)))
     )
-    return classes.select("node", F.explode(pair).alias("key"))
+    pair = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x, y))))
+    return kept.select("node", F.explode(pair).alias("key"))
 
 
 def _similar(p: NearDup):
