@@ -18,8 +18,9 @@ from bench import medians
 from ledgerloom import catalogue
 from ledgerloom.config import ReceivablesConfig, RevenueConfig
 from ledgerloom.functions import invoice
-from ledgerloom.functions.columns import scaled_amount
+from ledgerloom.functions.columns import none_contained, scaled_amount
 from ledgerloom.operators import duplicates
+from ledgerloom.operators.either_key import either_key_left_join
 from ledgerloom.operators.keys import RAW_KEY
 from ledgerloom.plans import ar_corrections as corrections
 from ledgerloom.plans import ar_keys as keys
@@ -103,6 +104,23 @@ def shaped_revenue(t) -> DataFrame:
     }).drop("ar_copies")
 
 
+def plain_revenue_mart(t) -> DataFrame:
+    """The whole mart as first written: row-level pairing, then accounts, companies, customers and default jobs."""
+    names = t.el3_element.filter("el3_elmlevel = 3").select("el3_cmpcode", "el3_code", "el3_name")
+    accounts = t.el2_element.filter("el2_elmlevel = 2").select("el2_cmpcode", "el2_code", "el2_name")
+    defaults = plain_defaults(t).withColumnsRenamed({"cmpcode": "d_company", "el4": "default_el4"})
+    joined = (
+        plain_revenue(t)
+        .join(names, (F.col("cmpcode") == F.col("el3_cmpcode")) & (F.col("customer_el3") == F.col("el3_code")))
+        .join(accounts, (F.col("cmpcode") == F.col("el2_cmpcode")) & (F.col("el2") == F.col("el2_code")))
+        .join(t.company, F.col("cmpcode") == F.col("code"))
+        .join(defaults, F.col("cmpcode") == F.col("d_company"), "left")
+    )
+    return joined.withColumn("JobNumber", invoice.job_or_default(F.col("el4"), F.col("default_el4"))).drop(
+        "el3_cmpcode", "el3_code", "el2_cmpcode", "el2_code", "code", "d_company"
+    )
+
+
 def plain_defaults(t) -> DataFrame:
     heads = _named(t.dochead, "h_")
     base = t.docline.filter("el4 != ''").join(heads, _same_document("", "h_"))
@@ -128,6 +146,32 @@ def shaped_corrections(t) -> DataFrame:
     )
 
 
+def shaped_either(t) -> DataFrame:
+    """The general either-key join, which knows nothing of how the two keys are made."""
+    lookup = corrections.correction_lookup(t.ref_correction)
+    return either_key_left_join(_keyed(t), lookup, corrections.SITE_KEY, corrections.INVOICE_KEY, "InterimKey")
+
+
+def plain_keys(t) -> DataFrame:
+    """Corrections by OR, then entity and partner by plain joins."""
+    joined = plain_corrections(t)
+    number = F.col("ServiceDeliverySiteInvoiceNumber")
+    fallback = F.when(number == "", F.col("InvoiceNumber")).otherwise(number)
+    corrected = joined.withColumns({
+        "New_ServiceDeliverySite": F.coalesce("FieldValue", "ServiceDeliverySite"),
+        "New_ServiceDeliverySiteInvoiceNumber": F.coalesce(F.col("FieldValue"), fallback),
+    }).withColumn("_InvoiceSite_DeliverySite", F.concat("cmpcode", "New_ServiceDeliverySite"))
+    known = corrected.filter(none_contained(F.col("New_ServiceDeliverySiteInvoiceNumber"), **ar.REIMBURSED)).filter("InvoiceNumber != ''")
+    entities = t.map_entity.select("CODA", "gpm_site", "cForia")
+    partners = t.map_ic_entity.select(
+        F.col("InvoiceCmp-OriginatingIC").alias("site"), F.col("IC_Partner-OMNI").alias("IC_Partner_OMNI"), F.col("IC_Partner-CODA").alias("own_partner")
+    )
+    matched = known.join(entities, F.col("cmpcode") == F.col("CODA"), "left").join(
+        partners, F.col("_InvoiceSite_DeliverySite") == F.col("site"), "left"
+    )
+    return keys.reconciliation_keys(matched)
+
+
 def plain_parents(t) -> DataFrame:
     joined = t.client_master.join(t.client_xref.drop("site_id"), "m_code", "left")
     group = Window.partitionBy(clients.PARENT, clients.NAME)
@@ -148,7 +192,11 @@ def plain_flags(t) -> DataFrame:
 PAIRS = {
     "receivable documents": (plain_documents, shaped_documents),
     "corrections": (plain_corrections, shaped_corrections),
+    "either key": (plain_corrections, shaped_either),
+    "reconciliation keys": (plain_keys, keys.ar_keys),
     "revenue": (plain_revenue, shaped_revenue),
+    "revenue mart": (plain_revenue_mart, revenue.revenue_mart),
+    "revenue mart, history cut": (plain_revenue_mart, lambda t: revenue.revenue_mart(t, reduce_history=True)),
     "job default": (plain_defaults, lambda t: revenue.job_defaults(t, "first")),
     "parent ranks": (plain_parents, clients.ranked_parents),
     "duplicate flags": (plain_flags, lambda t: duplicates.flag_duplicates(catalogue.keyed_invoices(t))),
