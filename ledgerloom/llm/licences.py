@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -34,46 +35,43 @@ _NOT_WORD = "[^a-z0-9]+"
 
 
 def _words(text: str) -> list[str]:
-    return list(dict.fromkeys(w for w in re.split(_NOT_WORD, text.lower()) if w))
+    return [w for w in re.split(_NOT_WORD, text.lower()) if w]
 
 
-def _distinct_words(text: Column) -> Column:
-    return F.array_remove(F.array_distinct(F.split(F.lower(text), _NOT_WORD)), "")
+def _all_words(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(text), _NOT_WORD), "")
 
 
-def document_counts(docs: DataFrame, text_col: str, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
-    """The number of rows, and of rows that hold each word of the templates; bounded by the templates."""
-    words_ = F.array(*[F.lit(w) for w in vocabulary])
-    hits = F.array_intersect(_distinct_words(F.coalesce(F.col(text_col), F.lit(""))), words_)
-    # The empty word stands for every row.
-    found = docs.select(F.explode(F.concat(F.array(F.lit("")), hits)).alias("word")).groupBy("word").count().collect()
-    counts = {r["word"]: r["count"] for r in found}
-    return counts.pop("", 0), counts
+def document_counts(docs: DataFrame, text_col: str) -> DataFrame:
+    """(word, n): the rows that hold each word; the empty word stands for every row."""
+    words_ = F.array_distinct(F.concat(F.array(F.lit("")), F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), _NOT_WORD)))
+    return docs.select(F.explode(words_).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _windows(lines: Column, at: Column, longest: int) -> Column:
-    """The windows of two and more lines that hold the line ``at``: no line of them is
-    blank, and without their last line they have fewer than ``longest`` words."""
+def _windows(lines: DataFrame, needed: Column, longest: int) -> DataFrame:
+    """(row, line, size, words) of the windows of adjacent lines, each once, from its first line.
 
-    def fits(start: Column, end: Column) -> Column:
-        """Whether the lines from ``start`` until before ``end`` are not blank and have too few words."""
-        n = F.aggregate(F.slice(lines, start + 1, end - start), F.lit(0), lambda s, u: F.when(F.size(u["words"]) > 0, s + F.size(u["words"])).otherwise(longest))
-        return n < longest
-
-    first, last = F.greatest(at - longest + 1, F.lit(0)), F.size(lines) - 1
-    starts = F.filter(F.sequence(first, at), lambda i: fits(i, at))
-
-    def from_start(i: Column) -> Column:
-        ends = F.filter(
-            F.sequence(at, F.least(at + longest, last)),
-            lambda e: (e > i) & (F.size(F.element_at(lines, e + 1)["words"]) > 0) & fits(i, e),
+    No line of a window is without words, and without its last line it has fewer than
+    ``longest`` words. Only windows with a needed word are listed. A line sees as
+    many lines ahead as a window can have, so the work for a line is bounded.
+    """
+    ahead = Window.partitionBy("row").orderBy("line").rowsBetween(0, longest)
+    seen = lines.withColumns({
+        "ahead": F.collect_list("words").over(ahead), "near": F.max(F.arrays_overlap("words", needed)).over(ahead)
+    }).filter(F.col("near") & (F.size("words") > 0))
+
+    def grow(so_far: Column, own: Column) -> Column:
+        fits = so_far["open"] & (F.size(own) > 0) & (so_far["words"] < longest)
+        return F.struct(
+            F.when(fits, so_far["size"] + 1).otherwise(so_far["size"]).alias("size"),
+            F.when(fits, so_far["words"] + F.size(own)).otherwise(so_far["words"]).alias("words"), fits.alias("open"),
         )
-        return F.transform(ends, lambda e: F.struct(
-            (e - i + 1).alias("size"), i.alias("line"),
-            F.array_distinct(F.flatten(F.transform(F.slice(lines, i + 1, e - i + 1), lambda u: u["words"]))).alias("words"),
-        ))
 
-    return F.flatten(F.transform(starts, from_start))
+    start = F.struct(F.lit(0).alias("size"), F.lit(0).alias("words"), F.lit(True).alias("open"))
+    sizes = F.sequence(F.lit(1), F.aggregate("ahead", start, grow)["size"])
+    windows = seen.select("row", "line", "ahead", F.explode(sizes).alias("size"))
+    words_ = F.flatten(F.slice("ahead", 1, F.col("size")))
+    return windows.select("row", "line", "size", words_.alias("words")).filter(F.arrays_overlap("words", needed))
 
 
 def strong_words(vector: dict[str, float], least: float) -> set[str]:
@@ -99,67 +97,55 @@ def notices(
     """doc_id, path, and code, score and line of the best notice of each row (NULL if none reaches ``least``).
 
     Every line of a text, every window of adjacent lines that are not blank, and the
-    whole text of a file named like a licence, is compared with each template. A
-    window takes lines until it has as many words as the longest template, so a
-    notice wrapped over lines is seen whole. Its words are those of all its lines. A word weighs ln((1 + rows) / (1 + rows with it)) + 1
-    once per line or window; words of no template weigh as if no row had them. Ties go
-    to the fewest lines, the first line, then the smallest code. Texts without a word that some template
-    needs to reach ``least`` are left unsplit; that loses nothing.
+    whole text of a file named like a licence, is compared with each template by the
+    cosine of their words' weights: occurrences times ln((1 + rows) / (1 + rows with the
+    word)) + 1, for all words, so that a line scores the same in a larger table of like
+    texts. A window takes lines until it has as many words as the longest template, so a
+    notice wrapped over lines is seen whole. Ties go to the fewest lines, the first line,
+    then the smallest code. Texts without a word that some template needs to reach
+    ``least`` are left unsplit; that loses nothing.
     """
-    sets = [(code, _words(text)) for code, text in templates]
+    spark = docs.sparkSession
+    texts = docs.select(
+        F.col(id_col).alias("doc_id"),
+        (F.coalesce(path, F.lit("")) if path is not None else F.coalesce(F.col("path"), F.lit(""))).alias("path"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    )
+    counts = stored(document_counts(texts, "text"))
+    sets = [(code, Counter(_words(text))) for code, text in templates]
     vocabulary = sorted({w for _, own in sets for w in own})
-    rows, counts = document_counts(docs, text_col, vocabulary)
-    unseen = math.log(1 + rows) + 1
-    idf = {w: math.log((1 + rows) / (1 + counts.get(w, 0))) + 1 for w in vocabulary}
+    found = {r.word: r.n for r in counts.filter(F.col("word").isin("", *vocabulary)).collect()}
+    rows = found.get("", 0)
+    idf = {w: math.log((1 + rows) / (1 + found.get(w, 0))) + 1 for w in vocabulary}
     unit = []
     for code, own in sets:
-        norm = math.sqrt(sum(idf[w] ** 2 for w in own))
-        unit.append((code, {w: idf[w] / norm for w in own}))
+        norm = math.sqrt(sum((n * idf[w]) ** 2 for w, n in own.items()))
+        unit.append((code, {w: n * idf[w] / norm for w, n in own.items()}))
     strong = sorted(set().union(*(strong_words(v, least) for _, v in unit)))
-    needed = F.array(*[F.lit(w) for w in strong])
-
-    def literal_map(values: dict[str, float]) -> Column:
-        return F.create_map(*[F.lit(x) for item in values.items() for x in item])
-
-    weight = literal_map(idf)
-    table = F.array(*[F.struct(F.lit(code).alias("code"), literal_map(v).alias("v")) for code, v in unit])
-
-    def weigh(w: Column) -> Column:
-        return F.coalesce(weight[w], F.lit(unseen))
-
-    def compare(unit_: Column) -> Column:
-        norm = F.sqrt(F.aggregate(unit_["words"], F.lit(0.0), lambda s, w: s + weigh(w) * weigh(w)))
-        return F.transform(table, lambda t: F.struct(
-            (-F.round(F.aggregate(unit_["words"], F.lit(0.0), lambda s, w: s + weigh(w) * F.coalesce(t["v"][w], F.lit(0.0))) / norm, 9)).alias("minus"),
-            unit_["size"].alias("size"), unit_["line"].alias("line"), t["code"].alias("code"),
-        ))
-
-    text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct(F.lit(1).alias("size"), i.alias("line"), _distinct_words(line).alias("words")))
-    longest = max((sum(map(bool, re.split(_NOT_WORD, t.lower()))) for _, t in templates), default=0)
-    named = F.element_at(F.split(F.col("path"), "/"), -1).rlike(LICENCE_FILE)
-    whole = F.array(F.struct(F.lit(1).alias("size"), F.lit(0).alias("line"), _distinct_words(text).alias("words")))
-
-    def with_windows(all_: Column) -> Column:
-        strong_lines = F.filter(all_, lambda u: F.arrays_overlap(u["words"], needed))
-        return F.concat(strong_lines, F.flatten(F.transform(strong_lines, lambda u: _windows(all_, u["line"], longest))))
-
-    # An array of one binds the lines, so that they are split once.
-    units = F.flatten(F.transform(F.array(lines), with_windows))
-    likely = F.when(named, F.concat(units, F.filter(whole, lambda u: F.arrays_overlap(u["words"], needed)))).otherwise(units)
-    best = F.array_min(F.flatten(F.transform(likely, compare)))
-    base = docs.select(
-        F.col(id_col).alias("doc_id"),
-        (F.coalesce(path, F.lit("")) if path is not None else F.coalesce(F.col("path"), F.lit(""))).alias("path"),
-        F.col(text_col).alias("text"),
+    needed = F.array(*[F.lit(w) for w in strong]) if strong else F.array().cast("array<string>")
+    longest = max((sum(own.values()) for _, own in sets), default=0)
+
+    # Only texts with a needed word go on; the other rows keep no text.
+    own = stored(texts.withColumn("row", F.monotonically_increasing_id()).withColumn(
+        "text", F.when(F.arrays_overlap(_all_words(F.col("text")), needed), F.col("text"))
+    ))
+    lines = own.filter("text is not null").select("row", F.posexplode(F.split("text", "\n")).alias("line", "said"))
+    windows = _windows(lines.select("row", "line", _all_words(F.col("said")).alias("words")), needed, longest).withColumn("whole", F.lit(False))
+    named = own.filter(F.col("text").isNotNull() & F.element_at(F.split("path", "/"), -1).rlike(LICENCE_FILE))
+    files = named.select("row", F.lit(0).alias("line"), F.lit(1).alias("size"), _all_words(F.col("text")).alias("words"), F.lit(True).alias("whole"))
+    key = ["row", "line", "size", "whole"]
+    held = windows.unionByName(files).select(*key, F.explode("words").alias("word")).groupBy(*key, "word").agg(F.count(F.lit(1)).alias("times"))
+    weight = F.col("times") * (F.log(F.lit(1.0 + rows) / (1 + F.col("n"))) + 1)
+    weighed = stored(held.join(counts, "word").select(*key, "word", weight.alias("weight")))
+    norms = weighed.groupBy(*key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    table = spark.createDataFrame(
+        [(w, k, code, v) for k, (code, vector) in enumerate(unit) for w, v in vector.items()], "word string, template int, code string, part double"
     )
-    scored = base.withColumn("best", F.when(F.arrays_overlap(_distinct_words(text), needed), best))
-    reached = F.col("best.minus") <= -least
-    return scored.select(
-        "doc_id", "path",
-        F.when(reached, F.col("best.code")).alias("code"),
-        F.when(reached, -F.col("best.minus")).alias("score"),
-        F.when(reached, F.col("best.line")).cast("int").alias("line"),
+    dots = weighed.join(F.broadcast(table), "word").groupBy(*key, "template", "code").agg(F.sum(F.col("weight") * F.col("part")).alias("dot"))
+    scored = dots.join(norms, key).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("score") >= least)
+    best = scored.groupBy(F.col("row").alias("b_row")).agg(F.min(F.struct((-F.col("score")).alias("minus"), "size", "line", "code")).alias("best"))
+    return own.join(best, F.col("row") == F.col("b_row"), "left").select(
+        "doc_id", "path", F.col("best.code").alias("code"), (-F.col("best.minus")).alias("score"), F.col("best.line").cast("int").alias("line"),
     )
 
 
@@ -177,8 +163,10 @@ def scan(
     licence. NULL texts and paths count as empty; rows that repeat an id are scanned
     each. An empty table gives an empty result.
 
-    Scale: texts are read twice, once to count the templates' words and once to
-    compare, without a shuffle. Directories are reduced to one row each before they
+    Scale: texts are read twice, once to count words and once to find those that can hold
+    a notice; only lines of these are shuffled. Whole texts count, however long: windows
+    are listed line by line, not in one array. Columns other than those named are not
+    read. Directories are reduced to one row each before they
     meet their ancestors, and files meet directories in an equi-join.
     """
     own = stored(notices(docs, least, id_col, text_col, path, templates).withColumn("parts", F.split("path", "/")))

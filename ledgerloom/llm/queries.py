@@ -131,39 +131,53 @@ def _templates() -> str:
 
 
 def _words(text: str) -> str:
-    return f"list_filter(list_distinct(string_split_regex(lower({text}), '[^a-z0-9]+')), lambda w: w <> '')"
+    return f"list_filter(string_split_regex(lower({text}), '[^a-z0-9]+'), lambda w: w <> '')"
 
 
+#: The words of the longest template.
+_LONGEST = max(len(licences._words(text)) for _, text in licences.TEMPLATES)
+
 SQL["op10_licences"] = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS rid, doc_id, concat_ws('/', source, lang, CAST(doc_id AS VARCHAR)) AS path, coalesce(text, '') AS text
   FROM documents
+), counts AS (
+  SELECT word, count(*) AS n FROM (SELECT unnest(list_distinct({_words('text')})) AS word FROM docs) GROUP BY word
 ), template_words AS (
-  SELECT id, code, unnest({_words('text')}) AS word FROM (VALUES {_templates()}) AS t(id, code, text)
-), found AS (
-  SELECT word, count(*) AS n FROM (SELECT unnest({_words('text')}) AS word FROM docs)
-  WHERE word IN (SELECT word FROM template_words) GROUP BY word
-), weights AS (
-  SELECT word, ln((1 + (SELECT count(*) FROM docs)) / (1 + coalesce(n, 0))) + 1 AS idf
-  FROM (SELECT DISTINCT word FROM template_words) LEFT JOIN found USING (word)
-), template_norms AS (
-  SELECT id, code, sqrt(sum(idf * idf)) AS norm FROM template_words JOIN weights USING (word) GROUP BY ALL
-), lines AS (
+  SELECT id, code, word, count(*) AS times
+  FROM (SELECT id, code, unnest({_words('text')}) AS word FROM (VALUES {_templates()}) AS t(id, code, text)) GROUP BY ALL
+), template_weights AS (
+  SELECT id, code, word, times * (ln((1 + (SELECT count(*) FROM docs)) / (1 + coalesce(n, 0))) + 1) AS weight
+  FROM template_words LEFT JOIN counts USING (word)
+), template_units AS (
+  SELECT id, code, word, weight / sqrt(sum(weight * weight) OVER (PARTITION BY id)) AS part FROM template_weights
+), split AS (
   SELECT rid, unnest(list_transform(string_split(text, chr(10)), lambda x, i: {{'line': i - 1, 'text': x}}), recursive := true) FROM docs
-), line_words AS (
-  SELECT rid, line, unnest({_words('text')}) AS word FROM lines
+), lines AS (
+  SELECT rid, line, {_words('text')} AS words FROM split
+), placed AS (
+  SELECT rid, line, words, len(words) AS n, sum(len(words)) OVER so_far - len(words) AS before,
+         count(CASE WHEN len(words) = 0 THEN 1 END) OVER so_far AS blanks
+  FROM lines WINDOW so_far AS (PARTITION BY rid ORDER BY line)
+), windows AS (  -- runs of lines with words; without its last line a run is shorter than the longest template
+  SELECT a.rid, a.line, b.line - a.line + 1 AS size FROM placed a JOIN placed b
+    ON a.rid = b.rid AND a.blanks = b.blanks AND b.line BETWEEN a.line AND a.line + {_LONGEST} AND a.n > 0 AND b.n > 0
+       AND (b.line = a.line OR b.before - a.before < {_LONGEST})
 ), weighed AS (
-  SELECT rid, line, word, coalesce(idf, ln((SELECT 1 + count(*) FROM docs)) + 1) AS idf FROM line_words LEFT JOIN weights USING (word)
-), line_norms AS (
-  SELECT rid, line, sqrt(sum(idf * idf)) AS norm FROM weighed GROUP BY ALL
+  SELECT rid, line, size, word, times * (ln((1 + (SELECT count(*) FROM docs)) / (1 + n)) + 1) AS weight
+  FROM (SELECT rid, line, size, word, count(*) AS times
+        FROM (SELECT w.rid, w.line, size, unnest(words) AS word FROM windows w
+              JOIN placed p ON p.rid = w.rid AND p.line BETWEEN w.line AND w.line + size - 1) GROUP BY ALL)
+  JOIN counts USING (word)
+), norms AS (
+  SELECT rid, line, size, sqrt(sum(weight * weight)) AS norm FROM weighed GROUP BY ALL
 ), dots AS (
-  SELECT rid, line, id, sum(idf * idf) AS dot FROM weighed JOIN template_words USING (word) GROUP BY ALL
+  SELECT rid, line, size, id, code, sum(weight * part) AS dot FROM weighed JOIN template_units USING (word) GROUP BY ALL
 ), scored AS (
-  SELECT d.rid, d.line, t.code, round(d.dot / t.norm / l.norm, 9) AS score
-  FROM dots d JOIN template_norms t USING (id) JOIN line_norms l ON l.rid = d.rid AND l.line = d.line
+  SELECT rid, line, size, code, round(dot / norm, 9) AS score FROM dots JOIN norms USING (rid, line, size)
 ), best AS (
   SELECT * FROM scored WHERE score >= 0.6
-  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, line, code) = 1
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, size, line, code) = 1
 ), own AS (
   SELECT docs.rid, doc_id, path, code, score, line,
          CASE WHEN contains(path, '/') THEN regexp_replace(path, '/[^/]*$', '') ELSE '' END AS directory

@@ -2,48 +2,52 @@ from __future__ import annotations
 
 import math
 import re
+import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import licences
+from ledgerloom.llm.queries import QUERIES, SQL
+from tests.compare import connect, difference, spark_rows, sql_rows
+from tests.conftest import SF_DIR
 
 MIT = dict(licences.TEMPLATES)["MIT"]
 
 
 def words(text):
-    return [w for w in dict.fromkeys(re.split("[^a-z0-9]+", text.lower())) if w]
+    return [w for w in re.split("[^a-z0-9]+", text.lower()) if w]
 
 
 def by_definition(rows, least):
-    """(code, score, line) of each row, comparing every line with every template."""
-    df = {}
-    for _, text, _ in rows:
-        for w in set(words(text or "")):
-            df[w] = df.get(w, 0) + 1
-    known = {w for _, t in licences.TEMPLATES for w in words(t)}
+    """(code, score, line) of each row, comparing every line and window with every template."""
+    df = Counter(w for _, text, _ in rows for w in set(words(text or "")))
+    longest = max(len(words(t)) for _, t in licences.TEMPLATES)
 
-    def idf(w):
-        return math.log((1 + len(rows)) / (1 + (df.get(w, 0) if w in known else 0))) + 1
+    def vector(text):
+        return {w: n * (math.log((1 + len(rows)) / (1 + df[w])) + 1) for w, n in Counter(words(text)).items()}
 
-    def norm(ws):
-        return math.sqrt(sum(idf(w) ** 2 for w in ws))
+    def cosine(a, b):
+        norms = [math.sqrt(sum(x * x for x in v.values())) for v in (a, b)]
+        return sum(x * b.get(w, 0) for w, x in a.items()) / norms[0] / norms[1]
 
     out = []
     for _, text, path in rows:
-        units = list(enumerate((text or "").split("\n")))
+        lines, units = (text or "").split("\n"), []
+        for i in range(len(lines)):
+            for j in range(i, len(lines)):
+                if not words(lines[j]) or (j > i and len(words(" ".join(lines[i:j]))) >= longest):
+                    break
+                units.append((j - i + 1, i, " ".join(lines[i:j + 1])))
         if re.match(licences.LICENCE_FILE.replace("(?i)", ""), (path or "").split("/")[-1], re.IGNORECASE):
-            units.append((0, text or ""))
-        found = []
-        for line, unit in units:
-            own = words(unit)
-            for code, template in licences.TEMPLATES:
-                other = words(template)
-                dot = sum(idf(w) ** 2 for w in own if w in other)
-                if own and dot / norm(own) / norm(other) >= least:
-                    found.append((-round(dot / norm(own) / norm(other), 9), line, code))
+            units.append((1, 0, text or ""))
+        found = [
+            (-round(score, 9), size, line, code) for size, line, unit in units if words(unit)
+            for code, template in licences.TEMPLATES if (score := cosine(vector(unit), vector(template))) >= least
+        ]
         best = min(found, default=None)
-        out.append((best[2], -best[0], best[1]) if best else (None, None, None))
+        out.append((best[3], -best[0], best[2]) if best else (None, None, None))
     return out
 
 
@@ -104,3 +108,30 @@ def test_wrapped_headers(spark, prose, width, mark):
     got = {r.doc_id: (r.code, r.score, r.line) for r in licences.notices(files).collect()}
     assert got[0] == (None, None, None)
     assert [got[k] for k in range(1, len(rows))] == [(code, pytest.approx(1, abs=1e-6), 2) for code, _ in licences.TEMPLATES]
+
+
+def test_the_size_of_the_table_does_not_decide(spark, prose):
+    """A line with common words of the corpus scores the same among few and many like texts."""
+    def score(n):
+        rows = [(i, " ".join(["but was", *prose(12, i % 97)]) if i % 3 else " ".join(prose(14, i % 97)), "s/x") for i in range(n)]
+        rows += [(-i, "released by us all\nlicensed", "s/y") for i in range(1, n // 50)]
+        files = spark.createDataFrame([(10**6, "but was licensed under the mit license", "s/z"), *rows], "doc_id long, text string, path string")
+        return licences.notices(files).filter("doc_id = 1000000").first()
+
+    few, many = score(200), score(8000)
+    assert few.code == many.code == "MIT" and abs(few.score - many.score) < 0.03
+
+
+def test_a_very_long_list_of_notices(spark):
+    """20,000 adjacent lines that all hold a notice."""
+    text = "\n".join(f"part {i} is licensed under the mit license" for i in range(20_000))
+    files = spark.createDataFrame([(1, text, "s/x"), (2, "nothing here", "s/y")], "doc_id long, text string, path string")
+    start = time.perf_counter()
+    got = {r.doc_id: r.code for r in licences.notices(files).collect()}
+    assert got == {1: "MIT", 2: None} and time.perf_counter() - start < 90
+
+
+def test_query_like_its_sql(spark):
+    names, rows = spark_rows(QUERIES["op10_licences"](spark, SF_DIR))
+    sql_names, want = sql_rows(connect(SF_DIR), SQL["op10_licences"])
+    assert names == sql_names and rows == want, difference(rows, want)
