@@ -54,17 +54,22 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``.
 
     What a stage keeps is written to the warehouse folder, which a cluster shares, and
-    removed once the next stage is written; the last one's rows stay for the caller.
+    removed once the next stage is written; the last one's rows stay for the caller. If a
+    stage fails nothing stays.
     """
     root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_pipeline/{uuid.uuid4().hex}"
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
-    for name, stage in STAGES:
-        path = f"{root}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-        if before:
-            _remove(spark, before)
-        before = path
+    try:
+        for name, stage in STAGES:
+            path = f"{root}/{name}"
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+            if before:
+                _remove(spark, before)
+            before = path
+    except BaseException:
+        _remove(spark, root)
+        raise
     return docs
 
 
