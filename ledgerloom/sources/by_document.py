@@ -58,7 +58,8 @@ def store_by_document(df: DataFrame, path: str, buckets: int, partition_by: tupl
     """Replace the table at ``path`` by the rows of ``df``, with the document key, in buckets.
 
     Rows are first brought together by key, in parts of even size: a hot document
-    is written by several tasks, into several files of its bucket.
+    is written by several tasks, into several files of its bucket.  ``df`` must not read
+    the table it replaces.
     """
     spark = df.sparkSession
     keyed = with_document_key(df)
