@@ -44,6 +44,8 @@ class NearDup:
 BLOCK = 1024
 #: Members that are sent to one copy of a text they are compared with.
 FAN = 256
+#: Rows and numbers in their arrays that a task holds before it hands them on.
+MOST_HELD = 200_000
 
 _SKETCH = "doc_id long, text_key long, n_shingles long, h1 long, h2 long, halves array<long>, sketch binary"
 
@@ -84,21 +86,21 @@ def sketches(docs: DataFrame, p: NearDup, id_col: str = "doc_id", text_col: str
 
 
 def _members(classes: DataFrame, p: NearDup) -> DataFrame:
-    """(node, key) for each class and every table in which another class can share its key.
+    """(node, least, key) for each class and every table in which another class can share its key.
 
     A key of a table pairs a half key of each collection, so it can be shared only if
     both halves are. Half keys are counted first, ``2 * half_keys`` rows for a class, and
     only shared ones are paired: a class that shares none has no row at all.
     """
-    halves = classes.select("node", F.posexplode("halves").alias("place", "half")).select(
-        "node", (F.col("place") < p.half_keys).alias("first"), F.xxhash64("place", "half").alias("half")
+    halves = classes.select("node", "least", F.posexplode("halves").alias("place", "half")).select(
+        "node", "least", (F.col("place") < p.half_keys).alias("first"), F.xxhash64("place", "half").alias("half")
     )
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("uses")).filter("uses > 1").select("half")
-    kept = halves.join(shared, "half").groupBy("node").agg(
+    kept = halves.join(shared, "half").groupBy("node", "least").agg(
         *(F.collect_list(F.when(F.col("first") == side, F.col("half"))).alias(name) for name, side in (("a", True), ("b", False)))
     )
     pair = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x, y))))
-    return kept.select("node", F.explode(pair).alias("key"))
+    return kept.select("node", "least", F.explode(pair).alias("key"))
 
 
 def _similar(p: NearDup):
@@ -211,7 +213,7 @@ def _left_over(shared: DataFrame, classes: DataFrame, labels: DataFrame, texts:
     """
     # With two members the only pair has been compared.
     members = shared.filter("n > 2").join(labels, F.col("node") == F.col("l_node"), "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")
+        "key", "node", "least", F.coalesce("component", "node").alias("component")
     )
     found: list[DataFrame] = []
     for _ in range(ROUNDS):
@@ -223,7 +225,7 @@ def _left_over(shared: DataFrame, classes: DataFrame, labels: DataFrame, texts:
         ok = 100 * np.minimum(n[k + 1:], n[k]) >= p.percent * np.maximum(n[k + 1:], n[k])
         return ok & ((x[k + 1:] == x[k]).sum(axis=1) >= p.least_equal)
 
-    sketched = _blocks(members, ["key"]).join(classes.select(F.col("node").alias("c_node"), "n_shingles", "sketch"), F.col("node") == F.col("c_node"))
+    sketched = _blocks(members.drop("least"), ["key"]).join(classes.select(F.col("node").alias("c_node"), "n_shingles", "sketch"), F.col("node") == F.col("c_node"))
     sketched = sketched.drop("c_node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     found.append(_met(sketched, 3, alike))
     return reduce(DataFrame.unionByName, found).distinct()
@@ -232,7 +234,7 @@ def _left_over(shared: DataFrame, classes: DataFrame, labels: DataFrame, texts:
 def _round(members: DataFrame, classes: DataFrame, texts: DataFrame, p: NearDup) -> tuple[DataFrame, DataFrame]:
     """The members far from the smallest one of their key, and pairs among those near it."""
     keys = members.groupBy("key").agg(
-        F.min(F.struct("node", "component")).alias("low"), F.min("component").alias("x"), F.max("component").alias("y")
+        F.min(F.struct("least", "node", "component")).alias("low"), F.min("component").alias("x"), F.max("component").alias("y")
     ).filter("x != y")
     keys = stored(keys.select("key", F.col("low.node").alias("low"), F.col("low.component").alias("low_component")))
     hits = stored(members.join(bounded(keys, keys.count()), "key").filter("node != low"))
@@ -257,7 +259,7 @@ def _round(members: DataFrame, classes: DataFrame, texts: DataFrame, p: NearDup)
         near, far = 100 * both >= (p.percent - 35) * union, 100 * both < 65 * union
         added = own[~np.isin(own, base, assume_unique=True)] if near else own[:0]
         lacking = base[~np.isin(base, own, assume_unique=True)] if near else own[:0]
-        return a, b, near, far, len(own), len(base), added.view(np.int64).tolist(), lacking.view(np.int64).tolist()
+        return a, b, near, far, len(own), len(base), added.view(np.int64), lacking.view(np.int64)
 
     ids = pa.list_(pa.int64())
     profiles = stored(_beside(
@@ -272,7 +274,7 @@ def _round(members: DataFrame, classes: DataFrame, texts: DataFrame, p: NearDup)
     lows = lows.select(F.col("b").alias("a"), "b", "component", F.col("of").alias("n"), "of", none.alias("added"), none.alias("lacking"))
     close = _by_differences(near.unionByName(lows), p)
     distant = seen.filter("not close").select("a", "b").unionByName(profiles.filter("far").select("a", "b"))
-    far = hits.join(distant, (F.col("node") == F.col("a")) & (F.col("low") == F.col("b"))).select("key", "node", "component")
+    far = hits.join(distant, (F.col("node") == F.col("a")) & (F.col("low") == F.col("b"))).select("key", "node", "least", "component")
     return far, close
 
 
@@ -374,9 +376,9 @@ def _beside(
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(by_column, columns, strict=True)], [c for c, _ in columns])
 
     def stream(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, base = None, None
+        at, base, size = None, None, 0
+        found: dict[tuple[int, int], tuple] = {}
         for part in parts:
-            found: dict[tuple[int, int], tuple] = {}
             for b, fan, turn, node, extra, h1, h2, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 own = shingle_set(text, p.words)
                 # A document that repeats an id has several texts; its class tells which is meant.
@@ -386,7 +388,11 @@ def _beside(
                     at, base = (b, fan), own
                 elif at == (b, fan) and (row := visit(node, b, own, base, extra)) is not None:
                     found[node, b] = row
-            yield batch(list(found.values()))
+                    size += 1 + sum(len(x) for x in row if isinstance(x, np.ndarray))
+                    if size > MOST_HELD:
+                        yield batch(list(found.values()))
+                        found, size = {}, 0
+        yield batch(list(found.values()))
 
     python_workers(rows.sparkSession)
     return rows.mapInArrow(stream, schema)
@@ -434,7 +440,9 @@ def near_duplicates(
     )).withColumn("node", F.monotonically_increasing_id())
     texts = docs.select(F.col(id_col).cast("long").alias("t_id"), F.col(text_col).alias("text"))
     members = stored(_members(classes, p))
-    buckets = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low")).filter("n > 1"))
+    # The one of the smallest id is often the text of which the others are copies.
+    buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("least", "node")).alias("low"))
+    buckets = stored(buckets.filter("n > 1").select("key", "n", F.col("low.node").alias("low")))
     hits = stored(members.join(bounded(buckets, buckets.count()), "key"))
     release(members)
     first = stored(_first_pairs(hits, classes, p))
