@@ -18,6 +18,9 @@ class Forest:
     """Trees, rows of a leaf, the part of a node on each side of a split that goes to both
     children, and the rows on which splits are fitted (``fit_rows`` at most; every row is indexed).
     At most as many rows are centres of the cells of large components.
+
+    Levels beyond those that ``fit_rows`` can fit are fitted in Spark, ``step`` at a time, each
+    node on a sample of its own rows, so leaves stay near ``leaf_rows`` at every size.
     """
 
     trees: int = 8
@@ -26,6 +29,8 @@ class Forest:
     fit_rows: int = 20_000
     #: Rows of a block when a leaf or a cell is compared.
     block: int = 2_048
+    #: Levels of a deeper part of a tree; its bounds are 2 * (2^step - 1) numbers a node.
+    step: int = 6
     seed: int = 23
 
 
@@ -48,46 +53,67 @@ class Fitted:
     def leaves(self, rows: np.ndarray) -> list[list[int]]:
         """The leaves of every (unit) row over all trees, as numbers."""
         out: list[list[int]] = [[] for _ in range(len(rows))]
-        trees, depth, width = self.directions.shape
-        for t in range(trees):
-            position = rows @ self.directions[t, :, :rows.shape[1]].T
-            row, node = np.arange(len(rows)), np.zeros(len(rows), np.int64)
-            for level in range(depth):
-                at = position[row, level]
-                left, right = at <= self.upper[t][level][node], at >= self.lower[t][level][node]
-                row, node = np.concatenate([row[left], row[right]]), np.concatenate([2 * node[left], 2 * node[right] + 1])
-            for r, n in zip(row.tolist(), ((t << depth) + node).tolist(), strict=True):
+        for t in range(len(self.directions)):
+            row, node = descend(rows @ self.directions[t, :, :rows.shape[1]].T, self.lower[t], self.upper[t])
+            for r, n in zip(row.tolist(), ((t << self.depth) + node).tolist(), strict=True):
                 out[r].append(n)
         return out
 
 
+def descend(position: np.ndarray, lower: list[np.ndarray], upper: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, leaf) of every row, given its position along the direction of each level."""
+    row, node = np.arange(len(position)), np.zeros(len(position), np.int64)
+    for level in range(len(lower)):
+        at = position[row, level]
+        left, right = at <= upper[level][node], at >= lower[level][node]
+        row, node = np.concatenate([row[left], row[right]]), np.concatenate([2 * node[left], 2 * node[right] + 1])
+    return row, node
+
+
+def split(position: np.ndarray, spill: float) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The bounds of every node of a tree whose nodes split at the median of their rows.
+
+    A node without rows splits like the root.
+    """
+    node = np.zeros(len(position), np.int64)
+    lower, upper = [], []
+    for level in range(position.shape[1]):
+        at = position[:, level]
+        low, high, middle = (np.zeros(1 << level) for _ in range(3))
+        order = np.argsort(node, kind="stable")
+        cuts = np.searchsorted(node[order], np.arange((1 << level) + 1))
+        for n in range(1 << level):
+            own = at[order[cuts[n]:cuts[n + 1]]]
+            own = own if len(own) else at
+            low[n], middle[n], high[n] = np.quantile(own, [0.5 - spill, 0.5, 0.5 + spill])
+        node = 2 * node + (at > middle[node])
+        lower.append(low)
+        upper.append(high)
+    return lower, upper
+
+
+def levels(rows: int, p: Forest) -> int:
+    """The levels that ``rows`` need for leaves of ``leaf_rows``."""
+    return int(np.ceil(np.log2(max(1, rows / p.leaf_rows))))
+
+
+def deeper(seed: int, tree: int, first: int, depth: int, width: int) -> np.ndarray:
+    """The directions of a tree's ``depth`` levels from level ``first`` on."""
+    return np.random.default_rng([seed, tree, first]).standard_normal((depth, width))
+
+
 def fit(sample: np.ndarray, rows: int, p: Forest) -> Fitted:
     """Split at the median of the sample rows in a node, along a random direction for each level.
 
     A tree is as deep as ``rows`` need for leaves of ``leaf_rows``, while a node has
-    sample rows to split; a node without any splits like its parent.
+    four sample rows to split; deeper levels are those of ``_deepened``.
     """
     rng = np.random.default_rng(p.seed)
-    width = sample.shape[1]
-    want = int(np.ceil(np.log2(max(1, rows / p.leaf_rows))))
-    depth = max(0, min(want, int(np.log2(max(1, len(sample) / 4)))))
-    directions = rng.standard_normal((p.trees, depth, width))
+    depth = max(0, min(levels(rows, p), int(np.log2(max(1, len(sample) / 4)))))
+    directions = rng.standard_normal((p.trees, depth, sample.shape[1]))
     lower, upper = [], []
     for t in range(p.trees):
-        node = np.zeros(len(sample), np.int64)
-        lows, highs = [], []
-        for level in range(depth):
-            at = sample @ directions[t, level]
-            low, high, middle = (np.zeros(1 << level) for _ in range(3))
-            order = np.argsort(node, kind="stable")
-            cuts = np.searchsorted(node[order], np.arange((1 << level) + 1))
-            for n in range(1 << level):
-                own = at[order[cuts[n]:cuts[n + 1]]]
-                own = own if len(own) else at
-                low[n], middle[n], high[n] = np.quantile(own, [0.5 - p.spill, 0.5, 0.5 + p.spill])
-            node = 2 * node + (at > middle[node])
-            lows.append(low)
-            highs.append(high)
+        lows, highs = split(sample @ directions[t].T, p.spill)
         lower.append(lows)
         upper.append(highs)
     return Fitted(directions, lower, upper)
@@ -168,7 +194,8 @@ def _fit(classes: DataFrame, n: int, p: Forest) -> Fitted:
 
 def _in_leaves(classes: DataFrame, n: int, least: float, p: Forest) -> DataFrame:
     """(node, low): what the links found in a leaf connect, as links to one node of each connected part."""
-    shared = classes.sparkSession.sparkContext.broadcast(_fit(classes, n, p))
+    first = _fit(classes, n, p)
+    shared = classes.sparkSession.sparkContext.broadcast(first)
 
     def place(part: pa.RecordBatch) -> pa.RecordBatch:
         vectors = part.column("vector").to_pylist()
@@ -180,13 +207,18 @@ def _in_leaves(classes: DataFrame, n: int, least: float, p: Forest) -> DataFrame
         for width, at in by_width.items():
             own = _unit([vectors[i] for i in at])[:, :fitted.directions.shape[2]]
             for i, found in zip(at, fitted.leaves(own), strict=True):
-                leaves[i] = [(x << 16) + min(width, 65535) for x in sorted(found)]
+                leaves[i] = [_leaf_number(x, width) for x in sorted(found)]
         return pa.RecordBatch.from_arrays(
             [part.column("node"), part.column("vector"), pa.array(leaves, pa.list_(pa.int64()))], ["node", "vector", "leaves"]
         )
 
     kind = classes.schema["vector"].dataType.simpleString()
     placed = map_batches(classes.select("node", "vector"), place, f"node long, vector {kind}, leaves array<long>")
+    at = first.depth
+    while at < levels(n, p):
+        depth = min(p.step, levels(n, p) - at)
+        placed = _deepened(placed, at, depth, p)
+        at += depth
     sizes = stored(placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(
         F.ceil(F.count(F.lit(1)) / p.block).cast("int").alias("blocks")
     ))
@@ -210,6 +242,75 @@ def _in_leaves(classes: DataFrame, n: int, least: float, p: Forest) -> DataFrame
     return _by_group(dealt, connected, ["node", "low"])
 
 
+def _leaf_number(leaf: int, width: int) -> int:
+    """A leaf as a number that also tells vectors of different lengths apart."""
+    return (leaf << 16) + min(width, 65535)
+
+
+def _deepened(placed: DataFrame, at: int, depth: int, p: Forest) -> DataFrame:
+    """``placed`` with every leaf of level ``at`` split by ``depth`` levels more.
+
+    A leaf is fitted on a sample of its own rows, about four for each of its new
+    leaves as in ``fit``, drawn by the hash of a row and gathered in Spark: neither the
+    driver nor a task holds more than a leaf's sample. A leaf with few rows is left
+    whole. The bounds join the rows by leaf, and Spark chooses how by their size.
+    """
+    want = 4 << depth
+    kind = placed.schema["vector"].dataType.simpleString()
+    rows = stored(placed.withColumn("leaf", F.explode("leaves")).select("leaf", "node", "vector"))
+    sizes = rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > p.leaf_rows)
+    drawn = F.pmod(F.xxhash64("node", "leaf", F.lit(p.seed + at)), F.lit(1 << 30)) < F.lit(float(want) * (1 << 30)) / F.col("n")
+    sample = rows.join(sizes, "leaf").filter(drawn).select("leaf", "vector").repartition("leaf").sortWithinPartitions("leaf")
+
+    def directions(leaf: int, width: int) -> np.ndarray:
+        return deeper(p.seed, (leaf >> 16) >> at, at, depth, width)
+
+    def fitted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def bounds() -> pa.RecordBatch:
+            own = [v for _, v in held if len(v) == len(held[0][1])] if held else []
+            found = split(_unit(own) @ directions(held[0][0], len(own[0])).T, p.spill) if own else ()
+            columns = [[held[0][0]]] + [[np.concatenate(side).tolist()] for side in found] if own else [[], [], []]
+            kinds = (pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["leaf", "lower", "upper"])
+
+        for part in parts:
+            for row in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                if held and held[0][0] != row[0]:
+                    yield bounds()
+                    held = []
+                held.append(row)
+        yield bounds()
+
+    def place(part: pa.RecordBatch) -> pa.RecordBatch:
+        leaf, vectors, lower, upper = (part.column(c).to_pylist() for c in ("leaf", "vector", "lower", "upper"))
+        out: list[list[int]] = [[] for _ in leaf]
+        together: dict[tuple[int, int], list[int]] = {}
+        for i, (x, v) in enumerate(zip(leaf, vectors, strict=True)):
+            together.setdefault((x, len(v)), []).append(i)
+        for (x, width), own in together.items():
+            number, tail = x >> 16, x & 65535
+            if lower[own[0]] is None:
+                for i in own:
+                    out[i].append(((number << depth) << 16) + tail)
+                continue
+            low, high = (_by_level(side[own[0]], depth) for side in (lower, upper))
+            row, node = descend(_unit([vectors[i] for i in own]) @ directions(x, width).T, low, high)
+            for r, to in zip(row.tolist(), node.tolist(), strict=True):
+                out[own[r]].append((((number << depth) + to) << 16) + tail)
+        return pa.RecordBatch.from_arrays([part.column("node"), part.column("vector"), pa.array(out, pa.list_(pa.int64()))], ["node", "vector", "leaves"])
+
+    python_workers(rows.sparkSession)
+    bounds_of = sample.mapInArrow(fitted, "leaf long, lower array<double>, upper array<double>")
+    return map_batches(rows.join(bounds_of, "leaf", "left"), place, f"node long, vector {kind}, leaves array<long>")
+
+
+def _by_level(bounds: list[float], depth: int) -> list[np.ndarray]:
+    """A tree's bounds, listed from the root on, as an array for each level."""
+    return [np.asarray(bounds[(1 << level) - 1:(2 << level) - 1]) for level in range(depth)]
+
+
 def _in_components(members: DataFrame, least: float, p: Forest) -> DataFrame:
     """(node, links): the rows linked with each member of a component, in parts to be summed.
 
@@ -230,10 +331,7 @@ def _in_components(members: DataFrame, least: float, p: Forest) -> DataFrame:
     centres: dict[int, list] = {}
     for r in sorted(taken.collect(), key=lambda r: r.node) if rows else []:
         centres.setdefault(r.component, []).append(r.vector)
-    fixed = {}
-    for component, vectors in centres.items():
-        unit = _unit(vectors)
-        fixed[component] = unit, np.sqrt(np.maximum(0, 2 - 2 * unit @ unit.T))
+    fixed = {component: _unit(vectors) for component, vectors in centres.items()}
     shared = members.sparkSession.sparkContext.broadcast(fixed)
     reach = float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-9
 
@@ -245,10 +343,11 @@ def _in_components(members: DataFrame, least: float, p: Forest) -> DataFrame:
             if component in shared.value:
                 at.setdefault(component, []).append(i)
         for component, own in at.items():
-            unit, apart = shared.value[component]
+            unit = shared.value[component]
             near = _unit([vectors[i] for i in own]) @ unit.T
             home = near.argmax(axis=1)
-            guest = near.max(axis=1, keepdims=True) - near <= reach * apart[home] + 1e-9
+            apart = np.sqrt(np.maximum(0, 2 - 2 * unit[home] @ unit.T))
+            guest = near.max(axis=1, keepdims=True) - near <= reach * apart + 1e-9
             guest &= np.arange(len(unit)) > home[:, None]
             for i, first, more in zip(own, home.tolist(), guest, strict=True):
                 cells[i] = [first, *np.flatnonzero(more).tolist()]

@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from ledgerloom.llm import vectors
 from ledgerloom.llm.vectors import Forest, near_vectors
 from tests.llm.test_components import brute
 
@@ -31,7 +32,9 @@ def expected(rows):
     return sorted((str(i), links.get(k, 0), str(part.get(i, i))) for k, (i, _) in enumerate(rows))
 
 
-@pytest.mark.parametrize("forest", [Forest(), Forest(leaf_rows=40, block=16, spill=0.2, trees=10)])
+@pytest.mark.parametrize(
+    "forest", [Forest(), Forest(leaf_rows=40, block=16, spill=0.2, trees=10), Forest(fit_rows=24, leaf_rows=20, step=2, spill=0.15, trees=10)]
+)
 def test_like_brute_force(spark, rows, forest):
     table = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<float>, node long, copies long")
     got = near_vectors(table, params=forest).collect()
@@ -80,3 +83,25 @@ def test_a_long_chain_is_one_component(spark):
     got = near_vectors(table, params=Forest(leaf_rows=512, block=50)).collect()
     assert {r.component_id for r in got} == {0}
     assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in got) == expected(rows)
+
+
+def test_leaves_stay_small_beyond_the_sample(spark, monkeypatch):
+    """Levels below those of the fitted sample keep leaves near ``leaf_rows`` and near copies together."""
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((3000, 64))
+    twin = base + 0.2 * rng.standard_normal(base.shape)
+    v = np.concatenate([base, twin]).astype("f4")
+    unit = v.astype("f8") / np.linalg.norm(v.astype("f8"), axis=1, keepdims=True)
+    close = np.flatnonzero((unit[:3000] * unit[3000:]).sum(axis=1) >= 0.95)
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    sizes = {}
+    for name, forest in {"one": Forest(fit_rows=200, leaf_rows=16), "many": Forest(fit_rows=20_000, leaf_rows=16)}.items():
+        seen, by_group = [], vectors._by_group
+        monkeypatch.setattr(vectors, "_by_group", lambda dealt, run, names: seen.append(dealt) or by_group(dealt, run, names))
+        got = {r.vec_id: r.component_id for r in near_vectors(table, params=forest).collect()}
+        monkeypatch.undo()
+        sizes[name] = [r["count"] for r in seen[0].groupBy("leaf").count().collect()]
+        found = sum(got[i] == got[i + 3000] for i in close.tolist())
+        assert found >= 0.97 * len(close) > 0
+    assert np.quantile(sizes["one"], 0.99) < 4 * np.quantile(sizes["many"], 0.99)
+    assert max(sizes["one"]) < 300
