@@ -46,7 +46,13 @@ def best_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> li
 
 
 def histogram(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The largest length and the number of rows of every bin; the bins are bounded, not the rows."""
+    """The largest length and the number of rows of every bin; the bins are bounded, not the rows.
+
+    A bin above ``EXACT`` is at most a part 2 / EXACT of its lengths wide. Boundaries are
+    largest lengths of bins, so the best ones of all lengths, each raised to the end of its
+    bin, are among those that ``best_boundaries`` compares: what it chooses pads all rows
+    to at most 1 + 2 / EXACT times the total of the exact optimum.
+    """
     n = F.col("n_tokens")
     step = F.pow(F.lit(2.0), F.greatest(F.lit(0), F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double"))) - int(np.log2(EXACT)) + 1))
     bins = rows.groupBy(F.floor(n / step).alias("at"), step.alias("step")).agg(
@@ -65,13 +71,16 @@ def pack(
 ) -> DataFrame:
     """doc_id, n_tokens, bucket, padded, padding, batch and slot of every row.
 
-    ``length`` is the size in tokens; without it, words count. The boundaries of the
-    buckets minimise the padding over all rows. A batch holds rows of one bucket, padded
+    ``length`` is the size in tokens, as ``count_tokens`` gives it; without it, words
+    count. The boundaries of the buckets minimise the padding over all rows: exactly for
+    lengths up to ``EXACT``, beyond it within the bound stated at ``histogram``. A batch holds rows of one bucket, padded
     to its boundary, up to ``budget`` tokens in all; a row longer than the budget has a
     batch of its own. Batches count from 0 in a bucket, slots from 0 in a batch; all
     batches of a bucket but the last are full. No row is cut or left out: NULL and
     empty texts have length 0 and a place like others, as has every row that repeats
-    an id. An empty table gives an empty result.
+    an id. Rows of one length may take any place among each other; reruns over the same
+    files agree. Columns with the names of the result do not clash: only the id, the text
+    and ``length`` are read. An empty table gives an empty result.
 
     Scale: the histogram is combined before the shuffle and bounded; places in a bucket
     are numbered by input partition, so a bucket with most rows is in no single task.

@@ -14,9 +14,17 @@ from ledgerloom.llm.common import map_batches
 #: Bytes of a piece of a long text, and of the pieces encoded at once.
 PIECE_BYTES = 64_000
 BATCH_BYTES = 1_000_000
-#: Byte-level BPE never merges over the place before a single space between two
-#: ASCII letters or digits: a word starts there with its space.
-_SAFE = re.compile(r"(?<=[0-9A-Za-z]) (?=[0-9A-Za-z])")
+#: Byte-level BPE cuts a text into words first, by classes of characters: letters, digits and
+#: other signs, each with at most one space before them. It never merges over the place before
+#: white space that follows something else, nor where one class ends and another begins
+#: (but for the apostrophe, which may belong to the letters after it). The classes hold
+#: characters that every version of Unicode puts there: ASCII, kana, Chinese, Cyrillic,
+#: Greek, and Thai, whose vowel signs above and below count as other signs.
+_LETTER = "A-Za-zА-яΑ-Ρα-ωぁ-ゖァ-ヺ一-龥\u0e01-\u0e30\u0e32\u0e33\u0e40-\u0e46"
+_OTHER = "!-&(-/:-@[-`{-~、。「」！，：；？\u0e31\u0e34-\u0e3a\u0e47-\u0e4e"
+_SAFE = re.compile(
+    rf"(?<=\S)(?=[ \t\r\n])|(?<=[{_LETTER}])(?=[0-9{_OTHER}])|(?<=[0-9])(?=[{_LETTER}{_OTHER}])|(?<=[{_OTHER}])(?=[0-9{_LETTER}])"
+)
 
 
 @lru_cache(maxsize=4)
@@ -33,23 +41,43 @@ def _tokenizer(path: str):
     return loaded
 
 
-def _splits(path: str) -> bool:
-    """Whether texts may be split: byte-level BPE whose words start with their space."""
+def _splits(path: str) -> tuple[str, ...] | None:
+    """The texts of added tokens if texts may be split: byte-level BPE whose words start with their space."""
     if path.endswith(".model"):
-        return False
+        return None
     import json
 
     step = json.loads(_tokenizer(path).to_str())
-    first = step.get("pre_tokenizer") or {}
-    return step.get("normalizer") is None and first.get("type") == "ByteLevel" and bool(first.get("use_regex", True))
+    first, added = step.get("pre_tokenizer") or {}, step.get("added_tokens") or []
+    fits = step.get("normalizer") is None and first.get("type") == "ByteLevel" and bool(first.get("use_regex", True))
+    # Tokens that take in what stands beside them have no bound to look for them.
+    plain = not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added)
+    return tuple(t["content"] for t in added) if fits and plain and not first.get("add_prefix_space") else None
 
 
-def pieces(text: str, most: int = PIECE_BYTES) -> Iterator[str]:
-    """Cut a text at safe places into pieces of about ``most`` characters; longer where none is near."""
+def _bytes(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
+
+
+def pieces(text: str, most: int = PIECE_BYTES, added: tuple[str, ...] = ()) -> Iterator[str]:
+    """Cut a text at safe places outside ``added`` tokens into pieces of ``most`` bytes or little more.
+
+    A piece is longer only where no safe place is near, as in one word of that length.
+    """
+    around = max((len(t) for t in added), default=1) - 1
     start = 0
-    while len(text) - start > most:
-        cut = _SAFE.search(text, start + most)
-        if cut is None:
+    while len(text) - start > most // 4:
+        part = text[start:start + most]
+        if not part.isascii():
+            part = part.encode("utf-8", "surrogatepass")[:most].decode("utf-8", "ignore")
+        if start + len(part) >= len(text):
+            break
+        at = start + max(1, len(part))
+        for cut in _SAFE.finditer(text, at):
+            beside = text[max(0, cut.start() - around):cut.start() + around]
+            if not any(t in beside for t in added):
+                break
+        else:
             break
         yield text[start:cut.start()]
         start = cut.start()
@@ -60,7 +88,7 @@ def lengths(texts: list[str], path: str, most: int = PIECE_BYTES) -> list[int]:
     """The number of tokens of each text, encoded in batches of about ``BATCH_BYTES``."""
     counts = [0] * len(texts)
     tokenizer = _tokenizer(path)
-    splits = _splits_cached(path)
+    added = _splits_cached(path)
     batch: list[str] = []
     owners: list[int] = []
     held = 0
@@ -78,10 +106,10 @@ def lengths(texts: list[str], path: str, most: int = PIECE_BYTES) -> list[int]:
         held = 0
 
     for i, text in enumerate(texts):
-        for piece in pieces(text, most) if splits else (text,):
+        for piece in (text,) if added is None else pieces(text, most, added):
             batch.append(piece)
             owners.append(i)
-            held += len(piece)
+            held += _bytes(piece)
             if held >= BATCH_BYTES:
                 flush()
     if batch:
@@ -105,9 +133,13 @@ def count_tokens(
     token inside a text is read as the library reads it. NULL counts as the empty
     text: no tokens. Rows that repeat an id are counted each.
 
+    Other columns, whatever their names, are not read. An empty table gives an empty
+    result.
+
     ``tokenizer_path`` is a file that every executor has. Long texts are cut at
     places where the count is the same as for the whole, so the memory for a batch
-    is bounded; there is no shuffle.
+    is bounded by bytes; there is no shuffle. A tokenizer other than byte-level BPE,
+    or one word of any length, is encoded whole.
     """
 
     def count(part: pa.RecordBatch) -> pa.RecordBatch:

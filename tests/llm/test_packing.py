@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import packing
 
@@ -46,3 +47,28 @@ def test_long_lengths_share_bins(spark):
     rows = spark.range(200_000).selectExpr("id + 1 as n_tokens")
     lengths, counts = packing.histogram(rows)
     assert len(lengths) < 6000 and counts.sum() == 200_000 and (np.diff(lengths) > 0).all() and lengths[-1] == 200_000
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_padded_size_above_the_exact_lengths(spark, seed):
+    rng = np.random.default_rng(seed)
+    drawn = np.concatenate([rng.integers(1, 1025, 1500), (rng.pareto(1.1, 1500) * 1500 + 1025).astype(int).clip(0, 400_000)])
+    lengths, counts = np.unique(drawn, return_counts=True)
+    binned = packing.histogram(spark.createDataFrame([(int(x),) for x in drawn], "n_tokens long"))
+    assert len(binned[0]) < len(lengths)
+    for buckets in (2, 8, 16):
+        total = int((lengths * counts).sum())
+        best = total + padding(packing.best_boundaries(lengths, counts, buckets), lengths, counts)
+        got = total + padding(packing.best_boundaries(*binned, buckets), lengths, counts)
+        assert best <= got <= best * (1 + 2 / packing.EXACT)
+
+
+def test_lengths_in_tokens(make_docs, prose):
+    import public_tokenizers
+
+    from ledgerloom.llm.tokens import count_tokens
+
+    docs = make_docs([(i, " ".join(prose(40 + i, i))) for i in range(50)] + [(99, None)])
+    counted = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024).withColumn("text", F.lit("one"))
+    got = packing.pack(counted, budget=500, buckets=4, length=F.col("n_tokens")).collect()
+    assert sorted((r.doc_id, r.n_tokens) for r in got) == sorted((r.doc_id, r.n_tokens) for r in counted.collect())
