@@ -404,6 +404,23 @@ def revenue_mart_by_document(t):
     return _by_document(t, lambda stored: _cents(revenue.revenue_mart(stored)))
 
 
+@_query
+def ar_mart_listed(t):
+    """Tables partitioned by company, cut to the companies of one home currency when the plan runs."""
+    spark = t.docline.sparkSession
+    listed = t.company.filter(F.col("homecur") == "USD").select("code")
+
+    def mart(path: str) -> DataFrame:
+        parts = {name: f"{path}/{name}" for name in ("docline", "dochead")}
+        for name, part in parts.items():
+            sinks.overwrite(getattr(t, name), part, partition_by=("cmpcode",), rebalance=True)
+        opened = {name: partial(tables.read_table, spark, part) for name, part in parts.items()}
+        others = {name: partial(getattr, t, name) for name in schemas.ALL if name not in parts}
+        return _cents(ar.ar_mart(DocumentTables(**opened, **others), companies=listed))
+
+    return _through(spark, "by_company", mart)
+
+
 # sources and sinks --------------------------------------------------------------
 
 @_query

@@ -10,6 +10,7 @@ from ledgerloom.functions.columns import none_contained, since, summed_amount
 from ledgerloom.operators.aggregates import filtered_max, sum_max
 from ledgerloom.operators.keys import KEY, company_of, document_columns, document_join, with_document_key
 from ledgerloom.operators.lookups import lookup_join
+from ledgerloom.operators.scope import listed
 from ledgerloom.sources.tables import DocumentTables
 
 # Texts that mark an invoice as no receivable of its own.
@@ -43,10 +44,11 @@ def job_attributes(docline: DataFrame, cfg: ReceivablesConfig = ReceivablesConfi
 
 
 def document_heads(
-    dochead: DataFrame, cfg: ReceivablesConfig, drop_cdc_deletes: bool
+    dochead: DataFrame, cfg: ReceivablesConfig, drop_cdc_deletes: bool, companies: DataFrame | None = None
 ) -> DataFrame:
     """Headers in scope, each once.  Copies of a header add nothing to a distinct result."""
     code = F.col("doccode")
+    dochead = listed(dochead, companies, F.col("cmpcode"))
     heads = since(dochead, "docdate", cfg.first_day).filter(
         F.col("cmpcode").isin(*cfg.companies) & ~code.isin(*cfg.excluded_codes)
     )
@@ -63,7 +65,7 @@ def document_heads(
 
 
 def documents(
-    tables: DocumentTables, cfg: ReceivablesConfig, drop_cdc_deletes: bool
+    tables: DocumentTables, cfg: ReceivablesConfig, drop_cdc_deletes: bool, companies: DataFrame | None = None
 ) -> DataFrame:
     """Headers with their receivable totals and job element.
 
@@ -72,14 +74,15 @@ def documents(
     stored key parts before it is joined on the trimmed ones: two exchanges each, or
     none where the tables are stored by document.
     """
-    in_scope = tables.docline.filter(company_of(tables.docline).isin(*cfg.companies))
+    lines = listed(tables.docline, companies, company_of(tables.docline), trimmed=True)
+    in_scope = lines.filter(company_of(lines).isin(*cfg.companies))
     unpaid = in_scope.filter(F.col("statpay") != cfg.paid_status)
     totals = with_document_key(receivable_totals(unpaid, cfg)).select(
         *KEY, F.col("cmpcode").alias("line_company"), "statpay", "valuedoc", "valuehome",
         "el3", "ref1", "ref2", "ref3", "ref4", "ref5",
     )
     jobs = with_document_key(job_attributes(in_scope, cfg)).select(*KEY, "el4")
-    heads = document_heads(tables.dochead, cfg, drop_cdc_deletes)
+    heads = document_heads(tables.dochead, cfg, drop_cdc_deletes, companies)
     joined = document_join(document_join(heads, totals), jobs, "left")
     return joined.withColumn(invoice.CARRIED, invoice.carried(cfg))
 
@@ -98,14 +101,15 @@ def ar_mart(
     drop_cdc_deletes: bool = True,
     drop_reimbursed: bool = True,
     unique_lookups: bool = False,
+    companies: DataFrame | None = None,
 ) -> DataFrame:
-    """The full mart.
+    """The full mart; with ``companies`` only for those in its first column.
 
     The company table is not joined: as a left join without columns it cannot
     change a distinct result.
     """
     named = lookup_join(
-        documents(tables, cfg, drop_cdc_deletes),
+        documents(tables, cfg, drop_cdc_deletes, companies),
         customer_names(tables.el3_element),
         {"line_company": "el3_cmpcode", "el3": "el3_code"},
         spread_by=KEY,

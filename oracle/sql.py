@@ -519,6 +519,7 @@ SELECT cmpcode, doccode, docnum, el2, el3, el4, ref2 FROM docline WHERE {_REVENU
     "revenue_mart_dealt": (("revenue_a",), "SELECT * FROM revenue_a"),
     "revenue_mart_reduced": (("revenue_a",), "SELECT * FROM revenue_a"),
     "ar_mart_by_document": (("ar_mart",), "SELECT * FROM ar_mart"),
+    "ar_mart_listed": (("ar_mart", "company"), "SELECT * FROM ar_mart WHERE cmpcode IN (SELECT code FROM company WHERE homecur = 'USD')"),
     "revenue_mart_by_document": (("revenue_a",), "SELECT * FROM revenue_a"),
     "revenue_classify": (("revenue_flags", "map_entity", "category"), """
 SELECT r.* EXCLUDE (Pass_Through_Flag, Site_GL_CODE),

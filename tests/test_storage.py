@@ -138,3 +138,36 @@ def test_company_lists_prune_partitions(spark, make, tmp_path):
     assert len(kept) >= 3 and all("cmpcode" in k and (" IN (" in k or " INSET " in k) for k in kept)
     plain = DocumentTables(**{name: make(name, given[name]) for name in schemas.ALL})
     assert multiset(ar_mart.ar_mart(t)) == multiset(ar_mart.ar_mart(plain))
+
+
+def _partitioned(spark, make, tmp_path, given):
+    paths = {name: str(tmp_path / name) for name in schemas.ALL}
+    for name, path in paths.items():
+        sinks.overwrite(make(name, given[name]), path, partition_by=("cmpcode",) if name in ("docline", "dochead") else ())
+    return DocumentTables.load(spark, paths)
+
+
+def test_listed_companies_prune_at_run_time(spark, make, tmp_path):
+    t = _partitioned(spark, make, tmp_path, messy.tables(6))
+    one = t.dochead.groupBy("cmpcode").count().orderBy(F.desc("count"), "cmpcode").first()["cmpcode"]
+    codes = spark.createDataFrame([(one, "in"), (one, "in"), (f"{one} ", "in"), (None, "in"), ("MAI", "out")], "code string, state string")
+    codes.write.parquet(str(tmp_path / "codes"))
+    companies = spark.read.parquet(str(tmp_path / "codes")).filter("state = 'in'").select("code")
+    got = ar_mart.ar_mart(t, companies=companies)
+    blocks = [b for b in explain(got).split("\n\n") if re.search(r"Location: .*/(docline|dochead)\b", b)]
+    assert len(blocks) >= 3 and all("dynamicpruning" in re.search(r"PartitionFilters: \[(.*)\]", b).group(1) for b in blocks)
+    want = [r for r in ar_mart.ar_mart(t).collect() if r.cmpcode in (one, f"{one} ")]
+    assert want and multiset(got) == multiset(spark.createDataFrame(want, got.schema))
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_listed_companies_of_any_size(spark, make, threshold):
+    t = DocumentTables(**{name: make(name, rows) for name, rows in messy.tables(6).items()})
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        none = ar_mart.ar_mart(t, companies=t.company.filter("false").select("code"))
+        every = ar_mart.ar_mart(t, companies=t.dochead.select("cmpcode"))
+        assert none.count() == 0 and multiset(every) == multiset(ar_mart.ar_mart(t))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
