@@ -212,21 +212,16 @@ def written_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
     return read_back(spark, path, fmt).count()
 
 
-class NotShared(ValueError):
-    """A folder that not every executor sees."""
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for intermediate data in a folder that all executors share.
 
     It lies in ``spark.checkpoint.dir``, or beside the tables of the warehouse
-    where that is unset.  Off a local master a path without a scheme is refused.
+    where that is unset.  A folder without a scheme lies in the default file system,
+    as Spark reads that setting; the driver resolves it for all executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    root = root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
-    if "://" not in root and not root.startswith("file:") and not spark.sparkContext.master.startswith("local"):
-        raise NotShared(f"spark.checkpoint.dir has no scheme: {root}")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder, files = _files(spark, root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch")
+    return f"{files.makeQualified(folder).toString().rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def remove(spark: SparkSession, path: str) -> None:

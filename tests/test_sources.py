@@ -143,3 +143,17 @@ def test_scratch_is_removed(spark):
     root = Path(sinks.scratch_path(spark, "x").removeprefix("file:")).parent
     assert QUERIES["lookup_csv"](spark, SF_DIR).count() > 0
     assert not list(root.glob("category-*"))
+
+
+def test_scratch_folder_without_a_scheme(spark, tmp_path, monkeypatch):
+    """On a cluster it is a folder of the default file system, not an error."""
+    from __spark_entry__ import QUERIES
+
+    get, folder = type(spark.conf).get, str(tmp_path / "shared")
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *rest: folder if key == "spark.checkpoint.dir" else get(self, key, *rest))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://elsewhere:7077")
+    assert sinks.scratch_path(spark, "x").startswith(f"file:{folder}/x-")
+    assert QUERIES["lookup_csv"](spark, SF_DIR).count() > 0
+    assert not list((tmp_path / "shared").glob("category-*"))
+    folder = "shared"
+    assert sinks.scratch_path(spark, "x").startswith("file:/")
