@@ -41,8 +41,14 @@ def dealt(df: DataFrame, on: list[str], dims: DataFrame, own: str, other: str) -
     return placed.select(df["*"], block.alias(f"__{own}"), across.alias(f"__{other}"))
 
 
-def grid_join(left: DataFrame, right: DataFrame, on: list[str], block: int = BLOCK) -> DataFrame:
-    """``left.join(right, on)``.  Both sides are read once more, to count the rows of keys."""
-    dims = grids(left, right, on, block)
+def grid_join(
+    left: DataFrame, right: DataFrame, on: list[str], block: int = BLOCK,
+    counted: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
+    """``left.join(right, on)``.  Both sides are read once more, to count the rows of keys.
+
+    Where they are dear to compute, ``counted`` are their rows of the keys that may be hot.
+    """
+    dims = grids(*(counted or (left, right)), on, block)
     a, b = dealt(left, on, dims, "tall", "wide"), dealt(right, on, dims, "wide", "tall")
     return a.join(b, [*on, "__tall", "__wide"]).drop("__tall", "__wide")

@@ -18,7 +18,7 @@ from ledgerloom.config import CDC_DELETE, RevenueConfig
 from ledgerloom.functions import invoice
 from ledgerloom.functions.columns import since, summed_amount
 from ledgerloom.operators.aggregates import earliest_value, with_copies
-from ledgerloom.operators.grid import grid_join
+from ledgerloom.operators.grid import BLOCK, grid_join
 from ledgerloom.operators.keys import KEY, RAW_KEY, document_columns, document_join, with_document_key
 from ledgerloom.operators.lookups import SPREAD, is_small, lookup_join, planned_bytes
 from ledgerloom.operators.reduction import likely_in
@@ -33,6 +33,15 @@ LINE_KEYS = [
 ]
 
 
+def names_customer(cfg: RevenueConfig = RevenueConfig()) -> Column:
+    """Whether a line is an unpaid receivable, which names a customer of its document."""
+    account = F.col("el2")
+    extra = F.col("cmpcode").isin(*cfg.customer_extra_companies) & (
+        account == cfg.customer_extra_account
+    )
+    return (account.startswith(cfg.customer_prefix) | extra) & (F.col("statpay") != cfg.paid_status)
+
+
 def customer_lines(
     tables: DocumentTables,
     cfg: RevenueConfig = RevenueConfig(),
@@ -47,13 +56,7 @@ def customer_lines(
     requires a header in the date range; the header join is then left out where
     it would add nothing else.
     """
-    account = F.col("el2")
-    extra = F.col("cmpcode").isin(*cfg.customer_extra_companies) & (
-        account == cfg.customer_extra_account
-    )
-    lines = tables.docline.filter(account.startswith(cfg.customer_prefix) | extra).filter(
-        F.col("statpay") != cfg.paid_status
-    )
+    lines = tables.docline.filter(names_customer(cfg))
     grouped = with_document_key(with_copies(lines, [*document_columns(lines), "el3"], "line_copies"))
     once = F.lit(1).cast("long")
     customer = F.col("el3").alias("customer_el3")
@@ -130,6 +133,33 @@ def revenue_groups(tables: DocumentTables, cfg: RevenueConfig = RevenueConfig())
     return base.groupBy(*LINE_KEYS).agg(*amounts)
 
 
+def crowded(tables: DocumentTables, cfg: RevenueConfig = RevenueConfig(), block: int = BLOCK) -> DocumentTables:
+    """The tables cut to documents that may make more than block * block pairs of a revenue group and a customer.
+
+    A document has no more groups than revenue lines times headers, and no more customers than
+    lines that name one times the names of an element.  Documents are counted by a
+    hash: those that share one are kept together.  Mostly none is left, and the cut tables are
+    then not read at all.
+    """
+    document = F.xxhash64(*KEY).alias("document")
+    no, of_revenue, names = F.lit(False), is_revenue(cfg), names_customer(cfg)
+    lines = with_document_key(tables.docline.filter(of_revenue | names))
+    heads = with_document_key(since(tables.dochead, "docdate", cfg.first_day))
+    rows = lines.select(document, of_revenue.alias("revenue"), names.alias("customer"), no.alias("head")).unionByName(
+        heads.select(document, no.alias("revenue"), no.alias("customer"), F.lit(True).alias("head"))
+    )
+    counts = rows.groupBy("document").agg(*[F.count_if(c).cast("double").alias(c) for c in ("revenue", "customer", "head")])
+    per_element = with_copies(_customers(tables.el3_element), ["el3_cmpcode", "el3_code"], "names")
+    pairs = F.col("revenue") * F.col("head") * F.col("customer") * F.col("most_names")
+    many = counts.join(F.broadcast(per_element.agg(F.max("names").alias("most_names")))).filter(pairs > block * block)
+
+    def cut(df: DataFrame) -> DataFrame:
+        keyed = with_document_key(df)
+        return likely_in(keyed.withColumn("document", document), many, ["document"]).select(*df.columns)
+
+    return DocumentTables(docline=cut(tables.docline), dochead=cut(tables.dochead), el3_element=tables.el3_element)
+
+
 def job_defaults(
     tables: DocumentTables,
     nulls: str = "ignore",
@@ -275,18 +305,25 @@ def revenue_mart(
     where the lines are larger than ``REDUCE_FROM``.
     """
     blank_job = F.coalesce(F.col("el4") == "", F.lit(True))
-    # A revenue group comes from a dated header of the same document already.
-    customers = lookup_join(
-        customer_lines(tables, cfg, dedup_ar_lines, drop_cdc_deletes, check_heads=False),
-        _customers(tables.el3_element),
-        {"cmpcode": "el3_cmpcode", "customer_el3": "el3_code"},
-        how="inner",
-        spread_by=RAW_KEY,
-        unique=unique_lookups,
-    )
-    groups = revenue_groups(tables, cfg)
+
+    def sides(t: DocumentTables, unique: bool = False) -> tuple[DataFrame, DataFrame]:
+        # A revenue group comes from a dated header of the same document already.
+        customers = lookup_join(
+            customer_lines(t, cfg, dedup_ar_lines, drop_cdc_deletes, check_heads=False),
+            _customers(t.el3_element),
+            {"cmpcode": "el3_cmpcode", "customer_el3": "el3_code"},
+            how="inner",
+            spread_by=RAW_KEY,
+            unique=unique,
+        )
+        return revenue_groups(t, cfg), customers
+
+    groups, customers = sides(tables, unique_lookups)
     grid = is_large(tables.docline) if deal_hot_documents is None else deal_hot_documents
-    grouped = grid_join(groups, customers, list(RAW_KEY)) if grid else groups.join(customers, list(RAW_KEY))
+    if grid:
+        grouped = grid_join(groups, customers, list(RAW_KEY), counted=sides(crowded(tables, cfg)))
+    else:
+        grouped = groups.join(customers, list(RAW_KEY))
     spread_by = (*RAW_KEY, "el2", "el3", "customer_el3")
     with_account = lookup_join(
         grouped,

@@ -62,6 +62,40 @@ def test_revenue_of_a_document_with_many_lines_and_customers(spark, make):
     assert totals[0] == totals[1] and totals[0][0] == 500 * 500
 
 
+def _crowded_tables(make_tables, names: int = 1):
+    """Documents of (revenue lines, lines that name a customer, headers)."""
+    from datetime import date
+
+    key = {"cmpcode": "BAS", "doccode": "SINV"}
+    amounts = {"valuedoc": 200, "valuehome": 200, "valuedoc_dp": 2, "valuehome_dp": 2, "statpay": 84, "el4": "", "ref2": "r"}
+    lines, heads = [], []
+    for number, (revenue, customers, copies) in {"1": (3, 2, 1), "2": (1, 1, 1), "3": (1, 1, 6), "4": (9, 0, 1), "5": (2, 2, 1)}.items():
+        accounts = ["40100"] * revenue + ["0211"] * customers
+        lines += [{**key, **amounts, "docnum": number, "el2": el2, "el3": f"D{i}"} for i, el2 in enumerate(accounts)]
+        heads += [{**key, "docnum": f" {number}", "docdate": date(2020, 1, 1 + i), "curdoc": "USD", "cdc_operation_type": "I"} for i in range(copies)]
+    elements = [{"el3_cmpcode": "BAS", "el3_code": f"D{i}", "el3_elmlevel": 3, "el3_name": f"n{n}"} for i in range(9) for n in range(names)]
+    accounts = [{"el2_cmpcode": "BAS", "el2_code": "40100", "el2_elmlevel": 2, "el2_name": "a"}]
+    return make_tables(docline=lines, dochead=heads, company=[{"code": "BAS", "homecur": "USD"}], el2_element=accounts, el3_element=elements)
+
+
+@pytest.mark.parametrize(("names", "kept"), [(1, {"1", "3"}), (2, {"1", "3", "5"}), (5, {"1", "2", "3", "5"})])
+def test_documents_that_may_make_many_pairs(make_tables, names, kept):
+    t = _crowded_tables(make_tables, names)
+    cut = revenue_mart.crowded(t, block=2)
+    for table in ("docline", "dochead"):
+        assert multiset(getattr(cut, table)) == multiset(getattr(t, table).filter(F.trim("docnum").isin(*kept)))
+
+
+def test_only_documents_that_may_be_hot_are_counted(make_tables, monkeypatch):
+    """The sides are dear to compute; those of other documents are not computed a second time."""
+    seen, grids = [], grid.grids
+    monkeypatch.setattr(grid, "grids", lambda left, right, *rest: seen.extend((left, right)) or grids(left, right, *rest))
+    t = _crowded_tables(make_tables)
+    plain, dealt = (revenue_mart.revenue_mart(t, deal_hot_documents=x) for x in (False, True))
+    assert multiset(plain) == multiset(dealt) and plain.count() > 0
+    assert [side.count() for side in seen] == [0, 0]
+
+
 @pytest.fixture
 def repeated_rows(spark):
     return spark.createDataFrame(
