@@ -96,6 +96,23 @@ def test_only_documents_that_may_be_hot_are_counted(make_tables, monkeypatch):
     assert [side.count() for side in seen] == [0, 0]
 
 
+def test_hot_documents_are_dealt_as_if_all_were_counted(make_tables, monkeypatch):
+    crowded, grids, seen = revenue_mart.crowded, grid.grids, []
+
+    def small(left, right, on, block):
+        seen.append(grids(left, right, on, 2))
+        return seen[-1]
+
+    monkeypatch.setattr(grid, "grids", small)
+    t = _crowded_tables(make_tables, 2)
+    plain, marts = revenue_mart.revenue_mart(t, deal_hot_documents=False), []
+    for cut in (lambda tables, cfg: tables, lambda tables, cfg: crowded(tables, cfg, 2)):
+        monkeypatch.setattr(revenue_mart, "crowded", cut)
+        marts.append(revenue_mart.revenue_mart(t, deal_hot_documents=True))
+    assert multiset(seen[0]) == multiset(seen[1]) and seen[0].count() == 3
+    assert multiset(marts[0]) == multiset(marts[1]) == multiset(plain)
+
+
 @pytest.fixture
 def repeated_rows(spark):
     return spark.createDataFrame(
