@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
 
 from ledgerloom import schemas
-from ledgerloom.sources import sinks, tables
+from ledgerloom.sources import sinks, tables, testdata
 from ledgerloom.sources.tables import DocumentTables, SchemaMismatch, conform, read_csv, read_table
+from tests import messy
 from tests.conftest import SF_DIR
 
 
@@ -157,3 +159,20 @@ def test_scratch_folder_without_a_scheme(spark, tmp_path, monkeypatch):
     assert not list((tmp_path / "shared").glob("category-*"))
     folder = "shared"
     assert sinks.scratch_path(spark, "x").startswith("file:/")
+
+
+@pytest.mark.parametrize("name", [
+    "ar_mart_listed",
+])
+def test_stored_queries_off_a_local_master(spark, make_tables, tmp_path, monkeypatch, name):
+    """The rows are those of a local run, and nothing stays in a folder without a scheme."""
+    from ledgerloom import catalogue
+
+    untidy = make_tables(**messy.tables(1))
+    monkeypatch.setattr(testdata, "load", lambda *_: untidy)
+    local = Counter(map(str, catalogue.QUERIES[name](spark, "").collect()))
+    get, folder = type(spark.conf).get, tmp_path / "shared"
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *rest: str(folder) if key == "spark.checkpoint.dir" else get(self, key, *rest))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://elsewhere:7077")
+    assert Counter(map(str, catalogue.QUERIES[name](spark, "").collect())) == local
+    assert folder.exists() and not list(folder.iterdir())
