@@ -164,6 +164,7 @@ def test_scratch_folder_without_a_scheme(spark, tmp_path, monkeypatch):
 @pytest.mark.parametrize("name", [
     "ar_mart_listed",
     "full_row_duplicates",
+    "lookup_csv",
 ])
 def test_stored_queries_off_a_local_master(spark, make_tables, tmp_path, monkeypatch, name):
     """The rows are those of a local run, and nothing stays in a folder without a scheme."""
