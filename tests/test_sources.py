@@ -167,6 +167,7 @@ def test_scratch_folder_without_a_scheme(spark, tmp_path, monkeypatch):
     "lookup_csv",
     "revenue_mart_by_document",
     "sink_checked",
+    "sink_roundtrip",
 ])
 def test_stored_queries_off_a_local_master(spark, make_tables, tmp_path, monkeypatch, name):
     """The rows are those of a local run, and nothing stays in a folder without a scheme."""
